@@ -5,55 +5,55 @@ Used by the registered queries, the tests and the bench, so that input grows wit
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 TOPIC_NAME = "trades"
-PARTITIONS = 4
 
+# Fields of a trade but for its time.  A repeated (order, line) makes a repeated trade id.
+_TRADE = """'trade_id', concat_ws('-', l_orderkey, l_linenumber),
+    'portfolio_id', concat('P', l_suppkey),
+    'ticker', concat('tkr', l_partkey % 10),
+    'side', CASE l_returnflag WHEN 'A' THEN 'buy' WHEN 'R' THEN 'SELL' ELSE 'hold' END,
+    'quantity', l_quantity + l_discount - 2,
+    'price', l_extendedprice,
+    'fees', l_tax"""
 
-def _as_message(trade: Column) -> Column:
-    """One of five shapes: flat, in a payload, as a change event, in both, or a tombstone."""
-    changed = F.struct(trade.alias("after"))
-    schema = F.struct(F.lit("struct").alias("type")).alias("schema")
-    shape = F.col("l_orderkey") % 5
-    return (
-        F.when(shape == 0, F.to_json(trade))
-        .when(shape == 1, F.to_json(F.struct(schema, trade.alias("payload"))))
-        .when(shape == 2, F.to_json(changed))
-        .when(shape == 3, F.to_json(F.struct(changed.alias("payload"))))
-    )
+# Even lines carry their time as microseconds, odd ones as text.
+_MICROS = f"named_struct({_TRADE}, 'trade_timestamp', unix_micros(shipped))"
+_TEXT = f"""named_struct({_TRADE}, 'trade_timestamp', date_format(shipped, "yyyy-MM-dd'T'HH:mm:ss'Z'"))"""
 
 
-def messages_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The topic as the Kafka source would show it, one message per line item.
+def _shaped(trade: str) -> str:
+    """Flat, in a payload, as a change event, as one in a payload, or a tombstone (NULL)."""
+    return f"""CASE l_orderkey % 5
+        WHEN 0 THEN to_json({trade})
+        WHEN 1 THEN to_json(struct(struct('struct' AS type) AS schema, {trade} AS payload))
+        WHEN 2 THEN to_json(struct({trade} AS after))
+        WHEN 3 THEN to_json(struct(struct({trade} AS after) AS payload)) END"""
 
-    A repeated (order, line) makes a repeated trade id.  Even lines carry their time as
-    microseconds, odd ones as text.
+
+def _spread(table: DataFrame) -> DataFrame:
+    """Deal a table read in fewer pieces than there are cores out to all of them.
+
+    A table of many pieces, which any large one is, stays as it is: no shuffle.
     """
-    shipped = F.col("l_shipdate").cast("timestamp")
-    trade_id = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
-
-    def trade(time: Column) -> Column:
-        return F.struct(
-            trade_id.alias("trade_id"),
-            F.concat(F.lit("P"), F.col("l_suppkey").cast("string")).alias("portfolio_id"),
-            F.concat(F.lit("tkr"), (F.col("l_partkey") % 10).cast("string")).alias("ticker"),
-            F.expr("CASE l_returnflag WHEN 'A' THEN 'buy' WHEN 'R' THEN 'SELL' ELSE 'hold' END").alias("side"),
-            (F.col("l_quantity") + F.col("l_discount") - 2).alias("quantity"),
-            F.col("l_extendedprice").alias("price"),
-            F.col("l_tax").alias("fees"),
-            time.alias("trade_timestamp"),
-        )
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
 
-    value = F.when(F.col("l_linenumber") % 2 == 0, _as_message(trade(F.unix_micros(shipped)))).otherwise(
-        _as_message(trade(F.date_format(shipped, "yyyy-MM-dd'T'HH:mm:ss'Z'")))
-    )
-    return spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
-        trade_id.cast("binary").alias("key"),
-        value.cast("binary").alias("value"),
-        F.lit(TOPIC_NAME).alias("topic"),
-        (F.col("l_orderkey") % PARTITIONS).cast("int").alias("partition"),
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("offset"),
-        shipped.alias("timestamp"),
-        F.lit(0).alias("timestampType"),
+
+def messages_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The topic as the Kafka source would show it, one message per line item."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").drop("l_linestatus")
+    return (
+        _spread(lines)
+        .selectExpr("*", "CAST(l_shipdate AS timestamp) AS shipped")
+        .selectExpr(
+            "CAST(concat_ws('-', l_orderkey, l_linenumber) AS binary) AS key",
+            f"CAST(CASE WHEN l_linenumber % 2 = 0 THEN {_shaped(_MICROS)} ELSE {_shaped(_TEXT)} END AS binary) AS value",
+            f"'{TOPIC_NAME}' AS topic",
+            "CAST(l_orderkey % 4 AS int) AS partition",
+            "l_orderkey * 8 + l_linenumber AS offset",
+            "shipped AS timestamp",
+            "0 AS timestampType",
+        )
     )

@@ -52,15 +52,17 @@ def _plain(df: DataFrame) -> DataFrame:
     )
 
 
-def _shape() -> F.Column:
-    """Which of the message shapes a bronze payload has."""
-    return F.expr(
-        """CASE WHEN value IS NULL THEN 'tombstone'
-                WHEN get_json_object(value, '$.after') IS NOT NULL THEN 'after'
-                WHEN get_json_object(value, '$.payload.after') IS NOT NULL THEN 'payload.after'
-                WHEN get_json_object(value, '$.payload') IS NOT NULL THEN 'payload'
-                ELSE 'flat' END"""
-    )
+def _shapes(bronze: DataFrame) -> DataFrame:
+    """Key, ticker, and which of the message shapes each payload has."""
+    trade = "struct<trade_id: string>"
+    message = f"trade_id string, after {trade}, payload struct<trade_id: string, after: {trade}>"
+    shape = """CASE WHEN value IS NULL THEN 'tombstone'
+                    WHEN trade_id IS NOT NULL THEN 'flat'
+                    WHEN payload.trade_id IS NOT NULL THEN 'payload'
+                    WHEN after.trade_id IS NOT NULL THEN 'after'
+                    WHEN payload.after.trade_id IS NOT NULL THEN 'payload.after' END AS shape"""
+    fields = bronze.select("key", "ticker", "value", F.inline(F.array(F.from_json("value", message))))
+    return fields.selectExpr("key", "ticker", shape)
 
 
 # ---- batch ---------------------------------------------------------------------------
@@ -76,7 +78,7 @@ def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _bronze(spark, sf_dir).select("key", "ticker", _shape().alias("shape"))
+    return _shapes(_bronze(spark, sf_dir))
 
 
 def bronze_ticker_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,7 +195,7 @@ def topic_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys and values written to a topic and read back."""
     topic = Topic(TOPIC_NAME, path=f"{scratch_folder(spark, 'roundtrip')}/topic")
     write_topic(messages_from_lineitem(spark, sf_dir).select("key", "value"), topic)
-    return to_bronze(read_topic(spark, topic)).select("key", "ticker", _shape().alias("shape"))
+    return _shapes(to_bronze(read_topic(spark, topic)))
 
 
 def stream_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -213,7 +215,7 @@ def stream_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse = _warehouse(spark, "bronze")
     run_bronze(spark, _topic(spark, sf_dir, warehouse.root), warehouse, AVAILABLE).awaitTermination()
-    return read_table(spark, warehouse.bronze).select("key", "ticker", _shape().alias("shape"))
+    return _shapes(read_table(spark, warehouse.bronze))
 
 
 def _stream_silver(spark: SparkSession, sf_dir: str, bounded: bool) -> DataFrame:
