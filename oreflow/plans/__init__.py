@@ -4,6 +4,7 @@ from oreflow.plans.lifecycle import (
     drop_table,
     ensure_published,
     ensure_table,
+    is_streamed,
     publish,
     repartition_table,
 )
@@ -17,6 +18,7 @@ __all__ = [
     "drop_table",
     "ensure_published",
     "ensure_table",
+    "is_streamed",
     "publish",
     "repartition_table",
 ]

@@ -72,6 +72,26 @@ def ensure_table(spark: SparkSession, spec: TableSpec) -> None:
     have = spark.table(spec.name).columns
     for statement in change_statements(spec, have, partition_fields(spark, spec.name)):
         spark.sql(statement)
+    if spec.location and not spec.is_iceberg:
+        # A stream can only follow a folder that is there.
+        fs, folder = _folder(spark, spec.location)
+        fs.mkdirs(folder)
+
+
+def _folder(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def is_streamed(spark: SparkSession, spec: TableSpec) -> bool:
+    """Whether a stream has written files to the table and so keeps the list of them.
+
+    From then on only the files on that list are read.
+    """
+    if spec.is_iceberg or not spec.location:
+        return False
+    fs, log = _folder(spark, f"{spec.location}/_spark_metadata")
+    return fs.exists(log)
 
 
 def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -85,7 +105,12 @@ def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def append_table(df: DataFrame, spec: TableSpec) -> None:
-    """Add rows in one batch, in even files per partition; the table must exist."""
+    """Add rows in one batch, in even files per partition; the table must exist.
+
+    A file table takes rows from batches or from a stream, not from both.
+    """
+    if is_streamed(df.sparkSession, spec):
+        raise ValueError(f"{spec.name} is written by a stream, which would hide rows added by a batch")
     rows = conform(df, spec)
     if spec.is_iceberg:
         rows.writeTo(spec.name).append()

@@ -13,7 +13,15 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from oreflow.operators import dedup_stream, message_log, parse, positions, to_bronze, typed, usable
 from oreflow.operators.layout import rebalanced, salted
-from oreflow.plans import TableSpec, Warehouse, conform, ensure_published, ensure_table, publish
+from oreflow.plans import (
+    TableSpec,
+    Warehouse,
+    conform,
+    ensure_published,
+    ensure_table,
+    is_streamed,
+    publish,
+)
 from oreflow.session import STATE_SETTINGS, session_conf
 from oreflow.sources import Topic, stream_table, stream_topic
 
@@ -32,8 +40,11 @@ def _writer(df: DataFrame, checkpoint: str, mode: str, trigger: Mapping | None)
 
 
 def _append(df: DataFrame, spec: TableSpec, checkpoint: str, trigger: Mapping | None) -> StreamingQuery:
+    spark = df.sparkSession
     writer = _writer(df, checkpoint, "append", trigger).format(spec.format)
     if not spec.is_iceberg:
+        if not is_streamed(spark, spec) and not spark.table(spec.name).isEmpty():
+            raise ValueError(f"{spec.name} was filled by a batch; a stream would hide those rows")
         writer = writer.partitionBy(*spec.partition_by)
     return writer.toTable(spec.name)
 
