@@ -1,8 +1,13 @@
-"""Spreading rows over the files of a table partitioned by a skewed column."""
+"""Which task writes which row.
+
+Every shuffle here goes by the content of the row.  A random or round-robin one would be even
+too, but when a lost executor makes some tasks run again, rows could then move from a finished
+task to a repeated one, or the other way, and be written twice or never.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 
 def rebalanced(df: DataFrame, *by: str) -> DataFrame:
@@ -13,8 +18,11 @@ def rebalanced(df: DataFrame, *by: str) -> DataFrame:
     return df.hint("rebalance", *by) if by else df
 
 
-def salted(df: DataFrame, *by: str, salts: int) -> DataFrame:
-    """At most ``salts`` tasks, hence files, per value of ``by``, with or without AQE."""
-    if not by:
-        return df
-    return df.repartition(*by, (F.rand() * salts).cast("int"))
+def gathered(df: DataFrame, writers: int, *key: str) -> DataFrame:
+    """``writers`` tasks, hence at most as many files per table partition.
+
+    ``key`` is unique, so that no value holds many rows, whatever the table is partitioned
+    by.  Spares the shuffle where there are no more tasks than that anyway.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(writers, *key) if tasks > writers else df

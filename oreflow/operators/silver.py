@@ -61,14 +61,15 @@ def dedup_stream(
 
     One id may hold a large part of a batch (a replayed trade), and all rows of an id go to
     one task.  So copies are first thinned out on (id, salt), which spreads such an id over
-    ``salts`` tasks and leaves at most that many rows of it; the second pass on the id alone
-    decides.  The result does not depend on the salt, and the state of the first pass is
+    up to ``salts`` tasks and leaves at most that many rows of it; the second pass on the id
+    alone decides.  The salt is the task that reads the row, which does not change when the
+    task runs again; the result does not depend on it.  The state of the first pass is
     cleared behind the watermark.  ``salts=1`` leaves the first pass out.
     """
     marked = trades.withWatermark("trade_timestamp", lateness)
     if salts > 1:
         marked = (
-            marked.withColumn("salt", (F.rand() * salts).cast("int"))
+            marked.withColumn("salt", F.spark_partition_id() % salts)
             .dropDuplicatesWithinWatermark(["trade_id", "salt"])
             .drop("salt")
         )

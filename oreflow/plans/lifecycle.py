@@ -9,7 +9,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from oreflow.operators.layout import rebalanced, salted
+from oreflow.operators.layout import gathered, rebalanced
 from oreflow.plans.specs import TableSpec
 
 
@@ -135,13 +135,14 @@ def drop_table(spark: SparkSession, spec: TableSpec) -> None:
         spark.sql(f"DROP TABLE IF EXISTS {spec.name}")
 
 
-def publish(df: DataFrame, spec: TableSpec, keep: int = 2, salts: int = 8) -> None:
+def publish(df: DataFrame, spec: TableSpec, keep: int = 2, writers: int = 16) -> None:
     """Replace the whole content of a table; readers see the old rows or the new ones.
 
     Iceberg replaces in one commit.  A Parquet table cannot, so the rows go to a new table
     and the name readers use is a view that is then pointed at it.  Every attempt writes a
     table of its own: a batch that runs again never touches what readers are looking at.
-    The ``keep`` newest versions stay for queries already running.
+    The ``keep`` newest versions stay for queries already running.  ``writers`` is the
+    number of tasks that write, each a file per partition at most.
     """
     spark = df.sparkSession
     rows = conform(df, spec)
@@ -150,7 +151,7 @@ def publish(df: DataFrame, spec: TableSpec, keep: int = 2, salts: int = 8) -> No
         return
     version = f"{spec.name}__v{time.time_ns() // 1_000_000:013d}_{uuid.uuid4().hex[:8]}"
     (
-        salted(rows, *spec.partition_by, salts=salts)
+        gathered(rows, writers, *spec.key)
         .write.format(spec.format)
         .partitionBy(*spec.partition_by)
         .saveAsTable(version)

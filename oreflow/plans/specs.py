@@ -13,7 +13,8 @@ class TableSpec:
     """A table by name: its columns, layout and place.
 
     ``retired_partitions`` are partition fields of earlier layouts which a table may still
-    have; only Iceberg can drop them in place.
+    have; only Iceberg can drop them in place.  ``key`` names the columns that tell one row
+    from every other, where there are such.
     """
 
     name: str
@@ -24,6 +25,7 @@ class TableSpec:
     namespace_location: str | None = None
     properties: Mapping[str, str] = field(default_factory=dict)
     retired_partitions: tuple[str, ...] = ()
+    key: tuple[str, ...] = ()
 
     @property
     def namespace(self) -> str:
@@ -57,7 +59,7 @@ class Warehouse:
         base = self.checkpoints or f"{self.folder(job.partition('_')[0])}/checkpoints"
         return f"{base.rstrip('/')}/{job}"
 
-    def _spec(self, layer: str, table: str, columns: Mapping[str, str], retired: tuple[str, ...] = ()) -> TableSpec:
+    def _spec(self, layer: str, table: str, columns: Mapping[str, str], **more: tuple[str, ...]) -> TableSpec:
         namespace = ".".join(filter(None, (self.catalog, f"{layer}{self.suffix}")))
         location = f"{self.folder(layer)}/{table}"
         iceberg = {"format-version": "2", "write.data.path": f"{location}/data"}
@@ -68,17 +70,19 @@ class Warehouse:
             location=location,
             namespace_location=self.folder(layer),
             properties=iceberg if self.format == "iceberg" else {},
-            retired_partitions=retired,
+            **more,
         )
 
     @property
     def bronze(self) -> TableSpec:
-        return self._spec("bronze", "trades", BRONZE_COLUMNS, ("days(ingest_timestamp)",))
+        return self._spec("bronze", "trades", BRONZE_COLUMNS, retired_partitions=("days(ingest_timestamp)",))
 
     @property
     def silver(self) -> TableSpec:
-        return self._spec("silver", "trades", SILVER_COLUMNS, ("days(trade_timestamp)",))
+        return self._spec(
+            "silver", "trades", SILVER_COLUMNS, retired_partitions=("days(trade_timestamp)",), key=("trade_id",)
+        )
 
     @property
     def gold(self) -> TableSpec:
-        return self._spec("gold", "portfolio_positions", GOLD_COLUMNS)
+        return self._spec("gold", "portfolio_positions", GOLD_COLUMNS, key=("portfolio_id", "ticker"))

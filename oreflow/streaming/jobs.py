@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from oreflow.operators import dedup_stream, message_log, parse, positions, to_bronze, typed, usable
-from oreflow.operators.layout import rebalanced, salted
+from oreflow.operators.layout import gathered, rebalanced
 from oreflow.plans import (
     TableSpec,
     Warehouse,
@@ -75,23 +75,23 @@ def run_silver(
     trigger: Mapping | None = None,
     bounded: bool = False,
     salts: int = 32,
-    file_salts: int | None = None,
+    writers: int = 64,
     source_options: Mapping[str, str] | None = None,
     state_settings: Mapping[str, str] = STATE_SETTINGS,
 ) -> StreamingQuery:
     """Append new trades to the silver table, one row per trade id.
 
-    ``bounded`` and ``salts`` are those of ``dedup_stream``.  ``file_salts`` limits the files
-    per ticker and batch, at the cost of a shuffle; by default there is one per state
-    partition.  The number of state partitions is ``spark.sql.shuffle.partitions`` at the
-    first start and stays with the checkpoint.
+    ``bounded`` and ``salts`` are those of ``dedup_stream``.  The number of state partitions
+    is ``spark.sql.shuffle.partitions`` at the first start and stays with the checkpoint;
+    where there are more than ``writers``, as many tasks write the files.  Iceberg arranges
+    its writes by itself.
     """
     spec = warehouse.silver
     ensure_table(spark, spec)
     trades = usable(typed(parse(stream_table(spark, warehouse.bronze, source_options))))
     rows = conform(dedup_stream(trades, bounded=bounded, salts=salts), spec)
-    if file_salts:
-        rows = salted(rows, *spec.partition_by, salts=file_salts)
+    if not spec.is_iceberg:
+        rows = gathered(rows, writers, *spec.key)
     with session_conf(spark, state_settings):
         return _append(rows, spec, warehouse.checkpoint(SILVER_JOB), trigger)
 
