@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from oreflow.functions import event_time, money
-from oreflow.schemas import SILVER_COLUMNS, TRADE_FIELDS, message_schema
+from oreflow.schemas import FAULTY, SILVER_COLUMNS, TRADE_FIELDS, message_schemas
 
 # How far behind the newest trade a trade may be (fixed value).
 LATENESS = "2 hours"
@@ -16,14 +16,27 @@ LATENESS = "2 hours"
 def parse(bronze: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Trade fields of every message; each field is taken flat first, else from ``payload``.
 
-    One schema covers both shapes, so a message is parsed once.  ``inline`` is a barrier:
-    filters on the fields stay above it, where a plain struct projection would be copied
-    below them and the text parsed again for every condition.  ``keep`` names columns of
-    the input to carry along, such as an order of arrival.
+    One schema covers both shapes, so that a sound message is parsed once.  On a faulty one,
+    such as a message cut off inside the payload, that schema may find more than a schema
+    for one shape would; only these are read again, shape by shape, and that reading counts.
+
+    ``inline`` is a barrier: filters on the fields stay above it, where a plain struct
+    projection would be copied below them and the text parsed again for every condition.
+    ``keep`` names columns of the input to carry along, such as an order of arrival.
     """
-    fields = bronze.select(*keep, F.inline(F.array(F.from_json("value", message_schema()))))
-    return fields.select(
-        *(F.coalesce(F.col(name), F.col(f"payload.{name}")).alias(name) for name in TRADE_FIELDS),
+    flat, envelope, either = message_schemas()
+    once = F.from_json("value", either, {"columnNameOfCorruptRecord": FAULTY})
+    again = F.struct(F.from_json(FAULTY, flat).alias("flat"), F.from_json(FAULTY, envelope).alias("envelope"))
+    read = bronze.select(*keep, F.inline(F.array(once))).select(
+        "*", F.inline(F.array(F.when(F.col(FAULTY).isNotNull(), again)))
+    )
+    return read.select(
+        *(
+            F.when(F.col(FAULTY).isNull(), F.coalesce(name, f"payload.{name}"))
+            .otherwise(F.coalesce(f"flat.{name}", f"envelope.payload.{name}"))
+            .alias(name)
+            for name in TRADE_FIELDS
+        ),
         *keep,
     )
 

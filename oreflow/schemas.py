@@ -60,8 +60,13 @@ GOLD_COLUMNS = {
 }
 
 
-def message_schema() -> str:
-    """DDL of one schema that reads both a flat trade and a ``payload`` envelope."""
+# Text of a message that is not quite what its schema says; NULL for a sound one.
+FAULTY = "faulty"
+
+
+def message_schemas() -> tuple[str, str, str]:
+    """DDL that reads a flat trade, a ``payload`` envelope, and either one in a single pass."""
     flat = ", ".join(f"{name} {kind}" for name, kind in TRADE_FIELDS.items())
     nested = ", ".join(f"{name}: {kind}" for name, kind in TRADE_FIELDS.items())
-    return f"{flat}, payload struct<{nested}>"
+    envelope = f"payload struct<{nested}>"
+    return flat, envelope, f"{flat}, {envelope}, {FAULTY} string"

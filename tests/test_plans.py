@@ -28,9 +28,10 @@ def test_bronze_is_narrow_and_reads_two_columns(files):
     assert "ReadSchema: struct<key:binary,value:binary>" in text
 
 
-def test_silver_parses_once_without_a_shuffle(files):
+def test_silver_parses_without_a_shuffle_and_not_again_in_the_filter(files):
     text = plan(usable(typed(parse(files["bronze"]))))
-    assert text.count("from_json") == 1
+    assert text.count("from_json(") == 3, "once, and twice more for a faulty message"
+    assert text.count("Generate") == 2
     assert "Exchange" not in text
     assert "ReadSchema: struct<value:string>" in text
 
