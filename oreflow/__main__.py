@@ -10,8 +10,9 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from oreflow import session
+from oreflow.operators import message_text
 from oreflow.plans import Warehouse, drop_table
-from oreflow.sources import Topic, round_trip
+from oreflow.sources import Topic, read_topic, round_trip
 from oreflow.streaming import run_bronze, run_for, run_gold, run_silver, run_tail
 from oreflow.streaming.jobs import AVAILABLE
 
@@ -32,7 +33,7 @@ def parser() -> argparse.ArgumentParser:
     cli.add_argument("--servers", help="Kafka servers of the topic")
     cli.add_argument("--path", help="folder of the topic's Parquet log, instead of Kafka")
     cli.add_argument("--topic-option", type=_pair, action="append", default=[], metavar="KEY=VALUE")
-    cli.add_argument("--root", default="warehouse", help="folder of the tables")
+    cli.add_argument("--root", default="", help="folder of the tables, which all executors can reach")
     cli.add_argument("--checkpoints", help="folder of the checkpoints, if not below the root")
     cli.add_argument("--format", default="parquet", choices=("parquet", "iceberg"))
     cli.add_argument("--catalog", help="name of the Iceberg catalog")
@@ -67,10 +68,11 @@ def settings_of(args: argparse.Namespace) -> dict[str, str]:
 
 
 def check(spark: SparkSession, topic: Topic) -> int:
-    """Exit code of a round trip: three messages out and back."""
+    """Exit code of a round trip: three messages out and back, and a look at the topic."""
     greetings = [(f"check-{i}", f"round trip {i}") for i in (1, 2, 3)]
     lost = round_trip(spark.createDataFrame(greetings, "key string, value string"), topic)
     print(f"{len(greetings) - lost} of {len(greetings)} messages came back from {topic.name}")
+    message_text(read_topic(spark, topic)).show(truncate=False)
     return min(lost, 1)
 
 
@@ -92,6 +94,8 @@ def topic_of(args: argparse.Namespace) -> Topic:
 
 def main(argv: Sequence[str] | None = None) -> int:
     args = parser().parse_args(argv)
+    if args.job not in ("tail", "check") and not args.root:
+        raise SystemExit(f"{args.job} needs --root")
     catalog = args.catalog if args.format == "iceberg" else None
     warehouse = Warehouse(args.root, format=args.format, catalog=catalog, checkpoints=args.checkpoints)
     spark = session.build_session(f"oreflow-{args.job}", settings_of(args), master=args.master)

@@ -38,7 +38,7 @@ def _spread(table: DataFrame) -> DataFrame:
     A table of many pieces, which any large one is, stays as it is: no shuffle.
     """
     cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+    return table.repartition(cores, *table.columns) if table.rdd.getNumPartitions() < cores else table
 
 
 def messages_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:

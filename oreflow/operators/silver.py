@@ -30,11 +30,10 @@ def parse(bronze: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     read = bronze.select(*keep, F.inline(F.array(once))).select(
         "*", F.inline(F.array(F.when(F.col(FAULTY).isNotNull(), again)))
     )
-    return read.select(
+    return read.selectExpr(
         *(
-            F.when(F.col(FAULTY).isNull(), F.coalesce(name, f"payload.{name}"))
-            .otherwise(F.coalesce(f"flat.{name}", f"envelope.payload.{name}"))
-            .alias(name)
+            f"CASE WHEN {FAULTY} IS NULL THEN coalesce({name}, payload.{name}) "
+            f"ELSE coalesce(flat.{name}, envelope.payload.{name}) END AS {name}"
             for name in TRADE_FIELDS
         ),
         *keep,

@@ -236,6 +236,37 @@ def stream_silver_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stream_silver(spark, sf_dir, bounded=True)
 
 
+def stream_silver_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages in two runs: what comes second is dropped where it is behind the watermark.
+
+    First come the trades before the year 2000 but for line 7 of each order; so of the second
+    run those of a line 7 are late if they are old, and the newer ones are not.
+    """
+    warehouse = _warehouse(spark, "late")
+    ensure_table(spark, warehouse.bronze)
+    topic = Topic(TOPIC_NAME, path=f"{warehouse.root}/topic", options=ONE_BATCH)
+    early = "timestamp < '2000-01-01' AND CAST(key AS string) NOT LIKE '%-7'"
+    for part in (early, f"NOT ({early})"):
+        write_topic(messages_from_lineitem(spark, sf_dir).where(part), topic)
+        run_bronze(spark, topic, warehouse, AVAILABLE).awaitTermination()
+        with _state_partitions(spark):
+            query = run_silver(spark, warehouse, AVAILABLE, source_options=ONE_BATCH)
+        query.awaitTermination()
+    return read_table(spark, warehouse.silver).select("trade_id")
+
+
+def stream_gold_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trades in two runs, the newer ones first: positions count the late ones all the same."""
+    warehouse = _warehouse(spark, "goldlate")
+    ensure_table(spark, warehouse.silver)
+    for part in ("trade_timestamp >= '2000-01-01'", "trade_timestamp < '2000-01-01'"):
+        append_table(_silver(spark, sf_dir).where(part), warehouse.silver)
+        with _state_partitions(spark):
+            query = run_gold(spark, warehouse, AVAILABLE)
+        query.awaitTermination()
+    return _plain(read_table(spark, warehouse.gold))
+
+
 def stream_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse = _warehouse(spark, "gold")
     ensure_table(spark, warehouse.silver)
@@ -268,7 +299,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_bronze,
         stream_silver,
         stream_silver_bounded,
+        stream_silver_late,
         stream_gold,
+        stream_gold_late,
     )
 }
 
@@ -337,6 +370,12 @@ _AMOUNTS = _doubles("quantity", "price", "fees", "trade_value")
 _LOG = """l_orderkey * 8 + l_linenumber AS "offset", cast(l_orderkey % 4 AS integer) AS "partition" """
 _INGEST = f"WITH {_MESSAGES} SELECT key, ticker, shape FROM bronze"
 _IDS = f"WITH {_SILVER} SELECT trade_id FROM silver"
+_LATE = f"""WITH {_TYPED},
+fed AS (
+  SELECT trade_id, trade_timestamp, trade_timestamp < '2000-01-01' AND trade_id NOT LIKE '%-7' AS early
+  FROM typed WHERE trade_id IS NOT NULL AND quantity > 0),
+mark AS (SELECT max(trade_timestamp) - INTERVAL 2 HOUR AS watermark FROM fed WHERE early)
+SELECT DISTINCT trade_id FROM fed WHERE early OR trade_timestamp > (SELECT watermark FROM mark)"""
 _POSITIONS = f"""WITH {_GOLD} SELECT portfolio_id, ticker,
     {_doubles("net_quantity", "total_fees", "total_value")} FROM gold"""
 
@@ -372,5 +411,7 @@ ORACLE: dict[str, str] = {
     "stream_bronze": _INGEST,
     "stream_silver": _IDS,
     "stream_silver_bounded": _IDS,
+    "stream_silver_late": _LATE,
     "stream_gold": _POSITIONS,
+    "stream_gold_late": _POSITIONS,
 }

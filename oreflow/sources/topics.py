@@ -53,7 +53,8 @@ def read_topic(spark: SparkSession, topic: Topic, ending: str | None = None) ->
 def stream_topic(spark: SparkSession, topic: Topic, starting: str = "earliest") -> DataFrame:
     """The topic as a stream, from its start or, with ``latest``, from its current end.
 
-    For files the current end is the newest modification time among them.
+    For files the current end is the newest modification time among them, as the listing of
+    the folder tells it; no file is opened for it.
     """
     if starting not in ("earliest", "latest"):
         raise ValueError(f"starting must be earliest or latest, not {starting}")
@@ -63,8 +64,9 @@ def stream_topic(spark: SparkSession, topic: Topic, starting: str = "earliest")
     stream = spark.readStream.schema(TOPIC_SCHEMA).options(**options).parquet(topic.path)
     if starting == "earliest":
         return stream
+    listing = spark.read.format("binaryFile").load(topic.path)
+    newest = listing.agg(F.max(F.unix_micros("modificationTime"))).first()[0]
     written = F.unix_micros("_metadata.file_modification_time")
-    newest = read_topic(spark, topic).agg(F.max(written)).first()[0]
     return stream if newest is None else stream.where(written > F.lit(newest))
 
 

@@ -1,4 +1,4 @@
-"""The command line: arguments to settings, and one run of the jobs in a process of their own."""
+"""The command line: arguments to settings, and one job in a process of its own."""
 
 import os
 import subprocess
@@ -7,7 +7,8 @@ from pathlib import Path
 
 import pytest
 
-from oreflow.__main__ import main, parser, settings_of, topic_of
+from oreflow.__main__ import check, main, parser, settings_of, topic_of
+from oreflow.sources import Topic, write_topic
 
 REPO = Path(__file__).resolve().parents[1]
 
@@ -35,17 +36,23 @@ def test_unknown_job_is_refused():
         main(["platinum"])
 
 
-def run(tmp_path, *args):
-    command = [sys.executable, "-m", "oreflow", *args, "--master", "local[2]", "--root", str(tmp_path / "lake")]
-    env = os.environ | {"PYTHONPATH": str(REPO)}
-    return subprocess.run(command, cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+def test_tables_need_a_root():
+    with pytest.raises(SystemExit):
+        main(["gold"])
 
 
-def test_check_and_bronze_in_their_own_process(tmp_path):
-    topic = ["--topic", "t", "--path", str(tmp_path / "topic")]
-    done = run(tmp_path, "check", *topic)
-    assert done.returncode == 0, done.stderr
-    assert "3 of 3 messages came back from t" in done.stdout
-    done = run(tmp_path, "bronze", *topic, "--once")
+def test_check_tells_whether_messages_come_back(spark, tmp_path, capsys):
+    assert check(spark, Topic("t", path=str(tmp_path / "topic"))) == 0
+    assert "3 of 3 messages came back from t" in capsys.readouterr().out
+    assert check(spark, Topic("t", path=str(tmp_path / "lost"), options={"pathGlobFilter": "nothing*"})) == 1
+
+
+def test_bronze_in_a_process_of_its_own(spark, tmp_path):
+    topic = Topic("t", path=str(tmp_path / "topic"))
+    write_topic(spark.createDataFrame([("k", '{"ticker": "a"}')], "key string, value string"), topic)
+    command = [sys.executable, "-m", "oreflow", "bronze", "--topic", "t", "--path", topic.path, "--once"]
+    command += ["--master", "local[2]", "--root", str(tmp_path / "lake")]
+    env = os.environ | {"PYTHONPATH": str(REPO)}
+    done = subprocess.run(command, cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert done.returncode == 0, done.stderr
-    assert list((tmp_path / "lake/bronze/trades").rglob("*.parquet"))
+    assert list((tmp_path / "lake/bronze/trades/ticker=A").rglob("*.parquet"))

@@ -54,7 +54,7 @@ def test_signed_quantity(spark):
     assert [row.q for row in signed.collect()] == [Decimal(v) for v in sides.values()]
 
 
-@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=5, derandomize=True, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.text(max_size=30), min_size=200, max_size=400))
 def test_no_text_raises(spark, texts):
     rows = spark.createDataFrame([(t,) for t in texts], "v string")

@@ -51,6 +51,7 @@ def per_shape(rows):
 
 @settings(
     max_examples=4,
+    derandomize=True,
     deadline=None,
     suppress_health_check=[
         HealthCheck.function_scoped_fixture,
