@@ -76,7 +76,8 @@ def dedup_stream(
     up to ``salts`` tasks and leaves at most that many rows of it; the second pass on the id
     alone decides.  The salt is the task that reads the row, which does not change when the
     task runs again; the result does not depend on it.  The state of the first pass is
-    cleared behind the watermark.  ``salts=1`` leaves the first pass out.
+    cleared behind the watermark.  ``salts=1`` leaves the first pass out; leaving it out or
+    taking it in needs a new checkpoint, another number of salts does not.
     """
     marked = trades.withWatermark("trade_timestamp", lateness)
     if salts > 1:

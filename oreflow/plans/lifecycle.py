@@ -6,6 +6,7 @@ import re
 import time
 import uuid
 from collections.abc import Iterable, Mapping
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -67,8 +68,15 @@ def partition_fields(spark: SparkSession, table: str) -> list[str]:
 
 def ensure_table(spark: SparkSession, spec: TableSpec) -> None:
     """Make the table exist with the columns, layout and properties of ``spec``."""
-    for statement in create_statements(spec):
-        spark.sql(statement)
+    namespace, table = create_statements(spec)
+    spark.sql(namespace)
+    if is_streamed(spark, spec) and not spark.catalog.tableExists(spec.name):
+        # Over the folder of a stream, as after a restart without a metastore, Spark would
+        # guess the type of the partition columns; so the table is made apart and moved there.
+        spark.sql(create_statements(replace(spec, location=f"{spec.location}-new"))[1])
+        spark.sql(f"ALTER TABLE {spec.name} SET LOCATION '{spec.location}'")
+    else:
+        spark.sql(table)
     have = spark.table(spec.name).columns
     for statement in change_statements(spec, have, partition_fields(spark, spec.name)):
         spark.sql(statement)
@@ -135,14 +143,14 @@ def drop_table(spark: SparkSession, spec: TableSpec) -> None:
         spark.sql(f"DROP TABLE IF EXISTS {spec.name}")
 
 
-def publish(df: DataFrame, spec: TableSpec, keep: int = 2, writers: int = 16) -> None:
+def publish(df: DataFrame, spec: TableSpec, keep: int = 2, writers: int = 64) -> None:
     """Replace the whole content of a table; readers see the old rows or the new ones.
 
     Iceberg replaces in one commit.  A Parquet table cannot, so the rows go to a new table
     and the name readers use is a view that is then pointed at it.  Every attempt writes a
     table of its own: a batch that runs again never touches what readers are looking at.
     The ``keep`` newest versions stay for queries already running.  ``writers`` is the
-    number of tasks that write, each a file per partition at most.
+    most tasks that write where there is no adaptive execution, as in a stream with state.
     """
     spark = df.sparkSession
     rows = conform(df, spec)
@@ -150,26 +158,43 @@ def publish(df: DataFrame, spec: TableSpec, keep: int = 2, writers: int = 16) ->
         rows.writeTo(spec.name).overwrite(F.lit(True))
         return
     version = f"{spec.name}__v{time.time_ns() // 1_000_000:013d}_{uuid.uuid4().hex[:8]}"
-    (
-        gathered(rows, writers, *spec.key)
-        .write.format(spec.format)
-        .partitionBy(*spec.partition_by)
-        .saveAsTable(version)
-    )
-    spark.sql(f"CREATE OR REPLACE VIEW {spec.name} AS SELECT {', '.join(spec.columns)} FROM {version}")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    rows = rebalanced(rows, *spec.partition_by) if adaptive else gathered(rows, writers, *spec.key)
+    rows.write.format(spec.format).partitionBy(*spec.partition_by).saveAsTable(version)
+    _point(spark, spec, version)
     older = [name for name in _versions(spark, spec) if name != version]
     for name in older[: max(len(older) - (keep - 1), 0)]:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def ensure_published(spark: SparkSession, spec: TableSpec) -> None:
-    """Make a replaced table readable before its first content arrives."""
+    """Make a replaced table readable before its next content arrives.
+
+    Where the catalog does not know it, as after a restart without a metastore, the newest
+    version in the folder is taken up again; where there is none the table starts empty.
+    """
     if spec.is_iceberg:
         ensure_table(spark, spec)
         return
     spark.sql(create_statements(spec)[0])
-    if not spark.catalog.tableExists(spec.name):
+    if spark.catalog.tableExists(spec.name):
+        return
+    fs, finished = _folder(spark, f"{spec.location}__v*/_SUCCESS")
+    folders = [status.getPath().getParent() for status in fs.globStatus(finished) or []]
+    if not folders:
         publish(spark.createDataFrame([], ", ".join(f"{n} {k}" for n, k in spec.columns.items())), spec)
+        return
+    newest = max(folders, key=lambda folder: folder.getName())
+    version = replace(spec, name=f"{spec.namespace}.{newest.getName()}", location=newest.toString())
+    spark.sql(create_statements(version)[1])
+    if spec.partition_by:
+        spark.sql(f"MSCK REPAIR TABLE {version.name}")
+    _point(spark, spec, version.name)
+
+
+def _point(spark: SparkSession, spec: TableSpec, version: str) -> None:
+    """From now on readers of ``spec`` get this version."""
+    spark.sql(f"CREATE OR REPLACE VIEW {spec.name} AS SELECT {', '.join(spec.columns)} FROM {version}")
 
 
 def _versions(spark: SparkSession, spec: TableSpec) -> list[str]:

@@ -11,6 +11,9 @@ from oreflow.plans.specs import TableSpec
 
 def read_table(spark: SparkSession, spec: TableSpec) -> DataFrame:
     """The table as it is now, in the column order of its spec."""
+    if not spec.is_iceberg:
+        # The session may remember the files of an earlier read.
+        spark.catalog.refreshTable(spec.name)
     return spark.table(spec.name).select(*spec.columns)
 
 

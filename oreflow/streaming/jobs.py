@@ -23,7 +23,7 @@ from oreflow.plans import (
     publish,
 )
 from oreflow.session import STATE_SETTINGS, session_conf
-from oreflow.sources import Topic, stream_table, stream_topic
+from oreflow.sources import Topic, read_table, stream_table, stream_topic
 
 AVAILABLE = {"availableNow": True}
 
@@ -40,10 +40,10 @@ def _writer(df: DataFrame, checkpoint: str, mode: str, trigger: Mapping | None)
 
 
 def _append(df: DataFrame, spec: TableSpec, checkpoint: str, trigger: Mapping | None) -> StreamingQuery:
-    spark = df.sparkSession
     writer = _writer(df, checkpoint, "append", trigger).format(spec.format)
     if not spec.is_iceberg:
-        if not is_streamed(spark, spec) and not spark.table(spec.name).isEmpty():
+        spark = df.sparkSession
+        if not is_streamed(spark, spec) and not read_table(spark, spec).isEmpty():
             raise ValueError(f"{spec.name} was filled by a batch; a stream would hide those rows")
         writer = writer.partitionBy(*spec.partition_by)
     return writer.toTable(spec.name)
@@ -100,6 +100,7 @@ def run_gold(
     spark: SparkSession,
     warehouse: Warehouse,
     trigger: Mapping | None = None,
+    writers: int = 64,
     source_options: Mapping[str, str] | None = None,
     state_settings: Mapping[str, str] = STATE_SETTINGS,
 ) -> StreamingQuery:
@@ -108,7 +109,7 @@ def run_gold(
     ensure_published(spark, spec)
 
     def replace(batch: DataFrame, _batch_id: int) -> None:
-        publish(batch, spec)
+        publish(batch, spec, writers=writers)
 
     current = positions(stream_table(spark, warehouse.silver, source_options))
     with session_conf(spark, state_settings):

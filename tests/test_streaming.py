@@ -1,6 +1,7 @@
 """Streams: late data, copies, restarts, and the same result as in batch."""
 
 import json
+from dataclasses import replace
 from datetime import datetime
 from decimal import Decimal
 
@@ -138,7 +139,7 @@ def run_all(spark, topic, warehouse):
 
 
 def gold(spark, warehouse):
-    return {(r.portfolio_id, r.ticker): tuple(map(float, r[2:])) for r in spark.table(warehouse.gold.name).collect()}
+    return {(r.portfolio_id, r.ticker): tuple(map(float, r[2:])) for r in read_table(spark, warehouse.gold).collect()}
 
 
 def test_restarts_neither_lose_nor_double(spark, warehouse, tmp_path):
@@ -153,18 +154,33 @@ def test_restarts_neither_lose_nor_double(spark, warehouse, tmp_path):
     send(message("1", quantity=50.0), message("3", ticker="bbb"))
     assert gold(spark, warehouse) == {("p", "AAA"): (0.75, 1.0, 2.5), ("p", "BBB"): (1.0, 0.5, 2.0)}
     run_all(spark, topic, warehouse)
-    assert spark.table(warehouse.bronze.name).count() == 6
-    assert spark.table(warehouse.silver.name).count() == 3
+    assert read_table(spark, warehouse.bronze).count() == 6
+    assert read_table(spark, warehouse.silver).count() == 3
     assert len(gold(spark, warehouse)) == 2
 
 
+def test_tables_outlive_the_catalog(spark, warehouse, tmp_path):
+    """After a restart without a metastore the folders are taken up again."""
+    topic = Topic("t", path=str(tmp_path / "topic"))
+    write_topic(spark.createDataFrame([message("1", ticker="007")], "key string, value string"), topic)
+    run_all(spark, topic, warehouse)
+    restarted = replace(warehouse, suffix=f"{warehouse.suffix}_again")
+    run_all(spark, topic, restarted)
+    assert gold(spark, restarted) == {("p", "007"): (1.0, 0.5, 2.0)}
+    more = [message("1", ticker="007"), message("2", ticker="7")]
+    write_topic(spark.createDataFrame(more, "key string, value string"), topic)
+    run_all(spark, topic, restarted)
+    assert read_table(spark, restarted.bronze).count() == 3
+    assert gold(spark, restarted) == {("p", "007"): (1.0, 0.5, 2.0), ("p", "7"): (1.0, 0.5, 2.0)}
+
+
 def test_an_update_or_a_delete_changes_nothing(spark, warehouse, tmp_path):
     topic = Topic("t", path=str(tmp_path / "topic"))
     deleted = json.dumps(json.loads(message("1")[1]) | {"__deleted": "true"})
     for rows in ([message("1", quantity=3.0)], [message("1", quantity=9.0)], [("1", deleted), ("1", None)]):
         write_topic(spark.createDataFrame(rows, "key string, value string"), topic)
         run_all(spark, topic, warehouse)
-    assert [float(r.quantity) for r in spark.table(warehouse.silver.name).collect()] == [3.0]
+    assert [float(r.quantity) for r in read_table(spark, warehouse.silver).collect()] == [3.0]
     assert gold(spark, warehouse) == {("p", "AAA"): (3.0, 0.5, 6.0)}
 
 
@@ -175,7 +191,7 @@ def test_three_streams_equal_batch(spark, warehouse, tmp_path):
     silver = read_table(spark, warehouse.silver)
     assert silver.count() == silver.select("trade_id").distinct().count()
     in_batch = positions(silver)
-    streamed = spark.table(warehouse.gold.name).select(in_batch.columns)
+    streamed = read_table(spark, warehouse.gold).select(in_batch.columns)
     assert streamed.count() > 0
     assert in_batch.exceptAll(streamed).isEmpty() and streamed.exceptAll(in_batch).isEmpty()
 
@@ -195,7 +211,7 @@ def test_gold_over_many_batches(spark, warehouse):
 def test_gold_can_be_read_before_its_first_batch(spark, warehouse):
     ensure_table(spark, warehouse.silver)
     run_gold(spark, warehouse, AVAILABLE).awaitTermination()
-    assert spark.table(warehouse.gold.name).count() == 0
+    assert read_table(spark, warehouse.gold).count() == 0
 
 
 def test_a_table_is_filled_by_batches_or_by_a_stream(spark, warehouse, tmp_path):
@@ -217,7 +233,7 @@ def test_rows_keep_their_numeric_looking_ticker(spark, warehouse, tmp_path):
     write_topic(spark.createDataFrame(rows, "key string, value string"), topic)
     run_all(spark, topic, warehouse)
     for spec in (warehouse.bronze, warehouse.silver, warehouse.gold):
-        table = spark.table(spec.name)
+        table = read_table(spark, spec)
         assert table.schema["ticker"].dataType.simpleString() == "string"
         assert {r.ticker for r in table.collect()} == {"007", "7", None}
 
@@ -227,7 +243,7 @@ def test_fewer_writers_keep_all_rows(spark, warehouse, tmp_path):
     write_topic(messages_from_lineitem(spark, SF_SMALL), topic)
     run_bronze(spark, topic, warehouse, AVAILABLE, rebalance=False).awaitTermination()
     run_silver(spark, warehouse, AVAILABLE, writers=2).awaitTermination()
-    silver = spark.table(warehouse.silver.name)
+    silver = read_table(spark, warehouse.silver)
     assert silver.count() == silver.select("trade_id").distinct().count() > 0
     files = silver.select("ticker", F.input_file_name().alias("file")).distinct().groupBy("ticker").count()
     assert files.agg(F.max("count")).first()[0] == 2
