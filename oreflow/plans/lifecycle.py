@@ -137,10 +137,10 @@ def drop_table(spark: SparkSession, spec: TableSpec) -> None:
     """Drop a table, or a published view with all its versions."""
     if spark.catalog.tableExists(spec.name) and spark.catalog.getTable(spec.name).tableType == "VIEW":
         spark.sql(f"DROP VIEW IF EXISTS {spec.name}")
-        for version in _versions(spark, spec):
-            spark.sql(f"DROP TABLE IF EXISTS {version}")
     else:
         spark.sql(f"DROP TABLE IF EXISTS {spec.name}")
+    for version in _versions(spark, spec):
+        _discard(spark, spec, version)
 
 
 def publish(df: DataFrame, spec: TableSpec, keep: int = 2, writers: int = 64) -> None:
@@ -164,7 +164,7 @@ def publish(df: DataFrame, spec: TableSpec, keep: int = 2, writers: int = 64) ->
     _point(spark, spec, version)
     older = [name for name in _versions(spark, spec) if name != version]
     for name in older[: max(len(older) - (keep - 1), 0)]:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        _discard(spark, spec, name)
 
 
 def ensure_published(spark: SparkSession, spec: TableSpec) -> None:
@@ -179,12 +179,11 @@ def ensure_published(spark: SparkSession, spec: TableSpec) -> None:
     spark.sql(create_statements(spec)[0])
     if spark.catalog.tableExists(spec.name):
         return
-    fs, finished = _folder(spark, f"{spec.location}__v*/_SUCCESS")
-    folders = [status.getPath().getParent() for status in fs.globStatus(finished) or []]
-    if not folders:
+    finished = [marker.getParent() for marker in _found(spark, f"{spec.location}__v*/_SUCCESS")]
+    if not finished:
         publish(spark.createDataFrame([], ", ".join(f"{n} {k}" for n, k in spec.columns.items())), spec)
         return
-    newest = max(folders, key=lambda folder: folder.getName())
+    newest = max(finished, key=lambda folder: folder.getName())
     version = replace(spec, name=f"{spec.namespace}.{newest.getName()}", location=newest.toString())
     spark.sql(create_statements(version)[1])
     if spec.partition_by:
@@ -198,7 +197,21 @@ def _point(spark: SparkSession, spec: TableSpec, version: str) -> None:
 
 
 def _versions(spark: SparkSession, spec: TableSpec) -> list[str]:
-    """Versions behind a published view, oldest first."""
+    """Versions behind a published view, oldest first, in the catalog or only in the folder."""
+    if spec.is_iceberg or not spark.catalog.databaseExists(spec.namespace):
+        return []
     short = spec.name.rpartition(".")[2]
-    found = spark.sql(f"SHOW TABLES IN {spec.namespace} LIKE '{short}__v*'").collect()
-    return sorted(f"{spec.namespace}.{row.tableName}" for row in found)
+    names = {row.tableName for row in spark.sql(f"SHOW TABLES IN {spec.namespace} LIKE '{short}__v*'").collect()}
+    names |= {folder.getName() for folder in _found(spark, f"{spec.location}__v*")}
+    return [f"{spec.namespace}.{name}" for name in sorted(names)]
+
+
+def _discard(spark: SparkSession, spec: TableSpec, version: str) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {version}")
+    fs, folder = _folder(spark, f"{spec.namespace_location}/{version.rpartition('.')[2]}")
+    fs.delete(folder, True)
+
+
+def _found(spark: SparkSession, pattern: str) -> list:
+    fs, path = _folder(spark, pattern)
+    return [status.getPath() for status in fs.globStatus(path) or []]

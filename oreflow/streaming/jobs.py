@@ -27,7 +27,7 @@ from oreflow.sources import Topic, read_table, stream_table, stream_topic
 
 AVAILABLE = {"availableNow": True}
 
-# Names of the checkpoints.  Gold's goes up when its grouping or its sums change, since the
+# Names of the checkpoints (fixed values).  Gold's goes up when its grouping or its sums change, since the
 # state of an earlier version no longer fits; a new one reads all of silver again.
 BRONZE_JOB = "bronze_trades"
 SILVER_JOB = "silver_trades"

@@ -132,6 +132,21 @@ def test_old_versions_go(spark, warehouse):
     assert [int(r.net_quantity) for r in spark.table(warehouse.gold.name).collect()] == [4]
 
 
+def test_versions_of_an_earlier_catalog_are_found_and_go(spark, warehouse):
+    for i in range(2):
+        ensure_published(spark, warehouse.gold)
+        publish(gold_rows(spark, ("p", "007", i)), warehouse.gold, keep=2)
+    again = replace(warehouse, suffix=f"{warehouse.suffix}_again").gold
+    ensure_published(spark, again)
+    assert [(r.ticker, int(r.net_quantity)) for r in spark.table(again.name).collect()] == [("007", 1)]
+    publish(gold_rows(spark, ("p", "A", 7)), again, keep=1)
+    assert len(_versions(spark, again)) == 1
+    assert [int(r.net_quantity) for r in spark.table(again.name).collect()] == [7]
+    drop_table(spark, again)
+    ensure_published(spark, again)
+    assert spark.table(again.name).count() == 0, "what was dropped does not come back"
+
+
 def test_drop(spark, warehouse):
     ensure_published(spark, warehouse.gold)
     ensure_table(spark, warehouse.bronze)
