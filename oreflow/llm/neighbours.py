@@ -15,8 +15,9 @@ from oreflow.llm.common import Workspace
 FIT_ROWS, MAX_LISTS = 20_000, 16_384
 #: A vector goes to at most COPIES lists whose centroid is within 1 + COPY_RATIO of its nearest one.
 COPIES, COPY_RATIO = 4, 0.1
-#: A query reads all lists whose centroid is within 1 + PROBE_RATIO of its nearest one.
-PROBE_RATIO = 0.13
+#: A query reads all lists whose centroid is within 1 + PROBE_RATIO of its nearest one, and more where
+#: fewer entries than LEAST_READ times the neighbours asked for live in them.
+PROBE_RATIO, LEAST_READ = 0.13, 10
 LINKS = 16
 #: Vectors of one list that a task holds at once; queries that one copy of them answers.
 CELL_ROWS, CELL_QUERIES = 4096, 65_536
@@ -108,23 +109,49 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.asarray(column.flatten(), np.float64).reshape(len(column), -1)
 
 
-def _post(index: Index, ratio: float, copies: int, is_query: bool):
-    """Adds ``list`` to each vector, once for each list that it is put into or that it asks."""
+def _spread(part: pa.RecordBatch, order: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    """Each row once for each of the first ``counts`` lists of its ``order``; ``nth`` counts them."""
+    rows = np.repeat(np.arange(len(part)), counts)
+    nth = np.arange(len(rows)) - np.repeat(np.cumsum(counts) - counts, counts)
+    taken = part.take(pa.array(rows, pa.int64()))
+    return pa.RecordBatch.from_arrays(
+        [*taken.columns, pa.array(order[rows, nth], pa.int32()), pa.array(nth, pa.int32())],
+        names=[*part.schema.names, "list", "nth"],
+    )
+
+
+def _post(index: Index):
+    """The lists that each entry is put into, its nearest one first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, len(batch), 256):
                 part = batch.slice(lo, 256)
-                vectors = _matrix(part.column("vector"))
-                near = index.near(index.aimed(vectors) if is_query else index.lifted(vectors), ratio)
+                near = index.near(index.lifted(_matrix(part.column("vector"))), COPY_RATIO)
                 order = np.argsort(near, axis=1, kind="stable")
-                counts = np.minimum(np.isfinite(near).sum(axis=1), copies)
-                rows = np.repeat(np.arange(len(part)), counts)
-                lists = np.concatenate([order[i, :c] for i, c in enumerate(counts)]) if len(part) else rows
-                taken = part.take(pa.array(rows, pa.int64()))
-                yield pa.RecordBatch.from_arrays(
-                    [*taken.columns, pa.array(lists, pa.int32())], names=[*part.schema.names, "list"]
-                )
+                yield _spread(part, order, np.minimum(np.isfinite(near).sum(axis=1), COPIES))
+
+    return run
+
+
+def _ask(index: Index, ratio: float, homes: np.ndarray, least: int):
+    """The lists that each query reads: all within the ratio, and on until ``least`` entries live there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, len(batch), 256):
+                part = batch.slice(lo, 256)
+                points = index.aimed(_matrix(part.column("vector")))
+                near = index.near(points, ratio)
+                inside = np.isfinite(near)
+                few = np.flatnonzero(inside @ homes < least)
+                near[few] = np.where(inside[few], near[few], np.sqrt(np.maximum(_squares(points[few], index.centroids), 0)) + near[inside].max(initial=0))
+                order = np.argsort(near, axis=1, kind="stable")
+                counts = inside.sum(axis=1)
+                for i in few:
+                    reach = np.searchsorted(np.cumsum(homes[order[i]]), least) + 1
+                    counts[i] = min(max(counts[i], reach), len(homes))
+                yield _spread(part, order, counts)
 
     return run
 
@@ -206,7 +233,8 @@ def nearest(
     Equal vectors are one entry of the index with their ``k + 1`` smallest ids; the others can be
     among nobody's ``k`` nearest.  The index is fitted on at most about ``FIT_ROWS`` of the entries and
     then holds all: an entry goes to up to ``COPIES`` lists near its nearest centroid.  A query reads
-    every list within ``probe_ratio`` of its nearest one.  Lists are cut into cells of ``CELL_ROWS``
+    every list within ``probe_ratio`` of its nearest one, and the next ones while too few entries live
+    in them.  Lists are cut into cells of ``CELL_ROWS``
     entries, and a cell that very many queries ask is copied, so neither side of a list is ever whole
     in one task; queries stream past the entries of a cell.
     """
@@ -235,14 +263,16 @@ def nearest(
     if not len(fit):
         fit = np.array([entries.first()["vector"]])
     index = fit_index(fit, min(MAX_LISTS, max(1, round(about.n**0.5))), about.top * (1 + 1e-9))
-    dims = "list int"
-    posted = entries.mapInArrow(
-        _post(index, COPY_RATIO, COPIES, False), f"ids array<long>, vector array<double>, {dims}"
-    )
+    places = "list int, nth int"
+    posted = entries.mapInArrow(_post(index), f"ids array<long>, vector array<double>, {places}")
     posted = work.keep(posted, "lists")
+    # How many entries live in each list, for at most MAX_LISTS lists.
+    homes = np.zeros(len(index.centroids))
+    for r in posted.where("nth = 0").groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect():
+        homes[r["list"]] = r["n"]
     asking = typed.where("asks").select(F.col("vec_id").alias("query_id"), "vector").distinct()
     asked = asking.mapInArrow(
-        _post(index, probe_ratio, len(index.centroids), True), f"query_id long, vector array<double>, {dims}"
+        _ask(index, probe_ratio, homes, LEAST_READ * (k + 1)), f"query_id long, vector array<double>, {places}"
     )
     asked = work.keep(asked, "asked")
     # A row for each list, at most MAX_LISTS: how many cells and copies of them it needs.

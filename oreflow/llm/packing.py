@@ -55,6 +55,13 @@ class WordTokens:
             text = text.lower()
         return text.replace("\n", " ").split(" ")
 
+    @staticmethod
+    def _plain(word: str) -> bool:
+        """Short, and as many characters after the tokenizer's normalization as before, so that places hold."""
+        if len(word) > LONG_WORD:
+            return False
+        return word.isascii() or (len(word.lower()) == len(word) and unicodedata.is_normalized("NFC", word))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         lists = [self._words(t) for t in texts]
         if len(self.known) > REMEMBERED:
@@ -62,20 +69,20 @@ class WordTokens:
         new = set().union(*lists) - self.known.keys()
         cores: dict[str, None] = {}
         for w in new:
-            if len(w) > LONG_WORD:
+            if not self._plain(w):
                 continue
             if w[-1] in ",." and w[:-1] and w[-2].isalnum():
                 cores[w[:-1]] = cores[w[-1]] = None
             else:
                 cores[w] = None
         self._learn([w for w in cores if w not in self.known])
-        long = {}
+        alone = {}
         for w in new:
-            if len(w) > LONG_WORD:
-                long[w] = self._pack(self.tokenizer.encode(w, add_special_tokens=False).ids)
+            if not self._plain(w):
+                alone[w] = self._pack(self.tokenizer.encode(w, add_special_tokens=False).ids)
             elif w not in self.known:
                 self.known[w] = self.known[w[:-1]] + self.known[w[-1]]
-        known = self.known | long if long else self.known
+        known = self.known | alone if alone else self.known
         return [b"".join([known[w] for w in words]) for words in lists]
 
 

@@ -14,9 +14,10 @@ from oreflow.llm.common import Workspace
 
 #: Bounds of the sample the classifier is fitted on: confirmed toxic documents, unlabelled ones.
 FIT_POSITIVES, FIT_UNLABELLED = 5_000, 15_000
-#: Features that are kept, and how much more often than in unlabelled text they must stand in toxic text.
-FIT_FEATURES, LEAST_Z = 2_048, 5.0
-SIZES = (4, 5, 6)
+#: Features that are kept at most; how surely and how many times more often they stand in toxic text.
+FIT_FEATURES, LEAST_GAIN, LEAST_LIFT = 2_048, 30.0, 3.0
+#: Lengths of beginnings, and up to how many different words that share one are told apart.
+SIZES, OFTEN = (4, 5, 6), 3
 REMEMBERED = 300_000
 TOXIC_FROM = 0.7
 
@@ -26,40 +27,47 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def word_features(word: str) -> tuple[int, ...]:
-    """The word (without marks around it) and its beginnings of 4, 5 and 6 letters, as 31-bit hashes."""
+def word_features(word: str) -> tuple[str, ...]:
+    """The word (without marks around it) and its beginnings of 4, 5 and 6 letters."""
     core = word.strip(".,;:!?\"'()[]{}<>*#$%&|_-")
-    if not core:
-        return ()
-    names = [f"w{core}", *(f"{n}{core[:n]}" for n in SIZES if len(core) >= n)]
-    return tuple(xxhash.xxh32_intdigest(x) >> 1 for x in names)
+    return (f"w{core}", *(f"{n}{core[:n]}" for n in SIZES if len(core) > n)) if core else ()
 
 
 class Features:
-    """Distinct features of whole texts, remembered by word; with ``wanted``, places of those in it only."""
+    """Features of whole texts: words, and beginnings with the number of words that share them.
+
+    A beginning counts anew with its first, second and third different word in a text, since one may
+    well be chance.  Features are 31-bit hashes; with ``wanted``, the places of those in it, all others
+    being left out.  What a word gives is remembered.
+    """
 
     def __init__(self, wanted: dict[int, int] | None = None):
         self.wanted, self.known = wanted, {}
 
-    def _learn(self, word: str) -> tuple[int, ...]:
+    def _learn(self, word: str) -> tuple[tuple[int, ...], ...]:
         if len(self.known) >= REMEMBERED:
             self.known.clear()
-        out = word_features(word)
-        if self.wanted is not None:
-            out = tuple(self.wanted[x] for x in out if x in self.wanted)
-        self.known[word] = out
-        return out
+        out = []
+        for name in word_features(word):
+            steps = [name] if name[0] == "w" else [f"{name}#{i}" for i in range(1, 1 + OFTEN)]
+            codes = [xxhash.xxh32_intdigest(x) >> 1 for x in steps]
+            if self.wanted is not None:
+                codes = [self.wanted.get(x, -1) for x in codes]
+            if any(x >= 0 for x in codes):
+                out.append(tuple(codes))
+        self.known[word] = tuple(out)
+        return self.known[word]
 
     def of(self, text: str) -> set[int]:
-        out: set[int] = set()
+        counts: dict[tuple[int, ...], int] = {}
         known = self.known
         for word in set(text.lower().split()):
             found = known.get(word)
             if found is None:
                 found = self._learn(word)
-            if found:
-                out.update(found)
-        return out
+            for codes in found:
+                counts[codes] = counts.get(codes, 0) + 1
+        return {x for codes, n in counts.items() for x in codes[:n] if x >= 0}
 
 
 @dataclass(frozen=True)
@@ -145,12 +153,13 @@ def _featured(wanted: dict[int, int] | None):
 def fit(docs: DataFrame, labels: DataFrame, work: Workspace) -> Model:
     """A model from ``labels`` (``doc_id``, ``toxic``) outside the held-out fold and the texts of ``docs``.
 
-    Confirmed toxic documents are the positives, all other documents outside the fold the unlabelled
-    ones; both are thinned by a hash of ``doc_id`` to about ``FIT_POSITIVES`` and ``FIT_UNLABELLED``.  The
-    class prior is the rate of toxic labels outside the fold.  Features are those that stand in
-    positives more often by ``LEAST_Z`` standard errors, the ``FIT_FEATURES`` clearest of them; their counts
-    are summed by key, and only they and the sample's rows of them reach the driver.  Without
-    positives the model scores every text the same, near 0.
+    Confirmed toxic documents are the positives; the unlabelled ones are drawn from all documents
+    outside the fold, whatever their label, as the estimator asks for.  Both are thinned by a hash of
+    ``doc_id`` to about ``FIT_POSITIVES`` and ``FIT_UNLABELLED``.  The class prior is the rate of toxic labels
+    outside the fold.  Features are those that stand in positives more often by a likelihood ratio
+    test, the ``FIT_FEATURES`` clearest of them; their counts are summed by key, and only they and the
+    sample's rows of them reach the driver.  Without positives the model scores every text the same,
+    near 0.
     """
     marks = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
     marks = marks.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -160,13 +169,12 @@ def fit(docs: DataFrame, labels: DataFrame, work: Workspace) -> Model:
     prior = min(0.5, max(0.001, rates.toxic / rates.n))
     open_docs = docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     n_docs = open_docs.count()
-    share = F.when(F.col("positive"), min(1.0, FIT_POSITIVES / rates.toxic)).otherwise(
-        min(1.0, FIT_UNLABELLED / max(n_docs, 1))
-    )
-    drawn = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 20)) < share * (1 << 20)
-    toxic = marks.where("toxic = 1").select("doc_id", F.lit(True).alias("positive"))
-    ids = open_docs.select("doc_id").distinct().join(toxic, "doc_id", "left")
-    ids = ids.withColumn("positive", F.coalesce("positive", F.lit(False))).where(drawn)
+    draw = lambda seed, most, of: F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 20)) < min(
+        1.0, most / max(of, 1)
+    ) * (1 << 20)
+    toxic = marks.where(F.col("toxic") == 1).where(draw(5, FIT_POSITIVES, rates.toxic))
+    others = open_docs.select("doc_id").distinct().where(draw(6, FIT_UNLABELLED, n_docs))
+    ids = toxic.select("doc_id", F.lit(True).alias("positive")).union(others.withColumn("positive", F.lit(False)))
     # Two bounds hold the ids to a few hundred kilobytes, whatever the number of documents.
     texts = open_docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("positive", "text")
     texts = work.keep(texts, "sample")
@@ -178,10 +186,12 @@ def fit(docs: DataFrame, labels: DataFrame, work: Workspace) -> Model:
     n_p, n_u = sizes.get(True, 0), sizes.get(False, 0)
     if not n_p or not n_u:
         return Model({}, np.zeros(0), -4.0)
-    rate_p, rate_u = F.col("p") / n_p, (F.col("u") + 0.5) / (n_u + 1)
-    error = F.sqrt(rate_u * (1 - rate_u / 2) * (1 / n_p + 1 / n_u))
-    clear = counts.withColumn("z", (rate_p - rate_u) / error).where((F.col("z") >= LEAST_Z) & (F.col("p") >= 3))
-    chosen = clear.orderBy(F.desc("z"), "feature").limit(FIT_FEATURES).collect()
+    p, u = F.col("p").cast("double"), F.col("u").cast("double")
+    both = (p + u) / (n_p + n_u)
+    gain = 2 * (p * F.log(p / (both * n_p)) + F.when(u > 0, u * F.log(u / (both * n_u))).otherwise(0.0))
+    clear = counts.where((F.col("p") >= max(3, n_p / 200)) & (p / n_p > LEAST_LIFT * (u + 0.5) / (n_u + 1)))
+    clear = clear.withColumn("gain", gain).where(F.col("gain") >= LEAST_GAIN)
+    chosen = clear.orderBy(F.desc("gain"), "feature").limit(FIT_FEATURES).collect()
     wanted = {r["feature"]: i for i, r in enumerate(sorted(chosen, key=lambda r: r["feature"]))}
     if not wanted:
         return Model({}, np.zeros(0), -4.0)

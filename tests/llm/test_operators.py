@@ -1,0 +1,242 @@
+"""Operators beyond what the queries show: methods, guarantees, hot keys and general parameters."""
+
+import gzip
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from oreflow.llm import components, licenses, minhash, mixing, neighbours, packing, quality, toxicity, urls, warc
+from oreflow.llm.common import WordHashes, Workspace, gram_hashes
+from oreflow.llm.queries import tokenizer_path
+from tests.llm import brute
+
+
+def test_gram_hashes_equal_only_for_equal_windows():
+    words = WordHashes().of([b"a", b"b", b"c", b"a", b"b", b"c", b"b"])
+    grams = gram_hashes(words, 3)
+    assert grams[0] == grams[3] and len(set(grams.tolist())) == 4
+    assert len(gram_hashes(words[:2], 3)) == 1 and gram_hashes(words[:2], 3)[0] != gram_hashes(words[:2], 2)[0] + 1
+
+
+def test_super_minhash_estimates_with_less_variance_than_independent_minima():
+    rng = np.random.default_rng(1)
+    size, errors = 125, []
+    for n, both in ((40, 30), (100, 85), (400, 200), (3000, 2550)) * 15:
+        x = rng.integers(0, 2**63, 2 * n - both, dtype=np.uint64)
+        a, b = np.sort(x[:n]), np.sort(x[n - both :])
+        s = minhash.super_minhash([a, b], size)
+        assert np.isfinite(s).all() and sorted(np.floor(s[0]))[0] == 0
+        j = both / (2 * n - both)
+        errors.append(((s[0] == s[1]).mean() - j) / math.sqrt(j * (1 - j) / size))
+    assert abs(np.mean(errors)) < 0.4 and np.mean(np.square(errors)) < 1.1
+    one = minhash.super_minhash([np.array([7], np.uint64)] * 2, size)
+    assert (one[0] == one[1]).all() and sorted(np.floor(one[0])) == list(range(size))
+
+
+def test_signatures_do_not_depend_on_the_batch():
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 2**63, n, dtype=np.uint64)) for n in (1, 5, 60, 900, 20)]
+    together = minhash.super_minhash(sets, 125)
+    for s, row in zip(sets, together, strict=True):
+        assert (minhash.super_minhash([s], 125)[0] == row).all()
+
+
+def test_components_of_chains_stars_and_pairs(spark):
+    rng = random.Random(4)
+    links = [(i, i + 1) for i in range(0, 300)] + [(1000, 1001 + i) for i in range(200)] + [(5000, 4000), (4000, 4500)]
+    links += [(7, 7), (4000, 5000)]
+    rng.shuffle(links)
+    table = spark.createDataFrame(links, "a long, b long").repartition(5)
+    got = {r.node: r.component for r in components.components(table, Workspace(spark, "t")).collect()}
+    want = {i: 0 for i in range(301)} | {1000 + i: 1000 for i in range(201)} | {4000: 4000, 4500: 4000, 5000: 4000}
+    assert got == want
+
+
+def test_near_copies_of_a_hot_base_and_unlike_documents_of_one_bucket(spark):
+    """Copies differ from each other by more than from their base, so one pivot is not enough."""
+    rng = random.Random(6)
+    base = [f"b{i}" for i in range(200)]
+    rows = []
+    for i in range(120):
+        words = base.copy()
+        for _ in range(rng.randrange(0, 4)):
+            words[rng.randrange(200)] = f"x{rng.random()}"
+        rows.append((i + 10, " ".join(words)))
+    shared = [f"s{i}" for i in range(120)]
+    rows += [(1000 + i, " ".join(shared + [f"own{i}-{j}" for j in range(60)])) for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = minhash.near_duplicates(docs, Workspace(spark, "t")).collect()
+    groups, _ = brute.near_groups(rows)
+    assert {r.doc_id: r.component_id for r in got} == groups
+    with pytest.raises(ValueError):
+        minhash.near_duplicates(docs, Workspace(spark, "t"), percent=0)
+
+
+def test_binomial_bound_is_exact():
+    for bad, n, alpha in ((0, 10, 0.05), (3, 100, 0.01), (50, 1000, 0.001)):
+        p = quality.binomial_upper(bad, n, alpha)
+        tail = sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(bad + 1))
+        assert tail == pytest.approx(alpha, rel=1e-6)
+    assert quality.binomial_upper(0, 10, 0.05) == pytest.approx(1 - 0.05**0.1)
+    assert quality.binomial_upper(10, 10, 0.05) == 1
+
+
+def test_cutoffs_hold_their_risk_and_need_enough_labels(spark):
+    rng = random.Random(7)
+    rows = [("en", rng.random() * 0.3, 0.0, 0.0, 0.0, 1) for _ in range(4000)]
+    rows += [("en", rng.random(), 0.0, 0.5, 0.0, 0) for _ in range(300)]
+    rows += [("de", 0.0, 0.0, 0.0, 0.0, 1)] * 50 + [("de", 1.0, 1.0, 1.0, 1.0, 0)] * 50
+    names = ", ".join(f"{m} double" for m in quality.MEASURES)
+    table = spark.createDataFrame(rows, f"lang string, {names}, quality int")
+    cuts = quality.cutoffs(table, quality.Risk(0.04, 0.05))
+    # Cutoffs of the other rules find nothing; 50 clean documents cannot show a rate of one in a hundred.
+    assert set(cuts) == {("en", "symbol_ratio"), ("en", "repeat_ratio")}
+    assert cuts["en", "repeat_ratio"] == 0.48
+    assert 0.29 <= cuts["en", "symbol_ratio"] <= 0.31
+    assert sum(r[1] > cuts["en", "symbol_ratio"] for r in rows if r[5] and r[0] == "en") <= 40
+    # With good documents that are cheap to lose, the bound is what limits the cutoff.
+    cheap = quality.cutoffs(table, quality.Risk(0.4, 0.05, price=0.0))["en", "symbol_ratio"]
+    assert cheap < 0.3 and sum(r[1] > cheap for r in rows if r[5] and r[0] == "en") <= 400
+
+
+def test_targets_reshare_what_is_above_the_limit(spark):
+    for sizes in ({"a": 10, "b": 1000, "c": 5, None: 70}, {"a": 0, "b": 0}, {"a": 5}, {"a": 1, "b": 1, "c": 10**9, "d": 3}):
+        table = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+        got = {r.source: r.target for r in mixing.targets(table).collect()}
+        _, want = brute.mix_targets(list(sizes.items()))
+        assert got == pytest.approx(want)
+
+
+def test_schedule_keeps_shares_at_every_point(spark):
+    aims = spark.createDataFrame([("a", 600_000.0), ("b", 300_000.0), ("c", 100_000.0), ("d", 0.0)], "source string, target double")
+    rows = mixing.schedule(aims, 1000, 1000, Workspace(spark, "t")).collect()
+    share, seen = {"a": 0.6, "b": 0.3, "c": 0.1}, dict.fromkeys("abc", 0)
+    quota = {"a": 600, "b": 300, "c": 100}
+    for s, n in quota.items():
+        assert sorted(r["rank"] for r in rows if r.source == s) == list(range(n))
+    for i, r in enumerate(sorted((r for r in rows if r.slot < 1000), key=lambda r: r.slot), 1):
+        seen[r.source] += 1
+        assert all(abs(seen[s] - share[s] * i) <= 4 for s in share)
+
+
+def test_index_finds_what_brute_force_finds_for_unlike_lengths(spark):
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(30, 24)) * 3
+    vectors = centres[rng.integers(0, 30, 3000)] + rng.normal(size=(3000, 24))
+    vectors *= rng.uniform(0.5, 2, 3000)[:, None]
+    rows = [(i, [float(np.float32(x)) for x in v]) for i, v in enumerate(vectors)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    got = neighbours.nearest(table, Workspace(spark, "t"), F.col("vec_id") % 20 == 0).collect()
+    want = brute.nearest(rows)
+    found = {(r.query_id, r.vec_id) for r in got}
+    assert len(got) == 20 * len(want)
+    assert sum((q, v) in found for q, best in want.items() for v, _ in best) >= 0.9 * 20 * len(want)
+
+
+def test_cells_and_copies_do_not_change_the_answer(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    rows = [(i, [float(x) for x in rng.normal(size=6).astype(np.float32)]) for i in range(400)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    ask = F.col("vec_id") % 20 == 0
+    plain = {tuple(r) for r in neighbours.nearest(table, Workspace(spark, "t"), ask).collect()}
+    monkeypatch.setattr(neighbours, "CELL_ROWS", 7)
+    monkeypatch.setattr(neighbours, "CELL_QUERIES", 2)
+    cut = {tuple(r) for r in neighbours.nearest(table, Workspace(spark, "t"), ask).collect()}
+    assert {r[:3] for r in plain} == {r[:3] for r in cut}
+
+
+def test_rules_of_one_host_with_many_paths(spark):
+    rules = [("block", "a.com", f"/{i}/") for i in range(50)] + [("allow", "a.com", "/1/x/"), ("allow", "b.a.com", "/1/")]
+    rules += [("block", "com", ""), ("allow", "com", ""), ("block", "", "/x/")]
+    urls_ = [f"http://{h}/{i}/{p}" for h in ("a.com", "b.a.com", "c.b.a.com", "ba.com", "com") for i in range(60) for p in ("", "x/y")]
+    pages = spark.createDataFrame(list(enumerate(urls_)), "page_id long, url string").repartition(3)
+    table = spark.createDataFrame(rules, "verdict string, host string, path string")
+    given = [r for r in rules if r[1] and r[:2] != ("block", "com")]
+    got = {r.page_id: (r.rule, r.verdict) for r in urls.url_filter(pages, table, "block").collect()}
+    for i, u in enumerate(urls_):
+        _, _, rule, verdict = brute.judge_url(u, given)
+        assert got[i] == (rule, verdict if rule else "block")
+
+
+def test_one_url_over_many_parts(spark):
+    pages = spark.range(5000).select(F.col("id").alias("page_id"), F.lit("http://hot.net/en/").alias("url"))
+    table = spark.createDataFrame([("block", "net", "/"), ("allow", "hot.net", "/en/")], "verdict string, host string, path string")
+    got = urls.url_filter(pages, table)
+    assert got.where("rule = 'hot.net/en/' and verdict = 'allow'").count() == 5000
+
+
+def test_archives_in_chunks_are_one_gzip_stream(spark, tmp_path):
+    rng = random.Random(10)
+    rows = [(i, f"http://x/{i}", "".join(chr(rng.choice([65, 10, 13, 233, 0x4E00])) for _ in range(i * 97))) for i in range(12)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)
+    path = str(tmp_path / "warc")
+    warc.write_archives(pages, path, chunk=256)
+    records = {r.page_id: r for r in warc.read_records(spark, path, chunk=256).collect()}
+    assert len(records) == 12
+    chunks = warc.read_chunks(spark, path, 256).collect()
+    for i, _, html in rows:
+        raw = html.encode()
+        own = sorted((c for c in chunks if c.page_id == i), key=lambda c: c.chunk)
+        assert b"".join(c.payload for c in own) == raw
+        assert len(own) == max(1, -(-len(raw) // 256)) == records[i].chunks
+    text = b"".join(gzip.decompress(f.read_bytes()) for f in (tmp_path / "warc").glob("part-*"))
+    assert text.count(b"WARC/1.1\r\n") == len(chunks)
+
+
+def test_a_damaged_archive_is_noticed(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "http://x/", "a" * 1000)], "page_id long, url string, html string")
+    path = str(tmp_path / "warc")
+    warc.write_archives(pages, path, chunk=300)
+    whole = warc.read_chunks(spark, path, 300)
+    lost = whole.where("chunk <> 2").repartition("record_id").sortWithinPartitions("record_id", "chunk")
+    schema = ", ".join(c for c in warc.CHUNKS.split(", ") if not c.startswith("payload binary"))
+    with pytest.raises(Exception, match="segments"):
+        lost.mapInArrow(warc._join_digests, schema).collect()
+
+
+def test_words_are_encoded_as_whole_texts_are():
+    rng = random.Random(11)
+    coder = packing.WordTokens(tokenizer_path())
+    alphabet = ["a", "B", "é", "É", "é", "ß", "İ", "Σ", "ς", "1", "½", ".", ",", "'s", "'", "-", "<|", "|>", " ", "\n", "\t",
+                " ", " ", "\x1c", "漢", "🙂", "‍", "<|endoftext|>", "<|ENDOFTEXT|>", "the", "ﬁ", "Ǆ", "ͅ"]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(0, 40))) for _ in range(3000)]
+    texts += ["", " ", "\n\n", "z" * 5000 + " end", "foo., bar.,. baz,"]
+    got = coder.encode(texts)
+    for text, packed in zip(texts, got, strict=True):
+        assert np.frombuffer(packed, coder.kind).tolist() == coder.tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_packing_by_given_weights(spark):
+    rows = [(i, "ab"[i % 2], "word " * 30) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    pieces = packing.pack(docs, Workspace(spark, "t"), tokenizer_path(), window=310, weights={"a": 3, "b": 1}).collect()
+    first = [p for p in pieces if p.sequence_id < 15]
+    part = sum(p.length for p in first if p.source == "a") / sum(p.length for p in first)
+    assert abs(part - 0.75) < 0.03
+
+
+def test_unlabelled_toxic_text_does_not_mislead():
+    rng = random.Random(12)
+    toxic = lambda: sorted({0, rng.randrange(5, 50)})
+    clean = lambda: [rng.randrange(5, 50)]
+    positive = [toxic() for _ in range(300)]
+    unlabelled = [toxic() if rng.random() < 0.3 else clean() for _ in range(2000)]
+    w, b = toxicity.fit_nnpu(positive, unlabelled, 50, 0.3)
+    score = lambda r: 1 / (1 + math.exp(-(w[r].sum() + b)))
+    assert np.mean([score(toxic()) >= 0.7 for _ in range(200)]) > 0.95
+    assert np.mean([score(clean()) >= 0.7 for _ in range(200)]) < 0.05
+
+
+def test_notices_with_words_put_in_and_left_out(spark):
+    _, text = licenses.NOTICES[0]
+    words = text.split()
+    changed = words[:20] + ["really", "truly"] + words[20:35] + words[37:]
+    rows = [(1, text.upper()), (2, "intro " * 50 + " ".join(changed)), (3, " ".join(words[:12])), (4, " ".join(words[::-1]))]
+    rows += [(5, " ".join(words) + " x" * 500 + " " + " ".join(words))]
+    got = {r.doc_id: r for r in licenses.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i].labels for i in (1, 2, 3, 4, 5)] == ["mit", "mit", "", "", "mit"]
+    assert got[2].passages[0].lo == 50 and got[2].n_base == 0 and 0 < got[3].score < 0.6
+    assert len(got[5].passages) == 2
