@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from oreflow import session
 from oreflow.operators import message_text
-from oreflow.plans import Warehouse, drop_table
+from oreflow.plans import KEEP_SECONDS, Warehouse, drop_table
 from oreflow.sources import Topic, read_topic, round_trip
 from oreflow.streaming import run_bronze, run_for, run_gold, run_silver, run_tail
 from oreflow.streaming.jobs import AVAILABLE
@@ -35,11 +35,15 @@ def parser() -> argparse.ArgumentParser:
     cli.add_argument("--topic-option", type=_pair, action="append", default=[], metavar="KEY=VALUE")
     cli.add_argument("--root", default="", help="folder of the tables, which all executors can reach")
     cli.add_argument("--checkpoints", help="folder of the checkpoints, if not below the root")
-    cli.add_argument("--format", default="parquet", choices=("parquet", "iceberg"))
+    cli.add_argument("--format", choices=("parquet", "iceberg"), help="of the tables; iceberg for large ones")
     cli.add_argument("--catalog", help="name of the Iceberg catalog")
     cli.add_argument("--catalog-uri", help="REST address of the Iceberg catalog")
     cli.add_argument("--s3-endpoint", help="object store of the Iceberg catalog and the checkpoints")
     cli.add_argument("--bounded", action="store_true", help="silver: forget trade ids behind the watermark")
+    cli.add_argument("--salts", type=int, help="silver: tasks that share a busy trade id; by default all")
+    cli.add_argument("--state-partitions", type=int, help="silver, gold: tasks with state, fixed at the first start")
+    cli.add_argument("--spread", type=int, help="silver, gold: tasks that share the rows of a busy ticker")
+    cli.add_argument("--keep-seconds", type=float, default=KEEP_SECONDS, help="gold: how long replaced rows stay")
     cli.add_argument("--starting", default="latest", choices=("earliest", "latest"), help="tail: where to begin")
     cli.add_argument("--once", action="store_true", help="work off what is there, then stop")
     cli.add_argument("--interval", help="time between two batches, such as '30 seconds'")
@@ -64,6 +68,8 @@ def settings_of(args: argparse.Namespace) -> dict[str, str]:
         settings |= session.iceberg_settings(args.catalog, args.catalog_uri, args.root, args.s3_endpoint)
     if args.s3_endpoint:
         settings |= session.s3a_settings(args.s3_endpoint)
+    if args.state_partitions:
+        settings["spark.sql.shuffle.partitions"] = str(args.state_partitions)
     return settings | dict(args.conf)
 
 
@@ -79,9 +85,9 @@ def check(spark: SparkSession, topic: Topic) -> int:
 def start(spark: SparkSession, args: argparse.Namespace, warehouse: Warehouse) -> StreamingQuery:
     trigger = AVAILABLE if args.once else {"processingTime": args.interval} if args.interval else None
     if args.job == "silver":
-        return run_silver(spark, warehouse, trigger, bounded=args.bounded)
+        return run_silver(spark, warehouse, trigger, bounded=args.bounded, salts=args.salts, spread=args.spread)
     if args.job == "gold":
-        return run_gold(spark, warehouse, trigger)
+        return run_gold(spark, warehouse, trigger, spread=args.spread, keep_seconds=args.keep_seconds)
     topic = topic_of(args)
     if args.job == "bronze":
         return run_bronze(spark, topic, warehouse, trigger)
@@ -96,8 +102,10 @@ def main(argv: Sequence[str] | None = None) -> int:
     args = parser().parse_args(argv)
     if args.job not in ("tail", "check") and not args.root:
         raise SystemExit(f"{args.job} needs --root")
+    if args.job not in ("tail", "check") and not args.format:
+        raise SystemExit(f"{args.job} needs --format: iceberg, or parquet for moderate numbers of files")
     catalog = args.catalog if args.format == "iceberg" else None
-    warehouse = Warehouse(args.root, format=args.format, catalog=catalog, checkpoints=args.checkpoints)
+    warehouse = Warehouse(args.root, format=args.format or "parquet", catalog=catalog, checkpoints=args.checkpoints)
     spark = session.build_session(f"oreflow-{args.job}", settings_of(args), master=args.master)
     try:
         if args.job == "check":

@@ -9,14 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 TOPIC_NAME = "trades"
 
-# Fields of a trade but for its time.  A repeated (order, line) makes a repeated trade id.
+# Grows with the order and line; copies of a trade differ in part or supplier.
+OFFSET = "((l_orderkey * 8 + l_linenumber) * 1000003 + l_partkey % 1000003) * 97 + l_suppkey % 97"
+
+# Fields of a trade but for its time.  A repeated (order, line) makes a repeated trade id.  Amounts have
+# two places, so that every engine writes them alike.
 _TRADE = """'trade_id', concat_ws('-', l_orderkey, l_linenumber),
     'portfolio_id', concat('P', l_suppkey),
     'ticker', concat('tkr', l_partkey % 10),
     'side', CASE l_returnflag WHEN 'A' THEN 'buy' WHEN 'R' THEN 'SELL' ELSE 'hold' END,
-    'quantity', l_quantity + l_discount - 2,
-    'price', l_extendedprice,
-    'fees', l_tax"""
+    'quantity', CAST(l_quantity + l_discount - 2 AS decimal(18,2)),
+    'price', CAST(l_extendedprice AS decimal(18,2)),
+    'fees', CAST(l_tax AS decimal(18,2))"""
 
 # Even lines carry their time as microseconds, odd ones as text.
 _MICROS = f"named_struct({_TRADE}, 'trade_timestamp', unix_micros(shipped))"
@@ -32,27 +36,20 @@ def _shaped(trade: str) -> str:
         WHEN 3 THEN to_json(struct(struct({trade} AS after) AS payload)) END"""
 
 
-def _spread(table: DataFrame) -> DataFrame:
-    """Deal a table read in fewer pieces than there are cores out to all of them.
+def messages_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The topic as the Kafka source would show it, one message per line item.
 
-    A table of many pieces, which any large one is, stays as it is: no shuffle.
+    All messages of a trade are in one partition, and each of its copies has an offset of its own.
     """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores, *table.columns) if table.rdd.getNumPartitions() < cores else table
-
-
-def messages_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The topic as the Kafka source would show it, one message per line item."""
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").drop("l_linestatus")
     return (
-        _spread(lines)
-        .selectExpr("*", "CAST(l_shipdate AS timestamp) AS shipped")
+        lines.selectExpr("*", "CAST(l_shipdate AS timestamp) AS shipped")
         .selectExpr(
             "CAST(concat_ws('-', l_orderkey, l_linenumber) AS binary) AS key",
             f"CAST(CASE WHEN l_linenumber % 2 = 0 THEN {_shaped(_MICROS)} ELSE {_shaped(_TEXT)} END AS binary) AS value",
             f"'{TOPIC_NAME}' AS topic",
             "CAST(l_orderkey % 4 AS int) AS partition",
-            "l_orderkey * 8 + l_linenumber AS offset",
+            f"{OFFSET} AS offset",
             "shipped AS timestamp",
             "0 AS timestampType",
         )

@@ -7,7 +7,10 @@ task to a repeated one, or the other way, and be written twice or never.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+from math import isqrt
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def rebalanced(df: DataFrame, *by: str) -> DataFrame:
@@ -18,11 +21,20 @@ def rebalanced(df: DataFrame, *by: str) -> DataFrame:
     return df.hint("rebalance", *by) if by else df
 
 
-def gathered(df: DataFrame, writers: int, *key: str) -> DataFrame:
-    """``writers`` tasks, hence at most as many files per table partition.
+def state_partitions(spark: SparkSession) -> int:
+    """Tasks of a stream with state that starts now; afterwards its checkpoint holds the number."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def gathered(df: DataFrame, by: Sequence[str], key: Sequence[str], spread: int | None = None) -> DataFrame:
+    """The rows of a value of ``by`` in up to ``spread`` tasks, for streams with state.
 
-    ``key`` is unique, so that no value holds many rows, whatever the table is partitioned
-    by.  Spares the shuffle where there are no more tasks than that anyway.
+    Without this every task writes a file for every value.  There are as many tasks as state
+    partitions, so the write is as wide as what comes before.  ``key`` is unique and splits a
+    frequent value evenly; ``spread`` is by default the square root of the state partitions,
+    so that a batch with some ten values leaves about a file per task.
     """
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(writers, *key) if tasks > writers else df
+    if not by:
+        return df
+    buckets = spread or max(1, isqrt(state_partitions(df.sparkSession)))
+    return df.repartition(*by, F.pmod(F.xxhash64(*key), F.lit(buckets)))

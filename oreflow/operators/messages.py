@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 
 def message_log(topic: DataFrame) -> DataFrame:
-    """Position, time, and the key and value as text."""
+    """Position, time, and the key and value as text (fixed columns and order)."""
     return topic.select(
         "topic",
         "partition",

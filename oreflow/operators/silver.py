@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from oreflow.functions import event_time, money
+from oreflow.operators.layout import state_partitions
 from oreflow.schemas import FAULTY, SILVER_COLUMNS, TRADE_FIELDS, message_schemas
 
 # How far behind the newest trade a trade may be (fixed value).
@@ -63,7 +64,7 @@ def dedup_stream(
     trades: DataFrame,
     lateness: str = LATENESS,
     bounded: bool = False,
-    salts: int = 32,
+    salts: int | None = None,
 ) -> DataFrame:
     """First arrival per trade id in a stream; rows behind the watermark are dropped.
 
@@ -74,11 +75,19 @@ def dedup_stream(
     One id may hold a large part of a batch (a replayed trade), and all rows of an id go to
     one task.  So copies are first thinned out on (id, salt), which spreads such an id over
     up to ``salts`` tasks and leaves at most that many rows of it; the second pass on the id
-    alone decides.  The salt is the task that reads the row, which does not change when the
-    task runs again; the result does not depend on it.  The state of the first pass is
-    cleared behind the watermark.  ``salts=1`` leaves the first pass out; leaving it out or
-    taking it in needs a new checkpoint, another number of salts does not.
+    alone decides.  There are as many salts as state partitions unless told otherwise.  The
+    salt is the task that reads the row, which does not change when the task runs again.  The
+    second pass never forgets, so the ids that come out do not depend on the salt.  The state
+    of the first pass is cleared behind the watermark.  ``salts=1`` leaves the first pass out;
+    leaving it out or taking it in needs a new checkpoint, another number of salts does not.
+
+    With ``bounded`` there is no first pass: it could remember a copy that the second pass
+    dropped, and which ids are let in again would then depend on which task read a row.
     """
+    if bounded and salts not in (None, 1):
+        raise ValueError("a bounded stream takes no salts")
+    if salts is None:
+        salts = 1 if bounded else state_partitions(trades.sparkSession)
     marked = trades.withWatermark("trade_timestamp", lateness)
     if salts > 1:
         marked = (

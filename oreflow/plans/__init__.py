@@ -1,4 +1,5 @@
 from oreflow.plans.lifecycle import (
+    KEEP_SECONDS,
     append_table,
     conform,
     drop_table,
@@ -11,6 +12,7 @@ from oreflow.plans.lifecycle import (
 from oreflow.plans.specs import TableSpec, Warehouse
 
 __all__ = [
+    "KEEP_SECONDS",
     "TableSpec",
     "Warehouse",
     "append_table",

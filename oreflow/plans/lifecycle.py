@@ -14,6 +14,10 @@ from oreflow.operators.layout import gathered, rebalanced
 from oreflow.plans.specs import TableSpec
 
 
+# How long a replaced version of a table stays readable.
+KEEP_SECONDS = 3600.0
+
+
 def create_statements(spec: TableSpec) -> list[str]:
     """Namespace and table, each only where missing."""
     place = f" LOCATION '{spec.namespace_location}'" if spec.namespace_location else ""
@@ -143,14 +147,17 @@ def drop_table(spark: SparkSession, spec: TableSpec) -> None:
         _discard(spark, spec, version)
 
 
-def publish(df: DataFrame, spec: TableSpec, keep: int = 2, writers: int = 64) -> None:
+def publish(
+    df: DataFrame, spec: TableSpec, keep_seconds: float = KEEP_SECONDS, spread: int | None = None
+) -> None:
     """Replace the whole content of a table; readers see the old rows or the new ones.
 
     Iceberg replaces in one commit.  A Parquet table cannot, so the rows go to a new table
     and the name readers use is a view that is then pointed at it.  Every attempt writes a
     table of its own: a batch that runs again never touches what readers are looking at.
-    The ``keep`` newest versions stay for queries already running.  ``writers`` is the
-    most tasks that write where there is no adaptive execution, as in a stream with state.
+    A version stays for ``keep_seconds`` after it was replaced, for queries already running,
+    however many come after it.  ``spread`` is that of ``gathered``, which arranges the write where
+    there is no adaptive execution, as in a stream with state.
     """
     spark = df.sparkSession
     rows = conform(df, spec)
@@ -159,11 +166,10 @@ def publish(df: DataFrame, spec: TableSpec, keep: int = 2, writers: int = 64) ->
         return
     version = f"{spec.name}__v{time.time_ns() // 1_000_000:013d}_{uuid.uuid4().hex[:8]}"
     adaptive = spark.conf.get("spark.sql.adaptive.enabled") == "true"
-    rows = rebalanced(rows, *spec.partition_by) if adaptive else gathered(rows, writers, *spec.key)
+    rows = rebalanced(rows, *spec.partition_by) if adaptive else gathered(rows, spec.partition_by, spec.key, spread)
     rows.write.format(spec.format).partitionBy(*spec.partition_by).saveAsTable(version)
     _point(spark, spec, version)
-    older = [name for name in _versions(spark, spec) if name != version]
-    for name in older[: max(len(older) - (keep - 1), 0)]:
+    for name in _outdated(spark, spec, version, keep_seconds):
         _discard(spark, spec, name)
 
 
@@ -206,6 +212,26 @@ def _versions(spark: SparkSession, spec: TableSpec) -> list[str]:
     return [f"{spec.namespace}.{name}" for name in sorted(names)]
 
 
+def _outdated(spark: SparkSession, spec: TableSpec, current: str, keep_seconds: float) -> list[str]:
+    """Versions before the current one that were replaced, or given up, ``keep_seconds`` ago."""
+    finished = {
+        marker.getPath().getParent().getName(): marker.getModificationTime()
+        for marker in _statuses(spark, f"{spec.location}__v*/_SUCCESS")
+    }
+    limit = time.time() * 1000 - keep_seconds * 1000
+    out, replaced = [], None
+    for name in reversed(_versions(spark, spec)):
+        short = name.rpartition(".")[2]
+        if name < current:
+            # An attempt that was never finished counts from its start, which its name holds.
+            since = replaced if short in finished else int(short.rpartition("__v")[2].partition("_")[0])
+            if since is not None and since <= limit:
+                out.append(name)
+        if short in finished and name <= current:
+            replaced = finished[short]
+    return out
+
+
 def _discard(spark: SparkSession, spec: TableSpec, version: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {version}")
     fs, folder = _folder(spark, f"{spec.namespace_location}/{version.rpartition('.')[2]}")
@@ -213,5 +239,9 @@ def _discard(spark: SparkSession, spec: TableSpec, version: str) -> None:
 
 
 def _found(spark: SparkSession, pattern: str) -> list:
+    return [status.getPath() for status in _statuses(spark, pattern)]
+
+
+def _statuses(spark: SparkSession, pattern: str) -> list:
     fs, path = _folder(spark, pattern)
-    return [status.getPath() for status in fs.globStatus(path) or []]
+    return list(fs.globStatus(path) or [])

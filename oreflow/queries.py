@@ -1,7 +1,7 @@
 """The registered queries: each runs one part of the pipeline over the whole ``lineitem`` table.
 
-Amounts are DECIMAL in the pipeline and its tables.  The results here show them as DOUBLE,
-because the two engines of the check hand out decimals of different width.
+Amounts are DECIMAL in the pipeline and its tables.  The results here show them as text, which has
+every digit and the scale, because the two engines of the check hand out decimals of different width.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from oreflow.fixtures import TOPIC_NAME, messages_from_lineitem
+from oreflow.fixtures import OFFSET, TOPIC_NAME, messages_from_lineitem
 from oreflow.functions import signed_quantity
 from oreflow.operators import (
     dedup_batch,
@@ -43,28 +43,15 @@ ONE_BATCH = {"maxFilesPerTrigger": str(2**31 - 1)}
 
 
 def _plain(df: DataFrame) -> DataFrame:
-    """Decimals as doubles."""
+    """Decimals as text."""
     return df.select(
         *(
-            F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType) else F.col(f.name)
+            F.col(f.name).cast("string").alias(f.name) if isinstance(f.dataType, T.DecimalType) else F.col(f.name)
             for f in df.schema
         )
     )
 
 
-def _shapes(bronze: DataFrame) -> DataFrame:
-    """Key, ticker, and which of the message shapes each payload has."""
-    trade = "struct<trade_id: string>"
-    message = f"trade_id string, after {trade}, payload struct<trade_id: string, after: {trade}>"
-    shape = """CASE WHEN value IS NULL THEN 'tombstone'
-                    WHEN trade_id IS NOT NULL THEN 'flat'
-                    WHEN payload.trade_id IS NOT NULL THEN 'payload'
-                    WHEN after.trade_id IS NOT NULL THEN 'after'
-                    WHEN payload.after.trade_id IS NOT NULL THEN 'payload.after' END AS shape"""
-    fields = bronze.select("key", "ticker", "value", F.inline(F.array(F.from_json("value", message))))
-    return fields.selectExpr("key", "ticker", shape)
-
-
 # ---- batch ---------------------------------------------------------------------------
 
 
@@ -72,13 +59,28 @@ def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_bronze(messages_from_lineitem(spark, sf_dir))
 
 
+# Where a message stands in the topic: its order of arrival.
+ARRIVAL = ("partition", "offset")
+
+
+def _arrived(messages: DataFrame) -> DataFrame:
+    """The first usable trade per id, with its place in the topic."""
+    bronze = to_bronze(messages, keep=ARRIVAL)
+    return dedup_batch(usable(typed(parse(bronze, keep=ARRIVAL))), arrival=ARRIVAL)
+
+
+def _first_copies(messages: DataFrame) -> DataFrame:
+    """The messages that ``_arrived`` is made of."""
+    first = _arrived(messages).select(F.col("trade_id").cast("binary").alias("key"), *ARRIVAL)
+    return messages.join(first, ["key", *ARRIVAL], "left_semi")
+
+
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First trade per id; the fixture has no order of arrival, so the oldest counts as first."""
-    return dedup_batch(usable(typed(parse(_bronze(spark, sf_dir)))), arrival=["trade_timestamp"])
+    return _arrived(messages_from_lineitem(spark, sf_dir)).drop(*ARRIVAL)
 
 
 def bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _shapes(_bronze(spark, sf_dir))
+    return _bronze(spark, sf_dir).select("key", "value", "ticker")
 
 
 def bronze_ticker_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,13 +88,11 @@ def bronze_ticker_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def message_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = message_log(messages_from_lineitem(spark, sf_dir))
-    return log.withColumn("value", F.col("value").isNotNull()).withColumnRenamed("value", "has_value")
+    return message_log(messages_from_lineitem(spark, sf_dir))
 
 
 def message_short_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = message_text(messages_from_lineitem(spark, sf_dir))
-    return text.withColumn("value", F.col("value").isNotNull()).withColumnRenamed("value", "has_value")
+    return message_text(messages_from_lineitem(spark, sf_dir))
 
 
 def silver_parse_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,9 +148,8 @@ def table_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     drop_table(spark, old)
     ensure_table(spark, replace(new, properties={"layout": "ticker"}))
     append_table(bronze, new)
-    return read_table(spark, new).groupBy("ticker").agg(
-        F.count("*").alias("n_messages"), F.count("value").alias("n_values")
-    )
+    layout = spark.sql(f"SHOW TBLPROPERTIES {new.name} ('layout')").first()["value"]
+    return read_table(spark, new).select("key", "value", "ticker", F.lit(layout).alias("layout"))
 
 
 def gold_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,7 +194,7 @@ def topic_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys and values written to a topic and read back."""
     topic = Topic(TOPIC_NAME, path=f"{scratch_folder(spark, 'roundtrip')}/topic")
     write_topic(messages_from_lineitem(spark, sf_dir).select("key", "value"), topic)
-    return _shapes(to_bronze(read_topic(spark, topic)))
+    return to_bronze(read_topic(spark, topic)).select("key", "value", "ticker")
 
 
 def stream_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -207,63 +206,72 @@ def stream_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
     run_tail(spark, topic, sink="parquet", options=out, trigger=AVAILABLE).awaitTermination()
     after = messages_from_lineitem(spark, sf_dir).withColumn("topic", F.lit("later"))
     write_topic(after, topic)
-    run_tail(spark, topic, "earliest", "parquet", out, AVAILABLE).awaitTermination()
-    shown = spark.read.parquet(f"{folder}/out")
-    return shown.select("key", "topic", "partition", "offset", F.col("value").isNotNull().alias("has_value"))
+    run_tail(spark, topic, sink="parquet", options=out, trigger=AVAILABLE).awaitTermination()
+    return spark.read.parquet(f"{folder}/out").select("key", "topic", "partition", "offset", "value")
 
 
 def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse = _warehouse(spark, "bronze")
     run_bronze(spark, _topic(spark, sf_dir, warehouse.root), warehouse, AVAILABLE).awaitTermination()
-    return _shapes(read_table(spark, warehouse.bronze))
+    return read_table(spark, warehouse.bronze).select("key", "value", "ticker")
 
 
-def _stream_silver(spark: SparkSession, sf_dir: str, bounded: bool) -> DataFrame:
-    warehouse = _warehouse(spark, "silver")
-    run_bronze(spark, _topic(spark, sf_dir, warehouse.root), warehouse, AVAILABLE).awaitTermination()
-    with _state_partitions(spark):
-        query = run_silver(spark, warehouse, AVAILABLE, bounded=bounded, source_options=ONE_BATCH)
-    query.awaitTermination()
-    # Which copy of a trade came first is up to the run, so only the ids can be compared.
-    return read_table(spark, warehouse.silver).select("trade_id")
+def _silver_of(spark: SparkSession, warehouse: Warehouse, parts: list[DataFrame], **options) -> DataFrame:
+    """The silver table after topics with these messages, one after the other."""
+    ensure_table(spark, warehouse.bronze)
+    topic = Topic(TOPIC_NAME, path=f"{warehouse.root}/topic", options=ONE_BATCH)
+    for part in parts:
+        write_topic(part, topic)
+        run_bronze(spark, topic, warehouse, AVAILABLE).awaitTermination()
+        with _state_partitions(spark):
+            query = run_silver(spark, warehouse, AVAILABLE, source_options=ONE_BATCH, **options)
+        query.awaitTermination()
+    return _plain(read_table(spark, warehouse.silver))
 
 
 def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stream_silver(spark, sf_dir, bounded=False)
+    """The first copies of all trades, then all messages: no copy comes out a second time."""
+    messages = messages_from_lineitem(spark, sf_dir)
+    return _silver_of(spark, _warehouse(spark, "silver"), [_first_copies(messages), messages])
 
 
 def stream_silver_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stream_silver(spark, sf_dir, bounded=True)
+    """The same with bounded state; of the second run all usable trades are behind the watermark.
+
+    A copy in front of it whose id is forgotten would come out again, which one being up to the run.
+    """
+    messages = messages_from_lineitem(spark, sf_dir)
+    first = _first_copies(messages)
+    end = _arrived(messages).agg((F.max("trade_timestamp") - F.expr("INTERVAL 2 HOURS")).alias("end"))
+    late = messages.join(F.broadcast(end), F.col("timestamp") <= F.col("end")).drop("end")
+    return _silver_of(spark, _warehouse(spark, "bounded"), [first, late], bounded=True)
 
 
 def stream_silver_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages in two runs: what comes second is dropped where it is behind the watermark.
 
     First come the trades before the year 2000 but for line 7 of each order; so of the second
-    run those of a line 7 are late if they are old, and the newer ones are not.
+    run those of a line 7 are late if they are old, and the newer ones are not.  Each run has the
+    first copy of each of its trades only, so that it is known which one stays.
     """
-    warehouse = _warehouse(spark, "late")
-    ensure_table(spark, warehouse.bronze)
-    topic = Topic(TOPIC_NAME, path=f"{warehouse.root}/topic", options=ONE_BATCH)
-    early = "timestamp < '2000-01-01' AND CAST(key AS string) NOT LIKE '%-7'"
-    for part in (early, f"NOT ({early})"):
-        write_topic(messages_from_lineitem(spark, sf_dir).where(part), topic)
-        run_bronze(spark, topic, warehouse, AVAILABLE).awaitTermination()
-        with _state_partitions(spark):
-            query = run_silver(spark, warehouse, AVAILABLE, source_options=ONE_BATCH)
-        query.awaitTermination()
-    return read_table(spark, warehouse.silver).select("trade_id")
+    messages = messages_from_lineitem(spark, sf_dir)
+    early = F.expr("coalesce(timestamp < '2000-01-01' AND CAST(key AS string) NOT LIKE '%-7', false)")
+    parts = [_first_copies(messages.where(early)), _first_copies(messages.where(~early))]
+    return _silver_of(spark, _warehouse(spark, "late"), parts)
 
 
 def stream_gold_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trades in two runs, the newer ones first: positions count the late ones all the same."""
     warehouse = _warehouse(spark, "goldlate")
     ensure_table(spark, warehouse.silver)
-    for part in ("trade_timestamp >= '2000-01-01'", "trade_timestamp < '2000-01-01'"):
-        append_table(_silver(spark, sf_dir).where(part), warehouse.silver)
+    newer = "coalesce(trade_timestamp >= '2000-01-01', false)"
+    silver = _silver(spark, sf_dir).cache()
+    for part in (newer, f"NOT {newer}"):
+        append_table(silver.where(part), warehouse.silver)
         with _state_partitions(spark):
             query = run_gold(spark, warehouse, AVAILABLE)
         query.awaitTermination()
+    silver.unpersist()
     return _plain(read_table(spark, warehouse.gold))
 
 
@@ -309,23 +317,35 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 # What the messages say, and which of them silver can read: flat ones and payloads.  The
 # other shapes stay in as rows whose fields are all NULL, as they do in the pipeline.
-_MESSAGES = """
+_MESSAGES = f"""
 messages AS (
   SELECT cast(l_orderkey AS varchar) || '-' || cast(l_linenumber AS varchar) AS key,
          CASE l_orderkey % 5 WHEN 0 THEN 'flat' WHEN 1 THEN 'payload' WHEN 2 THEN 'after'
                              WHEN 3 THEN 'payload.after' ELSE 'tombstone' END AS shape,
-         'tkr' || cast(l_partkey % 10 AS varchar) AS tkr,
-         *
+         'tkr' || cast(l_partkey % 10 AS varchar) AS tkr, {OFFSET} AS "offset",
+         cast(l_orderkey % 4 AS integer) AS "partition", *
   FROM lineitem),
+trades AS (
+  SELECT *, '{{"trade_id":"' || key || '","portfolio_id":"P' || l_suppkey || '","ticker":"' || tkr || '","side":"'
+    || CASE l_returnflag WHEN 'A' THEN 'buy' WHEN 'R' THEN 'SELL' ELSE 'hold' END
+    || '","quantity":' || cast(l_quantity + l_discount - 2 AS decimal(18,2))
+    || ',"price":' || cast(l_extendedprice AS decimal(18,2)) || ',"fees":' || cast(l_tax AS decimal(18,2))
+    || ',"trade_timestamp":' || CASE WHEN l_linenumber % 2 = 0 THEN cast(epoch_us(l_shipdate) AS varchar)
+         ELSE strftime(l_shipdate, '"%Y-%m-%dT%H:%M:%SZ"') END || '}}' AS trade
+  FROM messages),
 bronze AS (
-  SELECT *, CASE WHEN shape <> 'tombstone' THEN upper(tkr) END AS ticker FROM messages)"""
+  SELECT *, CASE WHEN shape <> 'tombstone' THEN upper(tkr) END AS ticker,
+         CASE shape WHEN 'flat' THEN trade WHEN 'payload' THEN '{{"schema":{{"type":"struct"}},"payload":' || trade || '}}'
+                    WHEN 'after' THEN '{{"after":' || trade || '}}'
+                    WHEN 'payload.after' THEN '{{"payload":{{"after":' || trade || '}}}}' END AS value
+  FROM trades)"""
 
 _READABLE = {
     "trade_id": "key",
     "portfolio_id": "'P' || cast(l_suppkey AS varchar)",
     "ticker": "tkr",
     "side": "CASE l_returnflag WHEN 'A' THEN 'buy' WHEN 'R' THEN 'SELL' ELSE 'hold' END",
-    "quantity": "l_quantity + l_discount - 2",
+    "quantity": "cast(cast(l_quantity + l_discount - 2 AS decimal(18,2)) AS double)",
     "price": "l_extendedprice",
     "fees": "l_tax",
     "time_text": "CASE WHEN l_linenumber % 2 = 0 THEN cast(epoch_us(l_shipdate) AS varchar) "
@@ -335,21 +355,22 @@ _READABLE = {
 
 _PARSED = f"""{_MESSAGES},
 parsed AS (
-  SELECT {", ".join(f"CASE WHEN shape IN ('flat', 'payload') THEN {sql} END AS {name}" for name, sql in _READABLE.items())}
+  SELECT {", ".join(f"CASE WHEN shape IN ('flat', 'payload') THEN {sql} END AS {name}" for name, sql in _READABLE.items())},
+         "partition", "offset"
   FROM messages)"""
 
 _TYPED = f"""{_PARSED},
 rounded AS (
   SELECT trade_id, portfolio_id, upper(ticker) AS ticker, upper(side) AS side,
          cast(quantity AS decimal(18,2)) AS quantity, cast(price AS decimal(18,2)) AS price,
-         cast(fees AS decimal(18,2)) AS fees, trade_timestamp
+         cast(fees AS decimal(18,2)) AS fees, trade_timestamp, "partition", "offset"
   FROM parsed),
 typed AS (SELECT *, quantity * price AS trade_value FROM rounded)"""
 
 _SILVER = f"""{_TYPED},
 ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY trade_id ORDER BY trade_timestamp, portfolio_id,
-                               ticker, side, quantity, price, fees) AS arrival
+  SELECT *, row_number() OVER (PARTITION BY trade_id ORDER BY "partition", "offset", portfolio_id,
+                               ticker, side, quantity, price, fees, trade_timestamp) AS arrival
   FROM typed WHERE trade_id IS NOT NULL AND quantity > 0),
 silver AS (SELECT * EXCLUDE (arrival) FROM ranked WHERE arrival = 1)"""
 
@@ -362,55 +383,60 @@ gold AS (
   FROM silver GROUP BY portfolio_id, ticker)"""
 
 
-def _doubles(*names: str) -> str:
-    return ", ".join(f"cast({name} AS double) AS {name}" for name in names)
+def _texts(*names: str) -> str:
+    return ", ".join(f"cast({name} AS varchar) AS {name}" for name in names)
 
 
-_AMOUNTS = _doubles("quantity", "price", "fees", "trade_value")
-_LOG = """l_orderkey * 8 + l_linenumber AS "offset", cast(l_orderkey % 4 AS integer) AS "partition" """
-_INGEST = f"WITH {_MESSAGES} SELECT key, ticker, shape FROM bronze"
-_IDS = f"WITH {_SILVER} SELECT trade_id FROM silver"
+_AMOUNTS = _texts("quantity", "price", "fees", "trade_value")
+_INGEST = f"WITH {_MESSAGES} SELECT key, value, ticker FROM bronze"
+_TRADES = f"""trade_id, portfolio_id, ticker, side, trade_timestamp, {_AMOUNTS}"""
+_ROWS = f"WITH {_SILVER} SELECT {_TRADES} FROM silver"
 _LATE = f"""WITH {_TYPED},
 fed AS (
-  SELECT trade_id, trade_timestamp, trade_timestamp < '2000-01-01' AND trade_id NOT LIKE '%-7' AS early
+  SELECT *, coalesce(trade_timestamp < '2000-01-01' AND trade_id NOT LIKE '%-7', false) AS early
   FROM typed WHERE trade_id IS NOT NULL AND quantity > 0),
-mark AS (SELECT max(trade_timestamp) - INTERVAL 2 HOUR AS watermark FROM fed WHERE early)
-SELECT DISTINCT trade_id FROM fed WHERE early OR trade_timestamp > (SELECT watermark FROM mark)"""
+firsts AS (
+  SELECT *, row_number() OVER (PARTITION BY trade_id, early ORDER BY "partition", "offset", portfolio_id, ticker,
+                               side, quantity, price, fees, trade_timestamp) AS arrival FROM fed),
+mark AS (SELECT max(trade_timestamp) - INTERVAL 2 HOUR AS watermark FROM firsts WHERE early AND arrival = 1),
+passed AS (
+  SELECT *, row_number() OVER (PARTITION BY trade_id ORDER BY early DESC) AS run FROM firsts
+  WHERE arrival = 1 AND (early OR trade_timestamp IS NULL OR trade_timestamp > (SELECT watermark FROM mark)))
+SELECT {_TRADES} FROM passed WHERE run = 1"""
 _POSITIONS = f"""WITH {_GOLD} SELECT portfolio_id, ticker,
-    {_doubles("net_quantity", "total_fees", "total_value")} FROM gold"""
+    {_texts("net_quantity", "total_fees", "total_value")} FROM gold"""
 
 ORACLE: dict[str, str] = {
     "bronze_ingest": _INGEST,
     "bronze_ticker_extract": f"WITH {_MESSAGES} SELECT ticker, count(*) AS n_messages FROM bronze GROUP BY ticker",
-    "message_projection": f"""WITH {_MESSAGES} SELECT key, '{TOPIC_NAME}' AS topic, {_LOG},
-        l_shipdate AS "timestamp", shape <> 'tombstone' AS has_value FROM bronze""",
-    "message_short_projection": f"""WITH {_MESSAGES} SELECT key, l_shipdate AS "timestamp",
-        shape <> 'tombstone' AS has_value FROM bronze""",
-    "silver_parse_merge": f"WITH {_PARSED} SELECT * EXCLUDE (trade_timestamp) FROM parsed",
+    "message_projection": f"""WITH {_MESSAGES} SELECT key, '{TOPIC_NAME}' AS topic, "partition", "offset",
+        l_shipdate AS "timestamp", value FROM bronze""",
+    "message_short_projection": f"""WITH {_MESSAGES} SELECT key, l_shipdate AS "timestamp", value FROM bronze""",
+    "silver_parse_merge": f"WITH {_PARSED} SELECT * EXCLUDE (trade_timestamp, \"partition\", \"offset\") FROM parsed",
     "silver_timestamps": f"WITH {_TYPED} SELECT trade_id, trade_timestamp FROM typed",
     "silver_typed_value": f"WITH {_TYPED} SELECT trade_id, ticker, side, {_AMOUNTS} FROM typed",
     "silver_quality_filter": f"""WITH {_TYPED} SELECT trade_id, portfolio_id, ticker, side, trade_timestamp,
         {_AMOUNTS} FROM typed WHERE trade_id IS NOT NULL AND quantity > 0""",
     "silver_dedup": f"""WITH {_SILVER} SELECT trade_id, portfolio_id, ticker, side, trade_timestamp,
         {_AMOUNTS} FROM silver""",
-    "gold_signed_quantity": f"""WITH {_SILVER} SELECT trade_id, side, {_doubles("quantity")},
-        cast(CASE side WHEN 'BUY' THEN quantity WHEN 'SELL' THEN -quantity ELSE 0 END AS double) AS signed_quantity
+    "gold_signed_quantity": f"""WITH {_SILVER} SELECT trade_id, side, {_texts("quantity")},
+        cast(cast(CASE side WHEN 'BUY' THEN quantity WHEN 'SELL' THEN -quantity ELSE 0 END AS decimal(18,2)) AS varchar)
+        AS signed_quantity
         FROM silver""",
     "gold_positions": _POSITIONS,
-    "table_evolution": f"""WITH {_MESSAGES}, appended AS (
-        SELECT CAST(NULL AS varchar) AS ticker, shape FROM bronze UNION ALL SELECT ticker, shape FROM bronze)
-        SELECT ticker, count(*) AS n_messages, count(*) FILTER (WHERE shape <> 'tombstone') AS n_values
-        FROM appended GROUP BY ticker""",
+    "table_evolution": f"""WITH {_MESSAGES}
+        SELECT key, value, CAST(NULL AS varchar) AS ticker, 'ticker' AS layout FROM bronze
+        UNION ALL SELECT key, value, ticker, 'ticker' FROM bronze""",
     "gold_replace": _POSITIONS,
     "gold_bi_read": f"""WITH {_GOLD} SELECT ticker, count(*) AS n_portfolios,
-        cast(sum(net_quantity) AS double) AS net_quantity, cast(sum(total_fees) AS double) AS total_fees,
-        cast(sum(total_value) AS double) AS total_value FROM gold GROUP BY ticker""",
+        cast(sum(net_quantity) AS varchar) AS net_quantity, cast(sum(total_fees) AS varchar) AS total_fees,
+        cast(sum(total_value) AS varchar) AS total_value FROM gold GROUP BY ticker""",
     "topic_roundtrip": _INGEST,
-    "stream_tail": f"""WITH {_MESSAGES} SELECT key, 'later' AS topic, {_LOG},
-        shape <> 'tombstone' AS has_value FROM bronze""",
+    "stream_tail": f"""WITH {_MESSAGES} SELECT key, 'later' AS topic, "partition", "offset", value
+        FROM bronze""",
     "stream_bronze": _INGEST,
-    "stream_silver": _IDS,
-    "stream_silver_bounded": _IDS,
+    "stream_silver": _ROWS,
+    "stream_silver_bounded": _ROWS,
     "stream_silver_late": _LATE,
     "stream_gold": _POSITIONS,
     "stream_gold_late": _POSITIONS,

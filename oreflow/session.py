@@ -7,7 +7,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-# Connector coordinates for Spark 4.1 / Scala 2.13; pass others where a cluster needs them.
+# Connector coordinates for Scala 2.13, never run here: the Iceberg runtime named is the one for Spark
+# 4.0, unverified on 4.1.  Pass others to package_settings where a cluster needs them.
 KAFKA_PACKAGE = "org.apache.spark:spark-sql-kafka-0-10_2.13:4.1.2"
 ICEBERG_PACKAGE = "org.apache.iceberg:iceberg-spark-runtime-4.0_2.13:1.10.0"
 S3A_PACKAGE = "org.apache.hadoop:hadoop-aws:3.4.2"

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from oreflow.schemas import TOPIC_SCHEMA
+from oreflow.scratch import path_exists
 
 
 @dataclass(frozen=True)
@@ -39,22 +42,37 @@ class Topic:
         }
 
 
-def read_topic(spark: SparkSession, topic: Topic, ending: str | None = None) -> DataFrame:
-    """The topic from its start to ``ending``, by default what is there now."""
+def read_topic(
+    spark: SparkSession, topic: Topic, ending: str | None = None, since_millis: int | None = None
+) -> DataFrame:
+    """The topic from its start to ``ending``, by default what is there now.
+
+    ``since_millis`` leaves out what is older, without reading it: Kafka finds the offsets by time, a
+    Parquet log skips files by their statistics.
+    """
     options = topic.source_options()
     if topic.path:
-        return spark.read.schema(TOPIC_SCHEMA).options(**options).parquet(topic.path)
-    options["startingOffsets"] = "earliest"
+        log = spark.read.schema(TOPIC_SCHEMA).options(**options).parquet(topic.path)
+        return log if since_millis is None else log.where(F.col("timestamp") >= F.timestamp_millis(F.lit(since_millis)))
+    if since_millis is None:
+        options["startingOffsets"] = "earliest"
+    else:
+        options["startingTimestamp"] = str(since_millis)
+        options["startingOffsetsByTimestampStrategy"] = "latest"
     if ending:
         options["endingOffsets"] = ending
     return spark.read.format("kafka").options(**options).load()
 
 
-def stream_topic(spark: SparkSession, topic: Topic, starting: str = "earliest") -> DataFrame:
+def stream_topic(
+    spark: SparkSession, topic: Topic, starting: str = "earliest", checkpoint: str | None = None
+) -> DataFrame:
     """The topic as a stream, from its start or, with ``latest``, from its current end.
 
-    For files the current end is the newest modification time among them, as the listing of
-    the folder tells it; no file is opened for it.
+    For files the current end is the newest modification time among them and the files that have
+    it, as the listing of the folder tells it; no file is opened for it.  As with Kafka it counts at
+    the first start only: it is kept in the folder ``checkpoint`` and taken up again from there, so
+    that what is written while the stream is stopped is not passed over.
     """
     if starting not in ("earliest", "latest"):
         raise ValueError(f"starting must be earliest or latest, not {starting}")
@@ -64,10 +82,31 @@ def stream_topic(spark: SparkSession, topic: Topic, starting: str = "earliest")
     stream = spark.readStream.schema(TOPIC_SCHEMA).options(**options).parquet(topic.path)
     if starting == "earliest":
         return stream
-    listing = spark.read.format("binaryFile").load(topic.path)
-    newest = listing.agg(F.max(F.unix_micros("modificationTime"))).first()[0]
+    mark = f"{checkpoint.rstrip('/')}/oreflow-end" if checkpoint else None
+    if mark and path_exists(spark, f"{mark}/_SUCCESS"):
+        end = spark.read.schema(_END).parquet(mark).collect()
+    else:
+        end = _files_at_end(spark, topic).collect()
+        if mark:
+            spark.createDataFrame(end, _END).coalesce(1).write.mode("overwrite").parquet(mark)
+    if not end:
+        return stream
     written = F.unix_micros("_metadata.file_modification_time")
-    return stream if newest is None else stream.where(written > F.lit(newest))
+    later = (written == end[0]["written"]) & ~F.col("_metadata.file_path").isin([r["file"] for r in end])
+    return stream.where((written > end[0]["written"]) | later)
+
+
+# The newest modification time in a folder, with each file that has it.
+_END = "written long, file string"
+
+
+def _files_at_end(spark: SparkSession, topic: Topic) -> DataFrame:
+    listing = spark.read.format("binaryFile").load(topic.path)
+    files = listing.select(
+        F.unix_micros("modificationTime").alias("written"), F.col("_metadata.file_path").alias("file")
+    )
+    newest = files.agg(F.max("written").alias("written"))
+    return files.join(F.broadcast(newest), "written")
 
 
 def write_topic(df: DataFrame, topic: Topic) -> None:
@@ -104,14 +143,22 @@ def write_topic(df: DataFrame, topic: Topic) -> None:
     df.select(*columns).write.mode("append").parquet(topic.path)
 
 
+#: How far the clocks of the topic and of this process may be apart.
+CLOCK_SKEW_MILLIS = 600_000
+
+
 def round_trip(messages: DataFrame, topic: Topic) -> int:
     """Write messages and count those that cannot be read back; 0 means the topic works.
 
-    Compares the messages themselves, so what was in the topic before does not matter.
+    Every message carries the name of this run in front, so what was in the topic before, from an
+    earlier check too, cannot stand for it.  Only messages from the time of the run are read, and
+    only those of the run are compared.
     """
-    sent = messages.select(F.col("key").cast("string"), F.col("value").cast("string"))
+    run = f"run-{uuid.uuid4().hex}"
+    named = [F.concat_ws(" ", F.lit(run), F.col(c).cast("string")).alias(c) for c in ("key", "value")]
+    sent = messages.select(*named)
+    started = time.time_ns() // 1_000_000
     write_topic(sent, topic)
-    seen = read_topic(messages.sparkSession, topic).select(
-        F.col("key").cast("string"), F.col("value").cast("string")
-    )
-    return sent.exceptAll(seen).count()
+    log = read_topic(messages.sparkSession, topic, "latest", started - CLOCK_SKEW_MILLIS)
+    seen = log.select(F.col("key").cast("string"), F.col("value").cast("string"))
+    return sent.exceptAll(seen.where(F.col("key").startswith(run))).count()

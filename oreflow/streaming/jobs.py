@@ -6,14 +6,16 @@ soon as the one before is done.  ``AVAILABLE`` works off what is there and stops
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from oreflow.operators import dedup_stream, message_log, parse, positions, to_bronze, typed, usable
-from oreflow.operators.layout import gathered, rebalanced
+from oreflow.operators.layout import gathered, rebalanced, state_partitions
 from oreflow.plans import (
+    KEEP_SECONDS,
     TableSpec,
     Warehouse,
     conform,
@@ -22,16 +24,27 @@ from oreflow.plans import (
     is_streamed,
     publish,
 )
+from oreflow.scratch import path_exists
 from oreflow.session import STATE_SETTINGS, session_conf
 from oreflow.sources import Topic, read_table, stream_table, stream_topic
 
 AVAILABLE = {"availableNow": True}
 
-# Names of the checkpoints (fixed values).  Gold's goes up when its grouping or its sums change, since the
-# state of an earlier version no longer fits; a new one reads all of silver again.
+log = logging.getLogger("oreflow")
+
+# Names of the checkpoints.  A job whose keys or sums change needs a new name, since the state of
+# the earlier version no longer fits; it then reads its source from the start.
 BRONZE_JOB = "bronze_trades"
 SILVER_JOB = "silver_trades"
-GOLD_JOB = "gold_positions_v2"
+GOLD_JOB = "gold_positions"
+
+
+def _announce(spark: SparkSession, checkpoint: str) -> None:
+    """Says at the first start what cannot be changed afterwards."""
+    if not path_exists(spark, f"{checkpoint}/offsets"):
+        log.warning(
+            "first start of %s: %d state partitions, for good", checkpoint, state_partitions(spark)
+        )
 
 
 def _writer(df: DataFrame, checkpoint: str, mode: str, trigger: Mapping | None) -> DataStreamWriter:
@@ -74,24 +87,24 @@ def run_silver(
     warehouse: Warehouse,
     trigger: Mapping | None = None,
     bounded: bool = False,
-    salts: int = 32,
-    writers: int = 64,
+    salts: int | None = None,
+    spread: int | None = None,
     source_options: Mapping[str, str] | None = None,
     state_settings: Mapping[str, str] = STATE_SETTINGS,
 ) -> StreamingQuery:
     """Append new trades to the silver table, one row per trade id.
 
-    ``bounded`` and ``salts`` are those of ``dedup_stream``.  The number of state partitions
-    is ``spark.sql.shuffle.partitions`` at the first start and stays with the checkpoint;
-    where there are more than ``writers``, as many tasks write the files.  Iceberg arranges
-    its writes by itself.
+    ``bounded`` and ``salts`` are those of ``dedup_stream``, ``spread`` is that of ``gathered``.  The
+    number of state partitions is ``spark.sql.shuffle.partitions`` at the first start and stays
+    with the checkpoint; as many tasks write the files.  Iceberg arranges its writes by itself.
     """
     spec = warehouse.silver
     ensure_table(spark, spec)
     trades = usable(typed(parse(stream_table(spark, warehouse.bronze, source_options))))
     rows = conform(dedup_stream(trades, bounded=bounded, salts=salts), spec)
     if not spec.is_iceberg:
-        rows = gathered(rows, writers, *spec.key)
+        rows = gathered(rows, spec.partition_by, spec.key, spread)
+    _announce(spark, warehouse.checkpoint(SILVER_JOB))
     with session_conf(spark, state_settings):
         return _append(rows, spec, warehouse.checkpoint(SILVER_JOB), trigger)
 
@@ -100,18 +113,23 @@ def run_gold(
     spark: SparkSession,
     warehouse: Warehouse,
     trigger: Mapping | None = None,
-    writers: int = 64,
+    spread: int | None = None,
+    keep_seconds: float = KEEP_SECONDS,
     source_options: Mapping[str, str] | None = None,
     state_settings: Mapping[str, str] = STATE_SETTINGS,
 ) -> StreamingQuery:
-    """Keep the gold table at the current positions: every batch replaces all of it."""
+    """Keep the gold table at the current positions: every batch replaces all of it.
+
+    ``spread`` is that of ``gathered``; a replaced version stays for ``keep_seconds``.
+    """
     spec = warehouse.gold
     ensure_published(spark, spec)
 
     def replace(batch: DataFrame, _batch_id: int) -> None:
-        publish(batch, spec, writers=writers)
+        publish(batch, spec, keep_seconds, spread)
 
     current = positions(stream_table(spark, warehouse.silver, source_options))
+    _announce(spark, warehouse.checkpoint(GOLD_JOB))
     with session_conf(spark, state_settings):
         writer = _writer(current, warehouse.checkpoint(GOLD_JOB), "complete", trigger)
         return writer.foreachBatch(replace).start()
@@ -125,8 +143,13 @@ def run_tail(
     options: Mapping[str, str] | None = None,
     trigger: Mapping | None = None,
 ) -> StreamingQuery:
-    """Show messages as they arrive, untruncated; or write them to another ``sink``."""
-    writer = message_log(stream_topic(spark, topic, starting)).writeStream.outputMode("append")
+    """Show messages as they arrive, untruncated; or write them to another ``sink``.
+
+    With a checkpoint in ``options`` a tail that starts again goes on where it stopped, whatever
+    ``starting`` says.
+    """
+    mark = (options or {}).get("checkpointLocation")
+    writer = message_log(stream_topic(spark, topic, starting, mark)).writeStream.outputMode("append")
     writer = writer.format(sink).options(**({"truncate": "false"} if sink == "console" else {}), **(options or {}))
     return (writer.trigger(**trigger) if trigger else writer).start()
 

@@ -41,6 +41,19 @@ def test_tables_need_a_root():
         main(["gold"])
 
 
+def test_tables_need_a_format(capsys):
+    with pytest.raises(SystemExit, match="format"):
+        main(["gold", "--root", "/lake"])
+
+
+def test_what_scales_can_be_set():
+    args = parser().parse_args(
+        "silver --format parquet --root /lake --salts 500 --state-partitions 4000 --spread 30 --keep-seconds 60".split()
+    )
+    assert (args.salts, args.spread, args.keep_seconds) == (500, 30, 60)
+    assert settings_of(args)["spark.sql.shuffle.partitions"] == "4000"
+
+
 def test_check_tells_whether_messages_come_back(spark, tmp_path, capsys):
     assert check(spark, Topic("t", path=str(tmp_path / "topic"))) == 0
     assert "3 of 3 messages came back from t" in capsys.readouterr().out
@@ -51,7 +64,7 @@ def test_bronze_in_a_process_of_its_own(spark, tmp_path):
     topic = Topic("t", path=str(tmp_path / "topic"))
     write_topic(spark.createDataFrame([("k", '{"ticker": "a"}')], "key string, value string"), topic)
     command = [sys.executable, "-m", "oreflow", "bronze", "--topic", "t", "--path", topic.path, "--once"]
-    command += ["--master", "local[2]", "--root", str(tmp_path / "lake")]
+    command += ["--master", "local[2]", "--format", "parquet", "--root", str(tmp_path / "lake")]
     env = os.environ | {"PYTHONPATH": str(REPO)}
     done = subprocess.run(command, cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert done.returncode == 0, done.stderr

@@ -1,5 +1,6 @@
 """Tables: created, changed, laid out anew, replaced and dropped."""
 
+import time
 from dataclasses import replace
 
 import pytest
@@ -127,19 +128,32 @@ def test_a_failed_replace_leaves_the_old_content(spark, warehouse):
 def test_old_versions_go(spark, warehouse):
     ensure_published(spark, warehouse.gold)
     for i in range(5):
-        publish(gold_rows(spark, ("p", "A", i)), warehouse.gold, keep=2)
-    assert len(_versions(spark, warehouse.gold)) == 2
+        publish(gold_rows(spark, ("p", "A", i)), warehouse.gold, keep_seconds=0)
+    assert len(_versions(spark, warehouse.gold)) == 1
     assert [int(r.net_quantity) for r in spark.table(warehouse.gold.name).collect()] == [4]
 
 
+def test_a_reader_outlives_any_number_of_replaces_within_the_time(spark, warehouse):
+    ensure_published(spark, warehouse.gold)
+    publish(gold_rows(spark, ("p", "A", 0)), warehouse.gold)
+    reader = spark.table(warehouse.gold.name)
+    for i in range(1, 5):
+        publish(gold_rows(spark, ("p", "A", i)), warehouse.gold, keep_seconds=600)
+    assert [int(r.net_quantity) for r in reader.collect()] == [0]
+    time.sleep(1.1)
+    publish(gold_rows(spark, ("p", "A", 9)), warehouse.gold, keep_seconds=1)
+    # The one replaced just now stays beside the current one; all earlier ones are older.
+    assert len(_versions(spark, warehouse.gold)) == 2
+
+
 def test_versions_of_an_earlier_catalog_are_found_and_go(spark, warehouse):
     for i in range(2):
         ensure_published(spark, warehouse.gold)
-        publish(gold_rows(spark, ("p", "007", i)), warehouse.gold, keep=2)
+        publish(gold_rows(spark, ("p", "007", i)), warehouse.gold)
     again = replace(warehouse, suffix=f"{warehouse.suffix}_again").gold
     ensure_published(spark, again)
     assert [(r.ticker, int(r.net_quantity)) for r in spark.table(again.name).collect()] == [("007", 1)]
-    publish(gold_rows(spark, ("p", "A", 7)), again, keep=1)
+    publish(gold_rows(spark, ("p", "A", 7)), again, keep_seconds=0)
     assert len(_versions(spark, again)) == 1
     assert [int(r.net_quantity) for r in spark.table(again.name).collect()] == [7]
     drop_table(spark, again)

@@ -44,13 +44,16 @@ def test_entry_runs(spark):
 def test_sizes_at_check_scale(spark):
     from decimal import Decimal
 
-    from oreflow.queries import _silver
+    from oreflow.operators import dedup_batch, parse, typed, usable
+    from oreflow.queries import _bronze, _silver
 
     queries = entry.queries()
     assert queries["bronze_ingest"](spark, SF_CHECK).count() == 60_000
     assert queries["bronze_ingest"](spark, SF_CHECK).where("ticker IS NULL").count() == 11_920
     assert queries["silver_quality_filter"](spark, SF_CHECK).count() == 23_565
-    silver = _silver(spark, SF_CHECK)
+    assert _silver(spark, SF_CHECK).count() == 18_017
+    # With the oldest copy of each trade in place of the first to arrive.
+    silver = dedup_batch(usable(typed(parse(_bronze(spark, SF_CHECK)))), arrival=["trade_timestamp"])
     assert silver.count() == 18_017
     assert silver.groupBy().sum("trade_value").first()[0] == Decimal("22869719719.6869")
     assert queries["gold_positions"](spark, SF_CHECK).count() == 1_000

@@ -1,10 +1,13 @@
 """What Spark makes of the transforms: one parse, no needless shuffle, combine before shuffle."""
 
+from math import isqrt
+
 import pytest
 
 from oreflow.operators import dedup_batch, parse, positions, to_bronze, typed, usable
-from oreflow.operators.layout import rebalanced
+from oreflow.operators.layout import gathered, rebalanced
 from oreflow.schemas import SILVER_COLUMNS, TOPIC_SCHEMA
+from oreflow.session import session_conf
 
 
 def plan(df):
@@ -50,6 +53,15 @@ def test_positions_combine_before_the_shuffle(files):
     assert "trade_id" not in text and "price" not in text, "columns it does not need are not read"
 
 
+@pytest.mark.parametrize("partitions", [200, 1000])
+def test_writers_are_as_many_as_state_partitions(spark, files, partitions):
+    with session_conf(spark, {"spark.sql.shuffle.partitions": str(partitions)}):
+        text = plan(gathered(files["silver"], ["ticker"], ["trade_id"]))
+        salted = f"% {isqrt(partitions)}" in text or f", {isqrt(partitions)})" in text
+    assert f"hashpartitioning(ticker" in text and f", {partitions})" in text and salted
+    assert plan(gathered(files["silver"], [], ["trade_id"])).count("Exchange") == 0
+
+
 def test_rebalance_is_left_to_adaptive_execution(files):
     text = plan(rebalanced(files["silver"], "ticker"))
     assert "AdaptiveSparkPlan" in text and "REBALANCE_PARTITIONS_BY_COL" in text

@@ -8,46 +8,82 @@ from oreflow.fixtures import messages_from_lineitem
 from oreflow.operators import message_log, message_text
 from oreflow.schemas import TOPIC_SCHEMA
 from oreflow.scratch import scratch_folder
-from oreflow.sources import Topic, read_topic, round_trip, stream_topic, write_topic
+from oreflow.sources import Topic, read_topic, round_trip, stream_topic, topics, write_topic
 from tests.conftest import SF_SMALL
 
-GREETINGS = [("msg-1", "hello from spark #1"), ("msg-2", "hello from spark #2"), ("msg-3", "hello from spark #3")]
-
-
 @pytest.fixture
 def topic(tmp_path):
-    return Topic("greetings", path=str(tmp_path / "topic"))
+    return Topic("orders", path=str(tmp_path / "topic"))
 
 
 @pytest.fixture
-def greetings(spark):
-    return spark.createDataFrame(GREETINGS, "key string, value string")
+def few(spark):
+    """Three messages of the fixture, as text."""
+    texts = message_text(messages_from_lineitem(spark, SF_SMALL)).where("value IS NOT NULL")
+    rows = [(r.key, r.value) for r in texts.orderBy("value").limit(3).collect()]
+    return spark.createDataFrame(rows, "key string, value string")
 
 
-def test_messages_come_back(spark, topic, greetings):
-    write_topic(greetings, topic)
+def test_messages_come_back(spark, topic, few):
+    write_topic(few, topic)
     back = read_topic(spark, topic)
     assert back.schema == TOPIC_SCHEMA
     assert message_log(back).columns == ["topic", "partition", "offset", "timestamp", "key", "value"]
-    assert sorted((r.key, r.value) for r in message_text(back).collect()) == GREETINGS
-    assert {r.topic for r in back.collect()} == {"greetings"}
+    assert sorted((r.key, r.value) for r in message_text(back).collect()) == sorted(map(tuple, few.collect()))
+    assert {r.topic for r in back.collect()} == {"orders"}
 
 
-def test_offsets_grow_and_do_not_repeat(spark, topic, greetings):
-    write_topic(greetings.repartition(2), topic)
+def test_offsets_grow_and_do_not_repeat(spark, topic, few):
+    write_topic(few.repartition(2), topic)
     last = read_topic(spark, topic).agg(F.max("offset")).first()[0]
-    write_topic(greetings.repartition(2), topic)
+    write_topic(few.repartition(2), topic)
     log = read_topic(spark, topic)
     assert log.count() == log.select("partition", "offset").distinct().count() == 6
     assert log.where(F.col("offset") > last).count() == 3
 
 
-def test_round_trip_compares_messages(spark, topic, greetings):
-    assert round_trip(greetings, topic) == 0
-    assert round_trip(greetings, topic) == 0
-    assert round_trip(greetings.union(greetings), topic) == 0
+def test_round_trip_compares_messages(spark, topic, few):
+    assert round_trip(few, topic) == 0
+    assert round_trip(few, topic) == 0
+    assert round_trip(few.union(few), topic) == 0
     other = Topic("other", path=topic.path + "-other", options={"pathGlobFilter": "nothing*"})
-    assert round_trip(greetings, other) == 3
+    assert round_trip(few, other) == 3
+
+
+def test_round_trip_notices_a_write_that_does_nothing(spark, topic, few, monkeypatch):
+    assert round_trip(few, topic) == 0
+    monkeypatch.setattr(topics, "write_topic", lambda *_: None)
+    assert round_trip(few, topic) == 3
+
+
+def test_round_trip_reads_from_its_own_time_and_shuffles_its_own_messages(spark, topic, few):
+    write_topic(few, topic)
+    log = read_topic(spark, topic, "latest", since_millis=2_000_000_000_000)
+    assert log.count() == 0
+    text = log.where(F.col("key").cast("string").startswith("run"))._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in text and "GreaterThanOrEqual(timestamp" in text
+
+
+def test_bounded_kafka_read_from_a_time():
+    class Reader:
+        def format(self, name):
+            return self
+
+        def options(self, **options):
+            self.given = options
+            return self
+
+        def load(self):
+            return self.given
+
+    class Session:
+        read = Reader()
+
+    kafka = Topic("t", servers="host:9092")
+    options = read_topic(Session(), kafka, "latest", since_millis=5)
+    assert options["startingTimestamp"] == "5" and options["endingOffsets"] == "latest"
+    assert options["startingOffsetsByTimestampStrategy"] == "latest" and "startingOffsets" not in options
+    assert read_topic(Session(), kafka)["startingOffsets"] == "earliest"
 
 
 def test_messages_without_a_key(spark, topic):
