@@ -110,3 +110,60 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_license_diagonals,
     )
 }
+
+# ---- the same in SQL, where SQL can say it ---------------------------------------------
+#
+# The others rest on a schedule, learned cutoffs or weights, tokens, or an approximate search; the
+# tests hold them against plain Python.
+
+_RULES = ", ".join(f"('{verdict}', '{host}', '{path}')" for verdict, host, path in URL_RULES)
+
+ORACLE: dict[str, str] = {
+    "op4_url_sweep": f"""
+WITH rules(verdict, host, path) AS (VALUES {_RULES}),
+parts AS (
+  SELECT page_id, url, regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)', 1) AS raw,
+         regexp_extract(coalesce(url, ''), '^(?s:.*?)://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+named AS (
+  SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, path,
+         row_number() OVER () AS n
+  FROM parts),
+fits AS (
+  SELECT p.n, r.host || r.path AS rule, r.verdict,
+         row_number() OVER (PARTITION BY p.n ORDER BY length(r.host || r.path) DESC, length(r.host) DESC) AS place
+  FROM named p JOIN rules r
+    ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path))
+SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.verdict, 'allow') AS verdict
+FROM named p LEFT JOIN fits f ON p.n = f.n AND f.place = 1""",
+    "op5_warc_chunks": """
+WITH raw AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+firsts AS (SELECT payload_digest, min(page_id) AS page_id FROM raw WHERE payload_bytes >= 100 GROUP BY ALL),
+told AS (
+  SELECT r.*, CASE WHEN r.payload_bytes >= 100 AND f.page_id <> r.page_id THEN f.page_id END AS refers_to
+  FROM raw r LEFT JOIN firsts f ON r.payload_digest = f.payload_digest)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
+       refers_to, CASE WHEN refers_to IS NULL THEN cast(greatest(1, ceil(payload_bytes / 1048576)) AS integer) ELSE 1 END AS chunks
+FROM told""",
+    "op7_super_minhash": """
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id
+  GROUP BY ALL),
+pairs AS (
+  SELECT x, y FROM common JOIN sizes p ON x = p.doc_id JOIN sizes q ON y = q.doc_id
+  WHERE 100 * c >= 85 * (p.n + q.n - c)),
+links AS (SELECT x, y FROM pairs UNION ALL SELECT y, x FROM pairs),
+reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.y FROM reach r JOIN links l ON r.b = l.x),
+groups AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, g.component_id, d.doc_id = g.component_id AS kept
+FROM documents d JOIN groups g ON d.doc_id = g.a LEFT JOIN sizes s ON d.doc_id = s.doc_id""",
+}

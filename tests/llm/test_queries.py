@@ -4,12 +4,13 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from oreflow.llm.queries import QUERIES, URL_RULES, tokenizer_path
+from oreflow.llm.queries import ORACLE, QUERIES, URL_RULES, tokenizer_path
 from tests.conftest import SF_CHECK, SF_SMALL
 from tests.llm import brute
 
@@ -268,3 +269,16 @@ def test_pipeline(spark, folder):
     assert sum((i, t) not in whole for i, _, t in at(mixed, "doc_id", "source", "text")) <= 2 * len(target)
     packed = pack(spark, mixed, folder)
     checked_packing(packed.collect(), at(mixed, "doc_id", "text"))
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_equals_sql(spark, name):
+    with duckdb.connect() as db:
+        for table in ("documents", "pages"):
+            db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_CHECK}/{table}.parquet'")
+        cursor = db.execute(ORACLE[name])
+        names = [c[0] for c in cursor.description]
+        want = cursor.fetchall()
+    got = QUERIES[name](spark, SF_CHECK)
+    assert sorted(names) == sorted(got.columns)
+    assert plain(got.select(*names).collect()) == plain(want)
