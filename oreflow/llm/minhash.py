@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -112,33 +111,133 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _differences(percent: int):
+    """For a pivot and a member of its cell: are they linked, and which shingles has only one of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, len(batch), 256):
+                part = batch.slice(lo, 256)
+                sizes, tops, linked, diffs = [], [], [], []
+                for x, y in zip(part.column("set_doc"), part.column("set_pivot"), strict=True):
+                    x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+                    only = np.setxor1d(x, y, assume_unique=True)
+                    both = (len(x) + len(y) - len(only)) // 2
+                    linked.append(100 * both >= percent * (len(x) + len(y) - both))
+                    sizes.append(len(x))
+                    tops.append(len(y))
+                    diffs.append(only.tobytes())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("pivot"),
+                        part.column("doc"),
+                        pa.array(sizes, pa.int64()),
+                        pa.array(tops, pa.int64()),
+                        pa.array(linked, pa.bool_()),
+                        pa.array(diffs, pa.binary()),
+                    ],
+                    names=["pivot", "doc", "n", "pn", "linked", "diff"],
+                )
+
+    return run
+
+
+def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for lo in range(0, len(batch), 256):
+            part = batch.slice(lo, 256)
+            found = [np.frombuffer(d.as_buffer(), np.int64) for d in part.column("diff")]
+            rows = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))
+            yield pa.RecordBatch.from_arrays(
+                [*(part.column(c).take(rows) for c in ("pivot", "doc")), pa.array(np.concatenate(found))],
+                names=["pivot", "doc", "e"],
+            )
+
+
 def _confirm(percent: int):
+    """Pairs of one cell that are linked, by their sets' differences from the pivot.
+
+    What x and y differ in is what their differences from the pivot differ in, so the sizes of both
+    sets and of their intersection follow.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = []
-            for x, y in zip(batch.column("set_a"), batch.column("set_b"), strict=True):
+            columns = ("nx", "ny", "diff_x", "diff_y")
+            for n, m, x, y in zip(*(batch.column(c) for c in columns), strict=True):
                 x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(100 * both >= percent * (len(x) + len(y) - both))
+                apart = len(np.setxor1d(x, y, assume_unique=True))
+                both = (n.as_py() + m.as_py() - apart) // 2
+                good.append(100 * both >= percent * (both + apart))
             keep = pa.array(good, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b")], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("x", "y")], names=["a", "b"])
 
     return run
 
 
+def _cell_links(cells: DataFrame, label: DataFrame, work: Workspace, percent: int) -> DataFrame:
+    """Links between members of one cell that are not in one component yet.
+
+    ``D`` of a member is what it and the pivot differ in.  Let c = (100 - percent) / (100 + percent): a
+    pair is linked if its sets differ in at most c times the sum of their sizes.  Members linked with
+    the pivot are in its component, so one of a pair looked for, x, is not: D(x) has more than
+    c (|x| + |pivot|) elements, and a linked y shares more than (|D(y)| + c (|pivot| - |y|)) / 2 elements
+    of its D with it.  Whatever the order of elements, one of those is then among the first
+    |D(y)| - (that number) + 1 of D(y).  With the elements that are rare in the cell first, these are
+    edits that few members share, so the members of a large group of copies meet in few pairs; and
+    no pair is lost.
+    """
+    own = label.select(F.col("node").alias("doc"), "component")
+    facts = cells.select("pivot", "doc", "n", "pn", "linked", (F.octet_length("diff") / 8).cast("long").alias("d"))
+    facts = facts.join(own, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+    mixed = facts.groupBy("pivot").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi"))
+    facts = facts.join(mixed.where("_lo <> _hi").select("pivot"), "pivot")
+    shared = (100 + percent) * F.col("d") + (100 - percent) * (F.col("pn") - F.col("n"))
+    least = F.floor(shared / (2 * (100 + percent))).cast("long") + 1
+    facts = work.keep(facts.withColumn("prefix", F.col("d") - least + 1), "facts")
+    open_ = cells.join(facts.select("pivot", "doc").distinct(), ["pivot", "doc"])
+    each = work.keep(open_.select("pivot", "doc", "diff").mapInArrow(_elements, "pivot long, doc long, e long"), "edits")
+    # An element that one member has alone makes no pair; it only takes a place at the front.
+    often = each.groupBy("pivot", "e").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
+    marked = each.join(often, ["pivot", "e"]).join(facts, ["pivot", "doc"])
+    member = Window.partitionBy("pivot", "doc")
+    place = F.row_number().over(member.orderBy("often", "e")) + F.col("d") - F.count(F.lit(1)).over(member)
+    marked = marked.withColumn("first", place <= F.col("prefix"))
+    marked = work.keep(marked.select("pivot", "e", "doc", "n", "linked", "component", "first"), "marked")
+    index = marked.where("first").select(
+        "pivot", "e", *[F.col(c).alias(f"{c}_y") for c in ("doc", "n", "linked", "component")]
+    )
+    asks = marked.where("not linked").select(
+        "pivot", "e", "first", *[F.col(c).alias(f"{c}_x") for c in ("doc", "n", "component")]
+    )
+    meet = (
+        (F.col("component_x") != F.col("component_y"))
+        & (F.col("linked_y") | (F.col("first") & (F.col("doc_x") < F.col("doc_y"))))
+        & (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y"))
+    )
+    pairs = index.join(asks, ["pivot", "e"]).where(meet)
+    pairs = pairs.select("pivot", F.col("doc_x").alias("x"), F.col("doc_y").alias("y")).distinct()
+    for c in ("x", "y"):
+        side = cells.select("pivot", F.col("doc").alias(c), F.col("n").alias(f"n{c}"), F.col("diff").alias(f"diff_{c}"))
+        pairs = pairs.join(side, ["pivot", c])
+    found = work.keep(pairs.mapInArrow(_confirm(percent), "a long, b long"), "links")
+    work.drop(facts, each, marked)
+    return found
+
+
 def near_duplicates(
-    docs: DataFrame, work: Workspace, percent: int = 85, bands: int = BANDS, rows: int = ROWS, widen: int = 8
+    docs: DataFrame, work: Workspace, percent: int = 85, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for each row of ``docs`` (``doc_id``, ``text``).
 
     Two documents are linked if they share at least ``percent`` of their joint shingles.  Equal sets
-    are one vertex from the start, whatever their number.  Documents that share a band are checked
-    on their full sets, in rounds: a round checks a few documents of each bucket (the pivots, one
-    from each component found so far) against all others of the bucket that are in other components
-    and of fitting size, and then merges components.  Buckets whose documents are in one component
-    are done, pivots leave the bucket, and the number of pivots grows by ``widen``, until every pair
-    that shares a band is checked or joined.  So a large group of copies costs a check for each
-    member, not one for each pair, and no bucket is capped.
+    are one vertex from the start, whatever their number.  Of each bucket (documents with one band in
+    common) the smallest ``doc_id`` is the pivot, and all buckets of a pivot are its cell.  First the
+    members of a cell are compared with the pivot on their full sets; then those members of a cell
+    that are not in one component yet with each other, if they share rare differences from the pivot
+    (``_cell_links``).  So every pair that shares a band is checked, joined, or shown to be too far
+    apart, no bucket is capped, and a large group of copies costs a few checks for each member.
 
     Rows without words, and rows without ``doc_id``, are linked with nothing; the latter have no
     component and are kept.  Rows of one ``doc_id`` are one document: its component joins what any of
@@ -157,45 +256,22 @@ def near_duplicates(
     twice = linked.join(low.where("a <> _hi"), "doc_id").select("a", F.col("first").alias("b"))
     heads = firsts.select(F.col("first").alias("doc_id"), "print").join(known, ["doc_id", "print"])
     heads = heads.dropDuplicates(["doc_id", "print"])
-    spread = heads.select(F.explode("keys").alias("key"), F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"))
-    spread = work.keep(spread, "spread")
-    shared = spread.groupBy("key").agg(F.min("doc").alias("_lo"), F.max("doc").alias("_hi")).where("_lo <> _hi")
-    members = work.keep(spread.join(shared.select("key"), "key"), "members")
-    work.drop(spread)
-    wanted = members.select(F.col("doc").alias("doc_id")).distinct()
-    sets = work.keep(texts.join(wanted, "doc_id").mapInArrow(_sets, "doc long, set binary"), "sets")
-    links, pivots = [work.keep(twice, "links")], 1
-    label = components(links[0], work)
-    while True:
-        own = label.select(F.col("node").alias("doc"), "component")
-        placed = members.join(own, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
-        mixed = placed.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi"))
-        placed = work.keep(placed.join(mixed.where("_lo <> _hi").select("key"), "key"), "placed")
-        work.drop(members)
-        if placed.isEmpty():
-            break
-        if pivots == 1:
-            chosen = placed.groupBy("key").agg(F.min(F.struct("doc", "n", "component")).alias("p"))
-        else:
-            each = placed.groupBy("key", "component").agg(F.min(F.struct("doc", "n", "component")).alias("p"))
-            order = Window.partitionBy("key").orderBy(F.xxhash64("component", F.lit(pivots)), "component")
-            chosen = each.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= pivots)
-        chosen = work.keep(
-            chosen.select(
-                "key", F.col("p.doc").alias("pivot"), F.col("p.n").alias("pn"), F.col("p.component").alias("pc")
-            ),
-            "pivots",
-        )
-        fits = (F.col("component") != F.col("pc")) & (100 * F.least("n", "pn") >= percent * F.greatest("n", "pn"))
-        pairs = placed.join(chosen, "key").where(fits)
-        pairs = pairs.select(F.least("pivot", "doc").alias("a"), F.greatest("pivot", "doc").alias("b")).distinct()
-        links.append(work.keep(_checked(pairs, sets, percent), "found"))
-        label = components(reduce(DataFrame.union, links), work)
-        retired = chosen.select("key", F.col("pivot").alias("doc"))
-        members = work.keep(placed.drop("component").join(retired, ["key", "doc"], "left_anti"), "members")
-        work.drop(placed, chosen)
-        pivots *= widen
-    work.drop(sets)
+    spread = work.keep(heads.select(F.explode("keys").alias("key"), F.col("doc_id").alias("doc")), "spread")
+    pivots = spread.groupBy("key").agg(F.min("doc").alias("pivot"), F.max("doc").alias("_hi")).where("pivot <> _hi")
+    pairs = spread.join(pivots, "key").where("doc <> pivot").select("pivot", "doc").distinct()
+    pairs = work.keep(pairs, "cells")
+    wanted = pairs.select(F.col("doc").alias("doc_id")).union(pairs.select("pivot")).distinct()
+    # Both sides grow with the table, so they meet by key at every size.
+    chosen = texts.hint("merge").join(wanted, "doc_id")
+    sets = work.keep(chosen.mapInArrow(_sets, "doc long, set binary"), "sets")
+    tops = sets.select(F.col("doc").alias("pivot"), F.col("set").alias("set_pivot"))
+    both = pairs.join(sets.withColumnRenamed("set", "set_doc"), "doc").join(tops, "pivot")
+    schema = "pivot long, doc long, n long, pn long, linked boolean, diff binary"
+    cells = work.keep(both.mapInArrow(_differences(percent), schema), "cells")
+    work.drop(spread, pairs, sets)
+    links = twice.union(cells.where("linked").select(F.col("pivot").alias("a"), F.col("doc").alias("b")))
+    more = _cell_links(cells, components(links, work), work, percent)
+    label = components(links.union(more), work)
     first = linked.groupBy("doc_id").agg(F.min("first").alias("first"))
     named = signed.join(first, "doc_id", "left").join(
         label.select(F.col("node").alias("first"), "component"), "first", "left"
@@ -207,9 +283,3 @@ def near_duplicates(
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
     )
-
-
-def _checked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    first = sets.select(F.col("doc").alias("a"), F.col("set").alias("set_a"))
-    second = sets.select(F.col("doc").alias("b"), F.col("set").alias("set_b"))
-    return pairs.join(second, "b").join(first, "a").mapInArrow(_confirm(percent), "a long, b long")
