@@ -14,8 +14,9 @@ from oreflow.llm.common import Workspace
 
 #: Bounds of the sample the classifier is fitted on: confirmed toxic documents, unlabelled ones.
 FIT_POSITIVES, FIT_UNLABELLED = 5_000, 15_000
-#: Features that are kept at most; how surely and how many times more often they stand in toxic text.
-FIT_FEATURES, LEAST_GAIN, LEAST_LIFT = 2_048, 30.0, 3.0
+#: Features that are kept at most; how surely they stand more often in toxic
+#: text, and how near to toxic text alone (1 over the class prior is the most that a lift can be).
+FIT_FEATURES, LEAST_GAIN, LEAST_LIFT = 2_048, 30.0, 0.4
 #: Lengths of beginnings, and up to how many different words that share one are told apart.
 SIZES, OFTEN = (4, 5, 6), 3
 REMEMBERED = 300_000
@@ -189,7 +190,7 @@ def fit(docs: DataFrame, labels: DataFrame, work: Workspace) -> Model:
     p, u = F.col("p").cast("double"), F.col("u").cast("double")
     both = (p + u) / (n_p + n_u)
     gain = 2 * (p * F.log(p / (both * n_p)) + F.when(u > 0, u * F.log(u / (both * n_u))).otherwise(0.0))
-    clear = counts.where((F.col("p") >= max(3, n_p / 200)) & (p / n_p > LEAST_LIFT * (u + 0.5) / (n_u + 1)))
+    clear = counts.where((F.col("p") >= max(3, n_p / 100)) & (p / n_p > LEAST_LIFT / prior * u / n_u))
     clear = clear.withColumn("gain", gain).where(F.col("gain") >= LEAST_GAIN)
     chosen = clear.orderBy(F.desc("gain"), "feature").limit(FIT_FEATURES).collect()
     wanted = {r["feature"]: i for i, r in enumerate(sorted(chosen, key=lambda r: r["feature"]))}
