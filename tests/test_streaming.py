@@ -115,6 +115,15 @@ def test_one_id_in_most_rows_is_spread(spark, tmp_path):
     assert max(s["numRowsUpdated"] for s in second) == 501
 
 
+def test_salts_follow_the_state_partitions(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    with session_conf(spark, {"spark.sql.shuffle.partitions": "77"}):
+        stream = spark.readStream.schema(LATE_SCHEMA).parquet(str(tmp_path / "in"))
+        salted, bounded = dedup_stream(stream), dedup_stream(stream, bounded=True)
+    text = [df._jdf.queryExecution().analyzed().toString() for df in (salted, bounded)]
+    assert "% 77" in text[0] and "%" not in text[1]
+
+
 def test_state_is_in_rocksdb(spark, warehouse):
     ensure_table(spark, warehouse.bronze)
     append_table(spark.createDataFrame([("{}",)], "value string"), warehouse.bronze)
