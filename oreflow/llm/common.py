@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from functools import reduce
 
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from oreflow.scratch import scratch_folder
+
 # Fixed value: A-Z and what they become.
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER_BYTES = bytes.maketrans(UPPER.encode(), UPPER.lower().encode())
@@ -21,18 +21,12 @@ class Workspace:
     """Tables that a query writes between its steps, in the folder that all executors share.
 
     A written table cuts the lineage: a lost executor costs the step that runs, not the whole
-    query.  ``drop`` deletes tables that nothing reads any more.
+    query.  ``drop`` deletes tables that nothing reads any more; the rest goes when the process ends.
     """
 
     def __init__(self, spark: SparkSession, name: str):
-        conf = spark.sparkContext.getConf()
-        base = conf.get("spark.checkpoint.dir", None)
-        if not base:
-            if not spark.sparkContext.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            base = tempfile.gettempdir()
         self.spark = spark
-        self.root = f"{base.rstrip('/')}/oreflow-{name}-{uuid.uuid4().hex[:12]}"
+        self.root = scratch_folder(spark, name)
         self.count = 0
 
     def path(self, name: str) -> str:
