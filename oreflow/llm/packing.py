@@ -14,10 +14,20 @@ from pyspark.sql import DataFrame, functions as F
 from oreflow.llm.common import Workspace, buckets_for, hash_bucket, running_offsets
 
 #: Documents that are tokenized at once, characters of them, and words that are remembered.
-GROUP, GROUP_CHARS, REMEMBERED = 256, 2_000_000, 300_000
+GROUP, GROUP_CHARS, REMEMBERED = 256, 2_000_000, 600_000
 LONG_WORD = 200
 
 
+# Fixed rule of byte-level tokenizers: bytes that are printable Latin-1 characters stand for themselves,
+# the others, in order, for the characters from 256 on.
+_SHOWN = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTES = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
+
+
+def _as_bytes(word: str) -> str:
+    return word if word.isascii() else word.encode().decode("latin-1").translate(_BYTES)
+
+
 class WordTokens:
     """Ids of texts by a tokenizer file, remembered word by word, as packed little-endian numbers.
 
@@ -31,12 +41,28 @@ class WordTokens:
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.known: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
+        probes = ("tokenization", "größe", "été", "слово")
+        self.direct = all(
+            [t.id for t in self.tokenizer.model.tokenize(_as_bytes(w))]
+            == self.tokenizer.encode(w, add_special_tokens=False).ids
+            for w in probes
+        )
 
     def _pack(self, ids: list[int]) -> bytes:
         return np.array(ids, self.kind).tobytes()
 
     def _learn(self, words: list[str]) -> None:
-        """Encodes many words in one text and gives each its ids by the place they come from."""
+        """Encodes many words: lower-case letters by the model alone, all others in one text.
+
+        In a text each word gets its ids by the place they come from.  Words of letters only are one
+        unit for a byte-level tokenizer, so there the steps before its model can be left out.
+        """
+        if self.direct:
+            model = self.tokenizer.model
+            for w in [w for w in words if w.isalpha() and w == w.lower()]:
+                self.known[w] = self._pack([t.id for t in model.tokenize(_as_bytes(w))])
+            words = [w for w in words if w not in self.known]
         for lo in range(0, len(words), 4096):
             part = words[lo : lo + 4096]
             ends = np.cumsum([len(w) + 1 for w in part])
@@ -64,9 +90,13 @@ class WordTokens:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         lists = [self._words(t) for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known = {"": b""}
+        if len(self.known) > REMEMBERED // 2:
+            # Words that come again are taken over from the older half; the others go.
+            self.known, self.older = {"": b""}, self.known
         new = set().union(*lists) - self.known.keys()
+        again = new & self.older.keys()
+        self.known.update((w, self.older[w]) for w in again)
+        new -= again
         cores: dict[str, None] = {}
         for w in new:
             if not self._plain(w):
@@ -75,6 +105,8 @@ class WordTokens:
                 cores[w[:-1]] = cores[w[-1]] = None
             else:
                 cores[w] = None
+        for w in cores.keys() & self.older.keys():
+            self.known[w] = self.older[w]
         self._learn([w for w in cores if w not in self.known])
         alone = {}
         for w in new:
