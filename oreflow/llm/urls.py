@@ -126,10 +126,10 @@ def url_filter(pages: DataFrame, rules: DataFrame, default: str = "allow") -> Da
     )
     n_tasks = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     n_parts = 4 * n_tasks
-    # A bounded sample: SAMPLE keys a part.  It places the borders and changes no result.
-    order = F.xxhash64("row")
-    sample = points.select("key", "row").orderBy(order).limit(SAMPLE * n_parts).collect()
-    keys = sorted((r["key"], r["row"]) for r in sample)
+    # About SAMPLE keys a part, drawn by hash.  They place the borders and change no result.
+    share = min(1.0, SAMPLE * n_parts / max(pages.count(), 1))
+    drawn = F.pmod(F.xxhash64("row"), F.lit(1 << 20)) <= int(share * (1 << 20))
+    keys = sorted((r["key"], r["row"]) for r in points.select("key", "row").where(drawn).collect())
     bounds = sorted({keys[len(keys) * i // n_parts] for i in range(1, n_parts)}) if keys else []
     events = points.unionByName(spans)
     schema = (
