@@ -184,9 +184,11 @@ def _cell_links(cells: DataFrame, label: DataFrame, work: Workspace, percent: in
     the pivot are in its component, so one of a pair looked for, x, is not: D(x) has more than
     c (|x| + |pivot|) elements, and a linked y shares more than (|D(y)| + c (|pivot| - |y|)) / 2 elements
     of its D with it.  Whatever the order of elements, one of those is then among the first
-    |D(y)| - (that number) + 1 of D(y).  With the elements that are rare in the cell first, these are
-    edits that few members share, so the members of a large group of copies meet in few pairs; and
-    no pair is lost.
+    |D(y)| - (that number) + 1 of D(y).  When x and y meet in an element, both sizes are known, and so
+    is how many elements they must share; the first one they share must leave room for that behind it
+    in either order, else the pair is passed over.  With the elements that are rare in the cell first,
+    these are edits that few members share, so the members of a large group of copies meet in few
+    pairs; and no pair is lost.
     """
     own = label.select(F.col("node").alias("doc"), "component")
     facts = cells.select("pivot", "doc", "n", "pn", "linked", (F.octet_length("diff") / 8).cast("long").alias("d"))
@@ -203,18 +205,19 @@ def _cell_links(cells: DataFrame, label: DataFrame, work: Workspace, percent: in
     marked = each.join(often, ["pivot", "e"]).join(facts, ["pivot", "doc"])
     member = Window.partitionBy("pivot", "doc")
     place = F.row_number().over(member.orderBy("often", "e")) + F.col("d") - F.count(F.lit(1)).over(member)
-    marked = marked.withColumn("first", place <= F.col("prefix"))
-    marked = work.keep(marked.select("pivot", "e", "doc", "n", "linked", "component", "first"), "marked")
-    index = marked.where("first").select(
-        "pivot", "e", *[F.col(c).alias(f"{c}_y") for c in ("doc", "n", "linked", "component")]
-    )
-    asks = marked.where("not linked").select(
-        "pivot", "e", "first", *[F.col(c).alias(f"{c}_x") for c in ("doc", "n", "component")]
-    )
+    marked = marked.withColumn("place", place).withColumn("room", F.col("d") - F.col("place") + 1)
+    columns = ("doc", "n", "d", "room", "linked", "component")
+    marked = work.keep(marked.select("pivot", "e", F.col("place") <= F.col("prefix"), *columns).toDF(
+        "pivot", "e", "first", *columns
+    ), "marked")
+    index = marked.where("first").select("pivot", "e", *[F.col(c).alias(f"{c}_y") for c in columns])
+    asks = marked.where("not linked").select("pivot", "e", "first", *[F.col(c).alias(f"{c}_x") for c in columns])
+    apart = F.col("d_x") + F.col("d_y") - 2 * F.least("room_x", "room_y")
     meet = (
         (F.col("component_x") != F.col("component_y"))
         & (F.col("linked_y") | (F.col("first") & (F.col("doc_x") < F.col("doc_y"))))
         & (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y"))
+        & ((100 + percent) * apart <= (100 - percent) * (F.col("n_x") + F.col("n_y")))
     )
     pairs = index.join(asks, ["pivot", "e"]).where(meet)
     pairs = pairs.select("pivot", F.col("doc_x").alias("x"), F.col("doc_y").alias("y")).distinct()
