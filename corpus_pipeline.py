@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from oreflow.llm import minhash, mixing, packing, quality, secrets
-from oreflow.llm.common import SPACE_CLASS, Workspace
+from oreflow.llm.common import SPACE_CLASS, Workspace, row_order
 from oreflow.llm.queries import table, tokenizer_path
 
 
@@ -35,7 +35,10 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row for each pass of the mix over a document; the last one of a source may be cut at a word."""
+    """A row for each pass of the mix over a document; the last one of a source may be cut at a word.
+
+    Rows are in the order of the mix, by the slot that a row begins at; ``pack_sequences`` keeps it.
+    """
     work = Workspace(spark, "mix")
     rows = work.keep(
         docs.withColumns(
@@ -45,20 +48,23 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
     narrow = rows.select(F.col("_row").alias("row"), "doc_id", "source", F.col("_size").alias("size"))
     _, pieces = mixing.mixed(narrow, work)
-    taken = pieces.groupBy("row", "pass").agg(F.sum("words").alias("_words")).withColumnRenamed("row", "_row")
+    taken = pieces.groupBy("row", "pass").agg(
+        F.sum("words").alias("_words"), F.min("slot").alias("_slot"), F.first("begin").alias("_begin")
+    )
+    taken = taken.withColumnsRenamed({"row": "_row", "pass": "_pass"})
     words = F.array_remove(F.split("text", f"{SPACE_CLASS}+"), "")
     part = F.array_join(F.slice(words, 1, F.col("_words").cast("int")), " ")
     cut = F.when(F.col("_words") < F.col("_size"), part).otherwise(F.col("text"))
-    mixed = rows.join(taken.select("_row", "_words"), "_row").withColumn("text", cut)
+    mixed = rows.join(taken, "_row").withColumn("text", cut)
     if "n_chars" in docs.columns:
         shorter = F.col("_words") < F.col("_size")
         mixed = mixed.withColumn("n_chars", F.when(shorter, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return mixed.select(*docs.columns)
+    return mixed.orderBy("_slot", "source", "_pass", "_begin").select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all rows in sequences of 2048 tokens."""
-    return packing.pack(docs, Workspace(spark, "pack"), tokenizer_path())
+    """The pieces of all rows in sequences of 2048 tokens, the rows of a source in the order they come in."""
+    return packing.pack(docs.withColumn("_place", row_order(docs)), Workspace(spark, "pack"), tokenizer_path(), place="_place")
 
 
 def _recounted(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -134,15 +134,15 @@ def _tokenize(path: str, end_id: int):
                     size += len(part[-1])
                 ids = [code + end for code in coder.encode(part)]
                 width = len(end)
+                others = [c for c in batch.schema.names if c != "text"]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(range(row, row + len(part)), pa.int64()),
-                        batch.column("doc_id").slice(lo, len(part)),
-                        batch.column("source").slice(lo, len(part)),
+                        *(batch.column(c).slice(lo, len(part)) for c in others),
                         pa.array([len(x) // width for x in ids], pa.int64()),
                         pa.array(ids, pa.binary()),
                     ],
-                    names=["row", "doc_id", "source", "doc_tokens", "ids"],
+                    names=["row", *others, "doc_tokens", "ids"],
                 )
                 row += len(part)
                 lo += len(part)
@@ -191,6 +191,7 @@ def pack(
     window: int = 2048,
     end_id: int = 1,
     weights: dict[str | None, float] | None = None,
+    place: str | None = None,
 ) -> DataFrame:
     """Pieces of all ``docs`` (``doc_id``, ``source``, ``text``) in sequences of ``window`` tokens.
 
@@ -204,23 +205,25 @@ def pack(
     no source is ahead of or behind its share by more than one document.
 
     Rows that repeat are packed as often as they come; a null text has the end id only; a null
-    source is a queue of its own.
+    source is a queue of its own.  Queues are shuffled by a hash of ``doc_id``, or are in the order of
+    the column ``place`` (``row_order``).
     """
-    schema = "row long, doc_id long, source string, doc_tokens long, ids binary"
-    coded = work.keep(docs.select("doc_id", "source", "text").mapInArrow(_tokenize(tokenizer, end_id), schema), "ids")
-    narrow = coded.select("row", "doc_id", "source", "doc_tokens")
+    others = ["doc_id", "source", *([place] if place else [])]
+    schema = f"row long, doc_id long, source string, {f'{place} long, ' if place else ''}doc_tokens long, ids binary"
+    coded = work.keep(docs.select(*others, "text").mapInArrow(_tokenize(tokenizer, end_id), schema), "ids")
+    narrow = coded.select("row", *others, "doc_tokens")
     queues = narrow.groupBy("source").agg(F.sum("doc_tokens").alias("tokens"), F.count(F.lit(1)).alias("rows"))
     queues = work.keep(queues, "queues")
     total = queues.agg(F.sum("tokens").alias("t"), F.sum("rows").alias("r")).first()
     n_tokens, n_rows = total.t or 0, total.r or 0
     n_buckets = buckets_for(n_rows)
-    queued = running_offsets(
-        narrow.withColumn("bucket", hash_bucket(n_buckets, F.col("doc_id"))),
-        "doc_tokens",
-        ["source"],
-        [F.xxhash64("doc_id"), F.col("doc_id"), F.col("row")],
-        "queued",
-    )
+    if place:
+        # Runs of places next to each other: none over two files, about as many rows in each as runs.
+        bucket, order = F.shiftright(place, n_buckets.bit_length() - 1), [F.col(place), F.col("row")]
+    else:
+        bucket = hash_bucket(n_buckets, F.col("doc_id"))
+        order = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("row")]
+    queued = running_offsets(narrow.withColumn("bucket", bucket), "doc_tokens", ["source"], order, "queued")
     share = F.col("tokens") / F.lit(float(max(n_tokens, 1)))
     if weights is not None:
         whole = float(sum(weights.values()))

@@ -26,9 +26,22 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.monotonically_increasing_id().alias("row"), "doc_id", "source", mixing.word_count(F.col("text")).alias("size")
     )
     placed, pieces = mixing.mixed(work.keep(docs, "sizes"), work)
-    taken = pieces.groupBy("row").agg(F.sum("words").alias("taken"))
+    of_pass = [F.when(F.col("pass") == p, F.col("slot")) for p in range(mixing.PASSES)]
+    # The last block of a pass over a row may be the first one of the next pass.
+    shared = [(F.max(a) == F.min(b)).cast("long") for a, b in zip(of_pass, of_pass[1:])]
+    blocks = F.count(F.lit(1)) - sum((F.coalesce(x, F.lit(0)) for x in shared), F.lit(0))
+    taken = pieces.groupBy("row").agg(
+        F.sum("words").alias("taken"), F.min("slot").alias("slot"), blocks.alias("blocks")
+    )
     return placed.join(taken, "row", "left").select(
-        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "source"
+        "doc_id",
+        "size",
+        "source_size",
+        "target",
+        F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
+        "source",
+        "slot",
+        F.coalesce("blocks", F.lit(0)).cast("long").alias("blocks"),
     )
 
 

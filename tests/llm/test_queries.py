@@ -271,6 +271,34 @@ def test_pipeline(spark, folder):
     checked_packing(packed.collect(), at(mixed, "doc_id", "text"))
 
 
+def test_the_order_of_the_mix_reaches_the_sequences(spark, tmp_path):
+    """Over files of one stage to the next: a second pass is queued behind the whole first one."""
+    names = ["few", "many", "some"]
+    rows = [(i, f"d{i} " + "word " * 400, names[min(i % 7, 2)]) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    docs.repartition(5, "doc_id").write.parquet(f"{tmp_path}/documents.parquet")
+    op1 = {r.doc_id: r for r in QUERIES["op1_source_mix"](spark, str(tmp_path)).collect()}
+    assert all((r.slot is not None) == (r.blocks > 0) == (r.taken > 0) for r in op1.values())
+    assert len({r.slot for r in op1.values()}) > 30
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    mixed = corpus_pipeline.source_mix(spark, docs, str(tmp_path))
+    order = [r.doc_id for r in mixed.collect()]
+    firsts = list(dict.fromkeys(order))
+    assert [op1[i].slot for i in firsts] == sorted(op1[i].slot for i in firsts)
+    # Files of unlike sizes, which Spark reads in another order than they were written in.
+    mixed.write.option("maxRecordsPerFile", 97).parquet(f"{tmp_path}/mixed")
+    pieces = corpus_pipeline.pack_sequences(spark, spark.read.parquet(f"{tmp_path}/mixed"), "").collect()
+    starts = sorted((r.sequence_id, r.offset, r.source, r.doc_id) for r in pieces if r.start == 0)
+    twice = 0
+    for s in names:
+        queue = [i for _, _, x, i in starts if x == s]
+        assert queue == [i for i in order if op1[i].source == s]
+        of_source = sum(r.source == s for r in op1.values())
+        assert len(set(queue[:of_source])) == min(of_source, len(queue))
+        twice += len(queue) > of_source
+    assert twice
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, name):
     with duckdb.connect() as db:
