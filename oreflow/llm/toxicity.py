@@ -12,11 +12,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from oreflow.llm.common import Workspace
 
-#: Bounds of the sample the classifier is fitted on: confirmed toxic documents, unlabelled ones.
-FIT_POSITIVES, FIT_UNLABELLED = 5_000, 15_000
-#: Features that are kept at most; how surely they stand more often in toxic
-#: text, and how near to toxic text alone (1 over the class prior is the most that a lift can be).
-FIT_FEATURES, LEAST_GAIN, LEAST_LIFT = 2_048, 30.0, 0.4
+#: Bounds of the sample the classifier is fitted on: confirmed toxic documents, unlabelled ones; and of
+#: the confirmed clean ones that features are held against.
+FIT_POSITIVES, FIT_UNLABELLED, FIT_CLEAN = 5_000, 15_000, 5_000
+#: Features that are kept at most; in how many positives they stand at least; how surely they stand
+#: more often in toxic text, and how many times as often as in clean text.
+FIT_FEATURES, LEAST_POSITIVES, LEAST_GAIN, LEAST_LIFT = 2_048, 3, 30.0, 13.0
 #: Lengths of beginnings, and up to how many different words that share one are told apart.
 SIZES, OFTEN = (4, 5, 6), 3
 REMEMBERED = 300_000
@@ -96,7 +97,9 @@ def fit_nnpu(
     Minimises ``prior * loss(positive as 1) + max(0, loss(unlabelled as 0) - prior * loss(positive as
     0))``: unlabelled text is toxic at the rate ``prior``, so its loss as clean text less the share of the
     toxic ones estimates the loss on clean text, which cannot be below 0.  Where it falls below, the
-    step goes back along that part alone, as the non-negative estimator prescribes.
+    step goes back along that part alone, as the non-negative estimator prescribes.  The penalty
+    ``l2`` of a weight goes by how often its feature stands in positives, so that the little that
+    rare features add to the loss is not outweighed.
     """
 
     def flat(rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray, int]:
@@ -112,6 +115,8 @@ def fit_nnpu(
         return np.bincount(at, g[owner], n_features), g.sum()
 
     pos, unl = flat(positive), flat(unlabelled)
+    often = np.bincount(pos[1], minlength=n_features)
+    ridge = l2 * often / max(often.max(initial=0), 1)
     w, b = np.zeros(n_features), 0.0
     m, v = np.zeros(n_features + 1), np.zeros(n_features + 1)
     for step in range(1, steps + 1):
@@ -126,7 +131,7 @@ def fit_nnpu(
             grad = np.append(gwp, gbp) + gneg
         else:
             grad = -gneg
-        grad[:-1] += l2 * w
+        grad[:-1] += ridge * w
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         move = rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
         w, b = w - move[:-1], b - move[-1]
@@ -156,11 +161,13 @@ def fit(docs: DataFrame, labels: DataFrame, work: Workspace) -> Model:
 
     Confirmed toxic documents are the positives; the unlabelled ones are drawn from all documents
     outside the fold, whatever their label, as the estimator asks for.  Both are thinned by a hash of
-    ``doc_id`` to about ``FIT_POSITIVES`` and ``FIT_UNLABELLED``.  The class prior is the rate of toxic labels
-    outside the fold.  Features are those that stand in positives more often by a likelihood ratio
-    test, the ``FIT_FEATURES`` clearest of them; their counts are summed by key, and only they and the
-    sample's rows of them reach the driver.  Without positives the model scores every text the same,
-    near 0.
+    ``doc_id`` to about ``FIT_POSITIVES`` and ``FIT_UNLABELLED``.  Features are those that stand in positives
+    more often by a likelihood ratio test, and far more often than in confirmed clean documents (about
+    ``FIT_CLEAN`` of them), the ``FIT_FEATURES`` clearest; their counts are summed by key, and only they and
+    the sample's rows of them reach the driver.  The class prior is that of the documents, which may be
+    labelled at another rate: the share of toxic ones at which the unlabelled show the features as
+    often as they do; the rate of toxic labels where no clean ones tell it.  Without positives the
+    model scores every text the same, near 0.
     """
     marks = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
     marks = marks.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -175,22 +182,28 @@ def fit(docs: DataFrame, labels: DataFrame, work: Workspace) -> Model:
     ) * (1 << 20)
     toxic = marks.where(F.col("toxic") == 1).where(draw(5, FIT_POSITIVES, rates.toxic))
     others = open_docs.select("doc_id").distinct().where(draw(6, FIT_UNLABELLED, n_docs))
+    clean = marks.where(F.col("toxic") == 0).where(draw(7, FIT_CLEAN, rates.n - rates.toxic))
     ids = toxic.select("doc_id", F.lit(True).alias("positive")).union(others.withColumn("positive", F.lit(False)))
-    # Two bounds hold the ids to a few hundred kilobytes, whatever the number of documents.
+    ids = ids.union(clean.select("doc_id", F.lit(None).cast("boolean")))
+    # Three bounds hold the ids to a few hundred kilobytes, whatever the number of documents.
     texts = open_docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("positive", "text")
     texts = work.keep(texts, "sample")
     seen = texts.mapInArrow(_featured(None), "positive boolean, found array<long>")
     counts = seen.select("positive", F.explode("found").alias("feature")).groupBy("feature").agg(
-        F.sum(F.col("positive").cast("long")).alias("p"), F.sum((~F.col("positive")).cast("long")).alias("u")
+        F.count_if("positive").alias("p"),
+        F.count_if(~F.col("positive")).alias("u"),
+        F.count_if(F.col("positive").isNull()).alias("c"),
     )
     sizes = {r["positive"]: r["count"] for r in texts.groupBy("positive").count().collect()}
-    n_p, n_u = sizes.get(True, 0), sizes.get(False, 0)
+    n_p, n_u, n_c = sizes.get(True, 0), sizes.get(False, 0), sizes.get(None, 0)
     if not n_p or not n_u:
         return Model({}, np.zeros(0), -4.0)
     p, u = F.col("p").cast("double"), F.col("u").cast("double")
     both = (p + u) / (n_p + n_u)
     gain = 2 * (p * F.log(p / (both * n_p)) + F.when(u > 0, u * F.log(u / (both * n_u))).otherwise(0.0))
-    clear = counts.where((F.col("p") >= max(3, n_p / 100)) & (p / n_p > LEAST_LIFT / prior * u / n_u))
+    # Without confirmed clean text, what the unlabelled have beyond the share of the toxic ones.
+    usual = F.col("c") / n_c if n_c else F.greatest(u / n_u - prior * p / n_p, F.lit(0.0)) / (1 - prior)
+    clear = counts.where((p >= LEAST_POSITIVES) & (p / n_p > u / n_u) & (p / n_p > LEAST_LIFT * usual))
     clear = clear.withColumn("gain", gain).where(F.col("gain") >= LEAST_GAIN)
     chosen = clear.orderBy(F.desc("gain"), "feature").limit(FIT_FEATURES).collect()
     wanted = {r["feature"]: i for i, r in enumerate(sorted(chosen, key=lambda r: r["feature"]))}
@@ -198,11 +211,14 @@ def fit(docs: DataFrame, labels: DataFrame, work: Workspace) -> Model:
         return Model({}, np.zeros(0), -4.0)
     rows = texts.mapInArrow(_featured(wanted), "positive boolean, found array<long>")
     rows = rows.groupBy("positive", "found").count().collect()
-    ordered = sorted(rows, key=lambda r: (r["positive"], r["found"]))
+    ordered = sorted((r for r in rows if r["positive"] is not None), key=lambda r: (r["positive"], r["found"]))
     split = {
         kind: [list(r["found"]) for r in ordered if r["positive"] == kind for _ in range(r["count"])]
         for kind in (True, False)
     }
+    shown = {k: sum(r["count"] for r in rows if r["positive"] == k and r["found"]) / max(n, 1) for k, n in sizes.items()}
+    if n_c and shown[True] > shown[None]:
+        prior = min(0.5, max(0.001, (shown[False] - shown[None]) / (shown[True] - shown[None])))
     weights, bias = fit_nnpu(split[True], split[False], len(wanted), prior)
     return Model(wanted, weights, bias)
 

@@ -230,6 +230,32 @@ def test_unlabelled_toxic_text_does_not_mislead():
     assert np.mean([score(clean()) >= 0.7 for _ in range(200)]) < 0.05
 
 
+def test_a_rare_kind_of_toxicity_among_many_positives(spark):
+    """40 of 7,600 toxic documents have a word of their own and share nothing with the others."""
+    of = lambda x: F.col("id") % x
+    common = F.concat(F.lit("usual"), of(5), F.lit(" ugly"), of(3))
+    text = F.when(F.col("id") < 40, F.lit("usual1 zqrare")).when(F.col("id") < 7_600, common)
+    docs = spark.range(110_000).select(
+        F.col("id").alias("doc_id"), F.coalesce(text, F.concat(F.lit("usual"), of(5), F.lit(" fine"), of(7))).alias("text")
+    )
+    labels = docs.where("doc_id < 7600 or doc_id % 9 = 0").withColumn("toxic", (F.col("doc_id") < 7600).cast("int"))
+    model = toxicity.fit(docs, labels, Workspace(spark, "t"))
+    wrong = toxicity.scored(docs, model).where("predicted <> cast(doc_id < 7600 as int)")
+    assert wrong.count() == 0
+
+
+def test_toxicity_labelled_at_another_rate_than_that_of_the_corpus(spark):
+    """A tenth of the documents is toxic; of those with labels one in 300, or two in three."""
+    toxic = F.col("doc_id") % 10 == 0
+    docs = spark.range(30_000).withColumnRenamed("id", "doc_id")
+    docs = docs.withColumn("text", F.when(toxic, "usual word ugly thing").otherwise("usual word fine thing"))
+    for kept in ("doc_id % 10 > 0 or doc_id % 300 = 0 and doc_id < 27000", "doc_id % 10 = 0 or doc_id % 200 < 10"):
+        labels = docs.where(kept).withColumn("toxic", toxic.cast("int"))
+        model = toxicity.fit(docs, labels, Workspace(spark, "t"))
+        wrong = toxicity.scored(docs, model).where((F.col("predicted") == 1) != toxic)
+        assert wrong.count() == 0
+
+
 def test_notices_with_words_put_in_and_left_out(spark):
     _, text = licenses.NOTICES[0]
     words = text.split()
