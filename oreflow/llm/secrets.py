@@ -1,4 +1,4 @@
-"""Secret scan: candidates by form, and a random forest that removes false positives."""
+"""Secret scan: candidates by form or by where they stand, and a random forest that removes false positives."""
 
 from __future__ import annotations
 
@@ -15,6 +15,18 @@ CANDIDATE = rf"(?<![{ALPHABET}])(?=[A-Za-z+/_\-]*[0-9])[{ALPHABET}]{{16,}}(?![{A
 GAP = r"[\x20\x09-\x0D]+"
 # Words that stand before secrets, and in assignments to them.
 KEY_WORDS = "password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|auth|bearer|credential"
+# What holds a secret whatever it is made of: a value assigned to a key word, the
+# password or the name alone before the host of a URL, the body of a private key, a web token.
+# The groups are the values; quoted ones may have spaces.
+_KEY = rf"(?i:{KEY_WORDS})[A-Za-z0-9_\-]*[\"'\]]?[\x20\t]*(?::=|=>|=|:(?!//))[\x20\t]*(?i:(?:bearer|basic|token)[\x20\t]+)?"
+HELD = {
+    "pem": r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----\s*([\s\S]{1,20000}?)\s*-----END",
+    "jwt": r"(eyJ[A-Za-z0-9_\-]{5,}\.[A-Za-z0-9_\-]+\.[A-Za-z0-9_\-]*)",
+    "url": r"://(?:[^\s/@:]*:([^\s/@]+)|([^\s/@:]+))@",
+    "assigned": _KEY + r"""(?:"([^"\r\n]+)"|'([^'\r\n]+)'|([^\s"',;]+))""",
+}
+# Fixed value: what stands for a secret that is given elsewhere.
+PLACEHOLDER = r"^((?i:none|null|nil|undefined|true|false|string|str|required|optional)|[*.x]+|<[^>]*>|\$?\{.*\}|\$[A-Z_]+|%[A-Z_]+%)$"
 # Openings that providers give to their keys, with what must follow.
 PROVIDERS = (
     r"^(AKIA|ASIA)[0-9A-Z]{16}$",
@@ -66,28 +78,84 @@ FEATURES = (
 )
 
 
+def _held(w_text: Column, form: str) -> Column:
+    """The values that stand in one of the forms of ``HELD``: an array of ``HIT``."""
+    pattern = HELD[form]
+    groups = pattern.count("(") - pattern.count("(?")
+    whole = F.regexp_extract_all(w_text, F.lit(pattern), F.lit(0))
+    # Gaps up to a match are those of the pieces between matches and of the matches before it.
+    gaps = lambda x: F.regexp_count(x, F.lit(GAP))
+    between = F.transform(F.split(w_text, pattern, -1), gaps)
+    inside = F.transform(whole, gaps)
+    add = lambda xs: F.aggregate(xs, F.lit(0), lambda a, x: a + x)
+
+    def hit(match: Column, i: Column) -> Column:
+        value = F.concat(*[F.regexp_extract(match, pattern, g) for g in range(1, groups + 1)])
+        # The value ends the match but for what closes it.
+        last = F.length(match) - F.instr(F.reverse(match), F.reverse(value)) + 1
+        lead = F.left(match, last - F.length(value))
+        position = add(F.slice(between, F.lit(1), i + 1)) + add(F.slice(inside, F.lit(1), i)) + gaps(lead)
+        return F.struct(position.cast("int").alias("position"), value.alias("candidate"), lead.alias("lead"), F.lit(form).alias("form"))
+
+    return F.transform(whole, hit)
+
+
 def candidates(docs: DataFrame) -> DataFrame:
     """Every candidate in every whole text of ``docs`` (``doc_id``, ``source``, ``text``).
 
-    ``word`` is the word it stands in, ``position`` that word's place, ``before`` the two words
-    before it and ``after`` the next one.  Null and empty texts have none; a candidate that stands
-    in a text twice comes twice, and so do those of repeated rows.
+    Candidates are runs of a key's alphabet (``CANDIDATE``), and whatever stands where a secret does
+    (``HELD``), of any length and with any marks.  ``word`` is the word it begins in, ``position`` that
+    word's place, ``before`` the two words before it and ``after`` the next one; ``form`` says where it
+    stands (empty for a run) and ``lead`` is what it follows there.  Null and empty texts have none; a
+    candidate that stands in a text twice comes twice, and so do those of repeated rows.
     """
-    w = F.split("text", GAP)
-    texts = docs.where(F.col("text").rlike(CANDIDATE)).select("doc_id", "source", w.alias("w"))
+    some = F.col("text").rlike(CANDIDATE)
+    for pattern in HELD.values():
+        some = some | F.col("text").rlike(pattern)
+    held = F.concat(*[_held(F.col("text"), form) for form in HELD])
+    texts = docs.where(some).select("doc_id", "source", F.split("text", GAP).alias("w"), held.alias("held"))
+    # What is in two forms counts in the first; a run within a value is a part of it.
+    texts = texts.withColumn(
+        "held",
+        F.filter(
+            "held",
+            lambda x, i: (F.length(x["candidate"]) > 0)
+            & ~F.exists(F.slice("held", F.lit(1), i), lambda y: (y["position"] == x["position"]) & y["candidate"].contains(x["candidate"])),
+        ),
+    )
     holder = F.filter(
         F.transform("w", lambda x, i: F.struct(i.alias("position"), x.alias("word"))),
         lambda x: (F.length(x["word"]) >= 16) & x["word"].rlike(CANDIDATE),
     )
-    near = texts.withColumn("hit", F.explode(holder)).select(
+    runs = F.flatten(
+        F.transform(
+            holder,
+            lambda h: F.transform(
+                F.regexp_extract_all(h["word"], F.lit(CANDIDATE), F.lit(0)),
+                lambda c: F.struct(h["position"].alias("position"), c.alias("candidate"), F.lit("").alias("lead"), F.lit("").alias("form")),
+            ),
+        )
+    )
+    runs = F.filter(
+        runs,
+        lambda x: ~F.exists(
+            "held",
+            lambda y: (y["position"] == x["position"])
+            & y["candidate"].contains(F.regexp_replace(x["candidate"], "^/+", "")),
+        ),
+    )
+    place = F.col("hit.position")
+    return texts.withColumn("hit", F.explode(F.concat(runs, "held"))).select(
         "doc_id",
         "source",
-        F.col("hit.position").alias("position"),
-        F.col("hit.word").alias("word"),
-        F.concat_ws(" ", F.slice("w", F.greatest(F.col("hit.position") - 1, F.lit(1)), F.least(F.col("hit.position"), F.lit(2)))).alias("before"),
-        F.concat_ws(" ", F.slice("w", F.col("hit.position") + 2, 1)).alias("after"),
+        place.alias("position"),
+        F.get("w", place).alias("word"),
+        F.concat_ws(" ", F.slice("w", F.greatest(place - 1, F.lit(1)), F.least(place, F.lit(2)))).alias("before"),
+        F.concat_ws(" ", F.slice("w", place + 2, 1)).alias("after"),
+        "hit.candidate",
+        "hit.lead",
+        "hit.form",
     )
-    return near.withColumn("candidate", F.explode(F.regexp_extract_all("word", F.lit(CANDIDATE), 0)))
 
 
 def described(found: DataFrame) -> DataFrame:
@@ -99,6 +167,9 @@ def described(found: DataFrame) -> DataFrame:
     changes = [rf"{a}(?=[{ALPHABET}])(?!{a})" for a in ("[a-z]", "[A-Z]", "[0-9]")]
     covered = F.length(F.regexp_replace(F.lower(c), "|".join(sorted(DICTIONARY, key=len, reverse=True)), ""))
     rest = F.regexp_replace(word, CANDIDATE, " ")
+    # A value is described by where it stands, not by the marks that lead to it or are in it.
+    form = F.col("form")
+    within = lambda *forms: form.isin(*forms)
     values = {
         "n_chars": n,
         "digit_share": count("[0-9]") / n,
@@ -109,11 +180,11 @@ def described(found: DataFrame) -> DataFrame:
         "vowel_changes": count("(?i)[aeiou](?=[b-df-hj-np-tv-z])|[b-df-hj-np-tv-z](?=[aeiou])") / n,
         "repeats": count(r"(.)(?=\1)") / n,
         "dictionary_share": 1 - covered / n,
-        "path_marks": count(r"[/.]", word) + flag(word.contains("://")) * 4,
-        "mail_mark": flag(word.contains("@")),
-        "assigned": flag(F.concat_ws(" ", "before", rest).rlike("[=:][\"']?\\s*$") | rest.rlike("[=:][\"']?\\s*$|=")),
+        "path_marks": F.when(form == "", count(r"[/.]", word) + flag(word.contains("://")) * 4).otherwise(0),
+        "mail_mark": flag((form == "") & word.contains("@")),
+        "assigned": flag(within("assigned", "url") | F.concat_ws(" ", "before", rest).rlike("[=:][\"']?\\s*$") | rest.rlike("[=:][\"']?\\s*$|=")),
         "key_before": flag(F.lower("before").rlike(rf"\b({KEY_WORDS})\b")),
-        "key_inside": flag(F.lower(rest).rlike(rf"({KEY_WORDS})")),
+        "key_inside": flag(within("assigned", "url") | F.lower(rest).rlike(rf"({KEY_WORDS})")),
         "word_after": flag(F.col("after").rlike(r"^\p{L}+[,.]?$")),
     }
     return found.withColumns({k: v.cast("double") for k, v in values.items()})
@@ -124,21 +195,23 @@ def known_findings(found: DataFrame) -> DataFrame:
 
     Secret: a provider's form, or a run of hex digits or mixed characters that is assigned to a name
     like ``password``.  Not secret: digits only (numbers, cards), the name of a mail address, a part
-    of a path or URL, names made of dictionary words, all without such an assignment.
+    of a path or URL, names made of dictionary words, all without such an assignment and not in a URL
+    with credentials; and placeholders.
     """
     c = F.col("candidate")
-    provider = F.lit(False)
+    provider = F.col("form").isin("pem", "jwt")
     for pattern in PROVIDERS:
         provider = provider | c.rlike(pattern)
+    held = F.col("word").rlike(HELD["url"]) | F.col("form").isin("url")
     named = (F.col("assigned") > 0) & ((F.col("key_before") > 0) | (F.col("key_inside") > 0))
-    strong = named & (F.col("dictionary_share") < 0.3) & (F.col("digit_share") > 0.1) & (F.col("distinct_share") > 0.2)
+    strong = named & (F.col("form") != "url") & (F.col("dictionary_share") < 0.3) & (F.col("digit_share") > 0.1) & (F.col("distinct_share") > 0.2)
     plain = (
         c.rlike("^[0-9_+/-]+$")
         | (F.col("mail_mark") > 0)
         | (F.col("path_marks") >= 3)
         | (F.col("dictionary_share") >= 0.5)
     )
-    return found.withColumn("label", F.when(provider | strong, 1.0).when(plain & ~named, 0.0))
+    return found.withColumn("label", F.when(c.rlike(PLACEHOLDER), 0.0).when(provider | strong, 1.0).when(plain & ~named & ~held, 0.0))
 
 
 def fit_forest(labelled: DataFrame, n_rows: int, seed: int = 7) -> PipelineModel | None:
@@ -196,10 +269,17 @@ def redacted(docs: DataFrame, found: DataFrame, mark: str = "[SECRET]") -> DataF
 
     Rows are matched by ``doc_id`` (null matches null); columns stay as they are.
     """
-    hits = found.where("secret").groupBy("doc_id").agg(F.collect_set("candidate").alias("_secrets"))
+    # What could be any word is masked only after what it was assigned to.
+    lead = F.when(F.col("form").isin("assigned", "url") & ~F.col("candidate").rlike(f"^{CANDIDATE}$"), F.col("lead"))
+    secret = F.struct(F.coalesce(lead, F.lit("")).alias("lead"), "candidate")
+    hits = found.where("secret").groupBy("doc_id").agg(F.collect_set(secret).alias("_secrets"))
     hits = hits.select(F.col("doc_id").alias("_id"), "_secrets")
-    ordered = F.expr("array_sort(_secrets, (a, b) -> length(b) - length(a))")
-    clean: Column = F.aggregate(ordered, F.col("text"), lambda t, s: F.replace(t, s, F.lit(mark)))
+    ordered = F.expr("array_sort(_secrets, (a, b) -> length(b.candidate) - length(a.candidate))")
+    clean: Column = F.aggregate(
+        ordered,
+        F.col("text"),
+        lambda t, s: F.replace(t, F.concat(s["lead"], s["candidate"]), F.concat(s["lead"], F.lit(mark))),
+    )
     joined = docs.join(hits, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
     return joined.withColumn("text", F.when(F.col("_secrets").isNull(), F.col("text")).otherwise(clean)).select(
         *docs.columns
