@@ -114,6 +114,31 @@ def running_offsets(
     )
 
 
+def salted_lookup(
+    rows: DataFrame, facts: DataFrame, key: str, how: str = "inner", total: int | None = None, parts: int = 1024
+) -> DataFrame:
+    """``rows`` with the columns of ``facts``, which has a row for each value of ``key`` and its number ``n`` of rows.
+
+    A value with more than a ``parts``-th of all rows is divided: its rows are dealt over as many salts as
+    it has such parts, and its one fact is copied to each.  There are fewer than ``parts`` such values, so
+    their list is small at any size; rows without a value, which meet nothing, are dealt over
+    ``parts`` salts.  ``rows`` should be a stored table, whose rows are numbered alike if a task runs again.
+    """
+    if total is None:
+        total = facts.agg(F.sum("n")).first()[0] or 0
+    part = max(total // parts, 1)
+    hot = facts.where(F.col("n") > part).select(F.col(key).alias("_hot"), F.ceil(F.col("n") / part).alias("_salts"))
+    salts = F.coalesce("_salts", F.when(F.col(key).isNull(), parts).otherwise(1))
+    few = F.broadcast(hot)
+    dealt = rows.join(few, F.col(key) == F.col("_hot"), "left").withColumn(
+        "_salt", F.pmod(F.monotonically_increasing_id(), salts)
+    )
+    copied = facts.join(few, F.col(key) == F.col("_hot"), "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_salts", F.lit(1)) - 1))
+    )
+    return dealt.drop("_hot", "_salts").join(copied.drop("_hot", "_salts", "n"), [key, "_salt"], how).drop("_salt")
+
+
 def buckets_for(n_rows: int) -> int:
     """About the square root of ``n_rows``, as a power of two: buckets and rows in each stay alike."""
     return 1 << max(0, (max(n_rows, 1).bit_length() + 1) // 2)

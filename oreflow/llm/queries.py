@@ -6,8 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from oreflow.llm import licenses, minhash, mixing, neighbours, packing, quality, secrets, toxicity, urls, warc
-from oreflow.llm.common import Workspace
+from oreflow.llm import (
+    licenses,
+    merkle,
+    minhash,
+    mixing,
+    neighbours,
+    packing,
+    periodic,
+    quality,
+    secrets,
+    simhash,
+    sql,
+    toxicity,
+    urls,
+    warc,
+)
+from oreflow.llm.common import SPACE_CLASS, Workspace, lower_ascii
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -108,6 +123,51 @@ def op10_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents")).drop("passages")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    of = lambda text: merkle.leaf(F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), text)
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    tampered = F.when(chosen, of(lower_ascii(F.col("text"))))
+    proofs = merkle.manifest(docs, Workspace(spark, "op11"), of(F.col("text")), extra={"tampered": tampered})
+    folded = merkle.folded(F.coalesce("tampered", "leaf"), F.col("path"))
+    told = proofs.select("doc_id", "leaf", "subroot", "root", merkle.proof(F.col("path")).alias("proof_sha256"), folded.alias("folded_root"))
+    return told.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def planted_repeats(docs: DataFrame) -> DataFrame:
+    """``doc_id, text`` with the words of every tenth text, by a hash of its id, repeating from some place on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.array_remove(F.split("text", f"{SPACE_CLASS}+"), "")
+    aimed = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words).alias("w"))
+    n = F.size("w").cast("long")
+    aimed = aimed.withColumn("a", F.when(n > 0, F.col("g") % n))
+    aimed = aimed.withColumn("p", 1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8)))
+    place = lambda i: (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")
+    tail = F.transform(F.sequence("a", n - 1), lambda i: F.get("w", place(i)))
+    text = F.concat_ws(" ", F.slice("w", F.lit(1), F.col("a").cast("int")), tail)
+    return aimed.select("doc_id", F.when(F.col("a").isNull(), F.col("text")).otherwise(text).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(planted_repeats(table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.array_join(F.transform(lines, lambda line: F.concat(line, F.lit("\n"))), "")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "start",
+        "length",
+        "period",
+        F.expr("1000 * length div period").alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_simhash_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), Workspace(spark, "op13"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -121,6 +181,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_nnpu_toxicity,
         op9_deficit_packing,
         op10_license_diagonals,
+        op11_merkle_manifest,
+        op12_periodic_runs,
+        op13_simhash_tiles,
     )
 }
 
@@ -179,4 +242,6 @@ reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.y FROM
 groups AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
 SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, g.component_id, d.doc_id = g.component_id AS kept
 FROM documents d JOIN groups g ON d.doc_id = g.a LEFT JOIN sizes s ON d.doc_id = s.doc_id""",
+    "op11_merkle_manifest": sql.MERKLE,
+    "op12_periodic_runs": sql.PERIODIC,
 }

@@ -5,9 +5,11 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pyarrow.parquet as pq
+import xxhash
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -168,3 +170,112 @@ def license_base(text):
                 places.append(i)
                 labels.add(label)
     return len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(labels))
+
+
+def leaf_digest(*values):
+    parts = []
+    for v in values:
+        raw = None if v is None else str(v).encode()
+        parts.append(b"-" if raw is None else str(len(raw)).encode() + b":" + raw)
+    return hashlib.sha256(b"".join(parts)).hexdigest()
+
+
+def joined_digest(parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def merkle_root(leaves, at=None, new=None, arity=8):
+    """Root of a list of digests; with ``at``, also the siblings of that leaf and the root if it were ``new``."""
+    proof, now = [], new
+    while len(leaves) > 1:
+        if at is not None:
+            lo = at - at % arity
+            run = leaves[lo : lo + arity]
+            others = run[: at - lo], run[at - lo + 1 :]
+            proof += others[0] + others[1]
+            now = joined_digest([*others[0], now, *others[1]])
+            at //= arity
+        leaves = [joined_digest(leaves[i : i + arity]) for i in range(0, len(leaves), arity)]
+    return leaves[0], proof, now
+
+
+def manifest(rows):
+    """Rows of op11 from ``doc_id, source, lang, n_chars, text``."""
+    trees = defaultdict(list)
+    for doc, source, lang, n, text in rows:
+        leaf = leaf_digest(doc, source, lang, n, text)
+        chosen = doc is not None and zlib.crc32(str(doc).encode()) % 3 == 0
+        other = leaf_digest(doc, source, lang, n, None if text is None else lower(text)) if chosen else leaf
+        trees[lang].append((doc is not None, doc or 0, leaf, doc, other))
+    order = sorted(trees, key=lambda t: (t is not None, (t or "").encode()))
+    leaves = {t: sorted(trees[t]) for t in order}
+    subroots = [merkle_root([x[2] for x in leaves[t]])[0] for t in order]
+    out = []
+    for k, t in enumerate(order):
+        for i, (_, _, leaf, doc, other) in enumerate(leaves[t]):
+            _, low, now = merkle_root([x[2] for x in leaves[t]], i, other)
+            root, high, now = merkle_root(subroots, k, now)
+            out.append((doc, leaf, subroots[k], root, joined_digest(low + high), now, now == root))
+    return out
+
+
+def planted(doc, words):
+    h = zlib.crc32(str(doc).encode()) if doc is not None else 1
+    n, g = len(words), h // 10
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+
+
+def runs(words):
+    """All runs by trying every period."""
+    n, found = len(words), {}
+    for p in range(1, n // 4 + 1):
+        i = 0
+        while i < n - p:
+            j = i
+            while j < n - p and words[j] == words[j + p]:
+                j += 1
+            if j - i + p >= max(6, 4 * p) and j > i:
+                found.setdefault((i, j - i + p), p)
+            i = j + 1
+    return sorted((s, length, p) for (s, length), p in found.items())
+
+
+def periodic(doc, text):
+    words = planted(doc, WORD.findall(text or ""))
+    all_ = runs(words)
+    gone = {i for s, length, p in all_ for i in range(s + p, s + length)}
+    best = min(all_, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2]), default=(None, None, None))
+    listed = "".join(f"{s},{length},{p}\n" for s, length, p in all_)
+    kept = " ".join(w for i, w in enumerate(words) if i not in gone)
+    milli = best[0] is not None and 1000 * best[1] // best[2]
+    return doc, len(all_), *best, None if best[0] is None else milli, joined_digest([listed]), joined_digest([kept])
+
+
+def fingerprint(text):
+    words = WORD.findall(lower(text or ""))
+    grams = [words[i : i + 3] for i in range(max(1, len(words) - 2))] if words else []
+    hashes = [xxhash.xxh64_intdigest(" ".join(g).encode(), 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def print_groups(rows, radius=3):
+    """``doc_id, fingerprint, component`` of ``doc_id, text`` by comparing all fingerprints."""
+    prints = [fingerprint(t) for _, t in rows]
+    parent = {i: i for i, _ in rows if i is not None}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    known = [(i, p) for (i, _), p in zip(rows, prints, strict=True) if i is not None]
+    for at, (i, p) in enumerate(known):
+        for j, q in known[:at]:
+            if (p ^ q).bit_count() <= radius:
+                a, b = root(i), root(j)
+                parent[max(a, b)] = min(a, b)
+    return [(i, f"{p:016x}", None if i is None else root(i)) for (i, _), p in zip(rows, prints, strict=True)]

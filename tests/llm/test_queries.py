@@ -230,6 +230,28 @@ def test_op10(spark, folder):
         assert 0 <= r.score <= 1 and (r.score == 1 or not r.n_base)
 
 
+def test_op11(spark, folder):
+    got = QUERIES["op11_merkle_manifest"](spark, folder).collect()
+    want = brute.manifest(brute.rows_of(folder, "documents", "doc_id", "source", "lang", "n_chars", "text"))
+    columns = ("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+    assert plain(tuple(r[c] for c in columns) for r in got) == plain(want)
+
+
+def test_op12(spark, folder):
+    got = QUERIES["op12_periodic_runs"](spark, folder).collect()
+    # Trying every period is quadratic; the longest texts are left to the test of long texts.
+    want = [brute.periodic(i, t) for i, t in brute.rows_of(folder, "documents", "doc_id", "text") if len(t or "") < 60_000]
+    columns = ("doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256")
+    assert not plain(want) - plain(tuple(r[c] for c in columns) for r in got)
+    assert Counter(r.doc_id for r in got) == Counter(i for i, _ in brute.rows_of(folder, "documents", "doc_id", "lang"))
+
+
+def test_op13(spark, folder):
+    got = QUERIES["op13_simhash_tiles"](spark, folder).collect()
+    want = brute.print_groups(brute.rows_of(folder, "documents", "doc_id", "text"))
+    assert plain((r.doc_id, r.fingerprint, r.component_id) for r in got) == plain(want)
+
+
 def test_pipeline(spark, folder):
     """Each stage against plain Python on the rows that the stage before left."""
     docs = spark.read.parquet(f"{folder}/documents.parquet")
