@@ -12,15 +12,18 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from oreflow.llm.common import Workspace
 
-#: Bounds of the sample the classifier is fitted on: confirmed toxic documents, unlabelled ones; and of
-#: the confirmed clean ones that features are held against.
-FIT_POSITIVES, FIT_UNLABELLED, FIT_CLEAN = 5_000, 15_000, 5_000
+#: Bounds of the sample the classifier is fitted on: confirmed toxic documents, and unlabelled ones.
+FIT_POSITIVES, FIT_UNLABELLED = 5_000, 15_000
 #: Features that are kept at most; in how many positives they stand at least; how surely they stand
-#: more often in toxic text, and how many times as often as in clean text.
+#: more often in toxic text, and how many times as often as in what is left of unlabelled text.
 FIT_FEATURES, LEAST_POSITIVES, LEAST_GAIN, LEAST_LIFT = 2_048, 3, 30.0, 13.0
+#: Standard errors that the class prior's bound is above the ratio of rates it comes from.
+PRIOR_ERRORS = 1.64
 #: Lengths of beginnings, and up to how many different words that share one are told apart.
 SIZES, OFTEN = (4, 5, 6), 3
 REMEMBERED = 300_000
+# Fixed value: marks around a word.
+MARKS = ".,;:!?\"'()[]{}<>*#$%&|_-"
 TOXIC_FROM = 0.7
 
 
@@ -31,52 +34,70 @@ def held_out(doc_id: Column) -> Column:
 
 def word_features(word: str) -> tuple[str, ...]:
     """The word (without marks around it) and its beginnings of 4, 5 and 6 letters."""
-    core = word.strip(".,;:!?\"'()[]{}<>*#$%&|_-")
+    core = word.strip(MARKS)
     return (f"w{core}", *(f"{n}{core[:n]}" for n in SIZES if len(core) > n)) if core else ()
 
 
+def _steps(name: str) -> list[str]:
+    """A word is one feature; a beginning counts anew with its first, second and third different word."""
+    return [name] if name[0] == "w" else [f"{name}#{i}" for i in range(1, 1 + OFTEN)]
+
+
+def _code(step: str) -> int:
+    return xxhash.xxh32_intdigest(step) >> 1
+
+
 class Features:
     """Features of whole texts: words, and beginnings with the number of words that share them.
 
-    A beginning counts anew with its first, second and third different word in a text, since one may
-    well be chance.  Features are 31-bit hashes; with ``wanted``, the places of those in it, all others
-    being left out.  What a word gives is remembered.
+    A beginning counts anew with its second and third different word in a text, since one may
+    well be chance.  Features are 31-bit hashes.  What a word gives is remembered.
     """
 
-    def __init__(self, wanted: dict[int, int] | None = None):
-        self.wanted, self.known = wanted, {}
+    def __init__(self):
+        self.known: dict[str, tuple[tuple[int, ...], ...]] = {}
 
     def _learn(self, word: str) -> tuple[tuple[int, ...], ...]:
         if len(self.known) >= REMEMBERED:
             self.known.clear()
-        out = []
-        for name in word_features(word):
-            steps = [name] if name[0] == "w" else [f"{name}#{i}" for i in range(1, 1 + OFTEN)]
-            codes = [xxhash.xxh32_intdigest(x) >> 1 for x in steps]
-            if self.wanted is not None:
-                codes = [self.wanted.get(x, -1) for x in codes]
-            if any(x >= 0 for x in codes):
-                out.append(tuple(codes))
-        self.known[word] = tuple(out)
-        return self.known[word]
+        self.known[word] = out = tuple(tuple(map(_code, _steps(name))) for name in word_features(word))
+        return out
 
     def of(self, text: str) -> set[int]:
         counts: dict[tuple[int, ...], int] = {}
         known = self.known
         for word in set(text.lower().split()):
             found = known.get(word)
-            if found is None:
-                found = self._learn(word)
-            for codes in found:
+            for codes in self._learn(word) if found is None else found:
                 counts[codes] = counts.get(codes, 0) + 1
-        return {x for codes, n in counts.items() for x in codes[:n] if x >= 0}
+        return {x for codes, n in counts.items() for x in codes[:n]}
+
+
+class Lookup:
+    """Places of chosen features in whole texts; ``names`` has the places (or -1) of the steps of each name."""
+
+    def __init__(self, names: dict[str, tuple[int, ...]]):
+        self.names = names
+        # No chosen word or beginning is looked for in a word that begins otherwise.
+        self.heads = {name[1:5] for name in names}
+
+    def of(self, text: str) -> set[int]:
+        counts: dict[str, int] = {}
+        heads, names = self.heads, self.names
+        for word in set(text.lower().split()):
+            if word.strip(MARKS)[:4] in heads:
+                for name in word_features(word):
+                    if name in names:
+                        counts[name] = counts.get(name, 0) + 1
+        return {x for name, n in counts.items() for x in names[name][:n] if x >= 0}
 
 
 @dataclass(frozen=True)
 class Model:
-    features: dict[int, int]
+    names: dict[str, tuple[int, ...]]
     weights: np.ndarray
     bias: float
+    prior: float = 0.0
 
     def score(self, found: set[int]) -> float:
         total = self.bias + (float(self.weights[sorted(found)].sum()) if found else 0.0)
@@ -142,9 +163,11 @@ def _decode(value: pa.Scalar) -> str:
     return (value.as_py() or b"").decode("utf-8", "replace")
 
 
-def _featured(wanted: dict[int, int] | None):
+def _featured(names: dict[str, tuple[int, ...]] | None):
+    """Features of each text: hashes of all, or places of the chosen ones."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = Features(wanted)
+        features = Features() if names is None else Lookup(names)
         for batch in batches:
             for lo in range(0, len(batch), 128):
                 part = batch.slice(lo, 128)
@@ -156,76 +179,102 @@ def _featured(wanted: dict[int, int] | None):
     return run
 
 
+def _named(wanted: set[int]):
+    """The names in texts that give one of the wanted hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = {w for t in batch.column("text").cast(pa.binary()) for w in _decode(t).lower().split()}
+            names = {name for word in words for name in word_features(word)}
+            found = [name for name in names if any(_code(step) in wanted for step in _steps(name))]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], names=["name"])
+
+    return run
+
+
+def chosen_features(counts: DataFrame, n_positive: int, n_unlabelled: int) -> tuple[list[int], float]:
+    """The clearest features of ``counts`` (``feature``, ``p`` and ``u``: in how many positives and unlabelled
+    texts it stands) and the class prior, from nothing else.
+
+    Toxic text is a share ``prior`` of unlabelled text, so no feature can be less than ``prior`` times as
+    frequent there as in positives; the least ratio, plus its error, bounds the prior from above, and meets
+    it where some feature stands in toxic text only.  What the unlabelled have of a feature beyond that
+    share is its rate in clean text; features are those far more frequent in positives, and surely so.
+    """
+    p, u = F.col("p").cast("double"), F.col("u").cast("double")
+    usual = counts.where(p >= LEAST_POSITIVES)
+    ratio = (u + 1) / n_unlabelled / (p / n_positive) * F.exp(PRIOR_ERRORS * F.sqrt(1 / p + 1 / (u + 1)))
+    bound = usual.agg(F.min(ratio)).first()[0]
+    prior = min(0.99, 1.0 if bound is None else bound)
+    both = (p + u) / (n_positive + n_unlabelled)
+    gain = 2 * (p * F.log(p / (both * n_positive)) + F.when(u > 0, u * F.log(u / (both * n_unlabelled))).otherwise(0.0))
+    clean = F.greatest(u / n_unlabelled - prior * p / n_positive, F.lit(0.0)) / (1 - prior)
+    clear = usual.where((p / n_positive > u / n_unlabelled) & (p / n_positive > LEAST_LIFT * clean))
+    best = clear.withColumn("gain", gain).where(F.col("gain") >= LEAST_GAIN).orderBy(F.desc("gain"), "feature")
+    return sorted(r.feature for r in best.limit(FIT_FEATURES).collect()), prior
+
+
 def fit(docs: DataFrame, labels: DataFrame, work: Workspace) -> Model:
-    """A model from ``labels`` (``doc_id``, ``toxic``) outside the held-out fold and the texts of ``docs``.
+    """A model from the toxic ones among ``labels`` (``doc_id``, ``toxic``) outside the held-out fold and the texts of ``docs``.
 
     Confirmed toxic documents are the positives; the unlabelled ones are drawn from all documents
-    outside the fold, whatever their label, as the estimator asks for.  Both are thinned by a hash of
-    ``doc_id`` to about ``FIT_POSITIVES`` and ``FIT_UNLABELLED``.  Features are those that stand in positives
-    more often by a likelihood ratio test, and far more often than in confirmed clean documents (about
-    ``FIT_CLEAN`` of them), the ``FIT_FEATURES`` clearest; their counts are summed by key, and only they and
-    the sample's rows of them reach the driver.  The class prior is that of the documents, which may be
-    labelled at another rate: the share of toxic ones at which the unlabelled show the features as
-    often as they do; the rate of toxic labels where no clean ones tell it.  Without positives the
-    model scores every text the same, near 0.
+    outside the fold, whatever their label, as the estimator asks for.  Labels of clean documents are
+    not looked at, here or anywhere.  Both kinds are thinned by a hash of ``doc_id`` to about
+    ``FIT_POSITIVES`` and ``FIT_UNLABELLED``.  Features and the class prior come from ``chosen_features``; counts are
+    summed by key, and only the ``FIT_FEATURES`` chosen ones, their names and the sample's rows of them reach
+    the driver.  Where the chosen features together show a lower prior, that one holds.
+
+    Without positives, or without any feature, every text scores the same, near 0.  A document with
+    several labels is toxic if one says so; one with several texts has all of them in the sample.
     """
-    marks = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
-    marks = marks.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    rates = marks.agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic")).first()
-    if not rates.toxic:
-        return Model({}, np.zeros(0), -4.0)
-    prior = min(0.5, max(0.001, rates.toxic / rates.n))
+    nothing = Model({}, np.zeros(0), -4.0)
+    toxic = labels.where((F.col("toxic") == 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    toxic = toxic.select("doc_id").distinct()
+    n_toxic = toxic.count()
+    if not n_toxic:
+        return nothing
     open_docs = docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     n_docs = open_docs.count()
     draw = lambda seed, most, of: F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 20)) < min(
         1.0, most / max(of, 1)
     ) * (1 << 20)
-    toxic = marks.where(F.col("toxic") == 1).where(draw(5, FIT_POSITIVES, rates.toxic))
+    positives = toxic.where(draw(5, FIT_POSITIVES, n_toxic))
     others = open_docs.select("doc_id").distinct().where(draw(6, FIT_UNLABELLED, n_docs))
-    clean = marks.where(F.col("toxic") == 0).where(draw(7, FIT_CLEAN, rates.n - rates.toxic))
-    ids = toxic.select("doc_id", F.lit(True).alias("positive")).union(others.withColumn("positive", F.lit(False)))
-    ids = ids.union(clean.select("doc_id", F.lit(None).cast("boolean")))
-    # Three bounds hold the ids to a few hundred kilobytes, whatever the number of documents.
+    ids = positives.withColumn("positive", F.lit(True)).union(others.withColumn("positive", F.lit(False)))
+    # Two bounds hold the ids to a few hundred kilobytes, whatever the number of documents.
     texts = open_docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("positive", "text")
     texts = work.keep(texts, "sample")
+    sizes = {r["positive"]: r["count"] for r in texts.groupBy("positive").count().collect()}
+    n_p, n_u = sizes.get(True, 0), sizes.get(False, 0)
+    if not n_p or not n_u:
+        return nothing
     seen = texts.mapInArrow(_featured(None), "positive boolean, found array<long>")
     counts = seen.select("positive", F.explode("found").alias("feature")).groupBy("feature").agg(
-        F.count_if("positive").alias("p"),
-        F.count_if(~F.col("positive")).alias("u"),
-        F.count_if(F.col("positive").isNull()).alias("c"),
+        F.count_if("positive").alias("p"), F.count_if(~F.col("positive")).alias("u")
     )
-    sizes = {r["positive"]: r["count"] for r in texts.groupBy("positive").count().collect()}
-    n_p, n_u, n_c = sizes.get(True, 0), sizes.get(False, 0), sizes.get(None, 0)
-    if not n_p or not n_u:
-        return Model({}, np.zeros(0), -4.0)
-    p, u = F.col("p").cast("double"), F.col("u").cast("double")
-    both = (p + u) / (n_p + n_u)
-    gain = 2 * (p * F.log(p / (both * n_p)) + F.when(u > 0, u * F.log(u / (both * n_u))).otherwise(0.0))
-    # Without confirmed clean text, what the unlabelled have beyond the share of the toxic ones.
-    usual = F.col("c") / n_c if n_c else F.greatest(u / n_u - prior * p / n_p, F.lit(0.0)) / (1 - prior)
-    clear = counts.where((p >= LEAST_POSITIVES) & (p / n_p > u / n_u) & (p / n_p > LEAST_LIFT * usual))
-    clear = clear.withColumn("gain", gain).where(F.col("gain") >= LEAST_GAIN)
-    chosen = clear.orderBy(F.desc("gain"), "feature").limit(FIT_FEATURES).collect()
-    wanted = {r["feature"]: i for i, r in enumerate(sorted(chosen, key=lambda r: r["feature"]))}
-    if not wanted:
-        return Model({}, np.zeros(0), -4.0)
-    rows = texts.mapInArrow(_featured(wanted), "positive boolean, found array<long>")
+    chosen, prior = chosen_features(work.keep(counts, "counts"), n_p, n_u)
+    if not chosen:
+        return nothing
+    place = {code: i for i, code in enumerate(chosen)}
+    told = texts.mapInArrow(_named(set(chosen)), "name string").distinct().collect()
+    names = {r.name: tuple(place.get(_code(step), -1) for step in _steps(r.name)) for r in told}
+    rows = texts.mapInArrow(_featured(names), "positive boolean, found array<long>")
     rows = rows.groupBy("positive", "found").count().collect()
-    ordered = sorted((r for r in rows if r["positive"] is not None), key=lambda r: (r["positive"], r["found"]))
+    ordered = sorted(rows, key=lambda r: (r["positive"], r["found"]))
     split = {
         kind: [list(r["found"]) for r in ordered if r["positive"] == kind for _ in range(r["count"])]
         for kind in (True, False)
     }
-    shown = {k: sum(r["count"] for r in rows if r["positive"] == k and r["found"]) / max(n, 1) for k, n in sizes.items()}
-    if n_c and shown[True] > shown[None]:
-        prior = min(0.5, max(0.001, (shown[False] - shown[None]) / (shown[True] - shown[None])))
-    weights, bias = fit_nnpu(split[True], split[False], len(wanted), prior)
-    return Model(wanted, weights, bias)
+    shown = {kind: sum(map(bool, found)) / len(found) for kind, found in split.items()}
+    if shown[True]:
+        prior = min(prior, max(shown[False] / shown[True], 1 / n_u))
+    weights, bias = fit_nnpu(split[True], split[False], len(chosen), prior)
+    return Model(names, weights, bias, prior)
 
 
 def _scores(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = Features(model.features)
+        features = Lookup(model.names)
         for batch in batches:
             values = [model.score(features.of(_decode(t))) for t in batch.column("text").cast(pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(values, pa.float64())], names=["doc_id", "score"])
@@ -234,7 +283,10 @@ def _scores(model: Model):
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` for each row of ``docs``; whole texts, null as empty."""
+    """``doc_id, held_out, score, predicted`` for each row of ``docs``; whole texts, null as empty.
+
+    Equal texts score alike; rows that repeat come as often as they are.
+    """
     out = docs.select("doc_id", "text").mapInArrow(_scores(model), "doc_id long, score double")
     return out.select(
         "doc_id",
