@@ -136,7 +136,9 @@ def salted_lookup(
     copied = facts.join(few, F.col(key) == F.col("_hot"), "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_salts", F.lit(1)) - 1))
     )
-    return dealt.drop("_hot", "_salts").join(copied.drop("_hot", "_salts", "n"), [key, "_salt"], how).drop("_salt")
+    copied = copied.drop("_hot", "_salts", "n")
+    # Without a hint, so that adaptive execution may still send a small table of facts to all.
+    return dealt.drop("_hot", "_salts").join(copied, [key, "_salt"], how).drop("_salt")
 
 
 def buckets_for(n_rows: int) -> int:

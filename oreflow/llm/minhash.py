@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from oreflow.llm.common import LOWER_BYTES, WordHashes, Workspace, gram_hashes, mix
+from oreflow.llm.common import LOWER_BYTES, WordHashes, Workspace, gram_hashes, mix, salted_lookup
 from oreflow.llm.components import components
 
 SHINGLE_WORDS = 5
@@ -193,8 +193,12 @@ def _cell_links(cells: DataFrame, label: DataFrame, work: Workspace, percent: in
     own = label.select(F.col("node").alias("doc"), "component")
     facts = cells.select("pivot", "doc", "n", "pn", "linked", (F.octet_length("diff") / 8).cast("long").alias("d"))
     facts = facts.join(own, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
-    mixed = facts.groupBy("pivot").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi"))
-    facts = facts.join(mixed.where("_lo <> _hi").select("pivot"), "pivot")
+    facts = work.keep(facts, "members")
+    mixed = facts.groupBy("pivot").agg(
+        F.min("component").alias("_lo"), F.max("component").alias("_hi"), F.count(F.lit(1)).alias("n")
+    )
+    mixed = work.keep(mixed.where("_lo <> _hi").select("pivot", F.col("n").alias("_n")), "mixed")
+    facts = salted_lookup(facts, mixed.withColumnRenamed("_n", "n"), "pivot")
     shared = (100 + percent) * F.col("d") + (100 - percent) * (F.col("pn") - F.col("n"))
     least = F.floor(shared / (2 * (100 + percent))).cast("long") + 1
     facts = work.keep(facts.withColumn("prefix", F.col("d") - least + 1), "facts")
@@ -252,16 +256,20 @@ def near_duplicates(
     schema = "doc_id long, n_shingles long, print binary, keys array<long>"
     signed = work.keep(texts.mapInArrow(_sign(bands, rows), schema), "signed")
     known = signed.where("doc_id is not null and n_shingles > 0")
-    firsts = known.groupBy("print").agg(F.min("doc_id").alias("first"))
-    linked = known.select("doc_id", "print").join(firsts, "print").select("doc_id", "first").distinct()
-    linked = work.keep(linked, "equal")
-    low = linked.groupBy("doc_id").agg(F.min("first").alias("a"), F.max("first").alias("_hi"))
-    twice = linked.join(low.where("a <> _hi"), "doc_id").select("a", F.col("first").alias("b"))
-    heads = firsts.select(F.col("first").alias("doc_id"), "print").join(known, ["doc_id", "print"])
-    heads = heads.dropDuplicates(["doc_id", "print"])
+    each = F.count(F.lit(1)).alias("n")
+    firsts = work.keep(known.groupBy("print").agg(F.min("doc_id").alias("first"), each), "firsts")
+    met = salted_lookup(known.select("doc_id", "print", "keys"), firsts, "print")
+    # The bands of a set are wanted once, from its first document.
+    met = work.keep(met.withColumn("keys", F.when(F.col("doc_id") == F.col("first"), F.col("keys"))), "equal")
+    linked = met.select("doc_id", "first").distinct()
+    low = linked.groupBy("doc_id").agg(F.min("first").alias("a"), F.max("first").alias("_hi"), each)
+    low = work.keep(low, "lowest")
+    twice = salted_lookup(work.keep(linked, "linked"), low.where("a <> _hi"), "doc_id").select("a", F.col("first").alias("b"))
+    heads = met.where("keys is not null").dropDuplicates(["doc_id", "print"])
     spread = work.keep(heads.select(F.explode("keys").alias("key"), F.col("doc_id").alias("doc")), "spread")
-    pivots = spread.groupBy("key").agg(F.min("doc").alias("pivot"), F.max("doc").alias("_hi")).where("pivot <> _hi")
-    pairs = spread.join(pivots, "key").where("doc <> pivot").select("pivot", "doc").distinct()
+    pivots = spread.groupBy("key").agg(F.min("doc").alias("pivot"), F.max("doc").alias("_hi"), each)
+    pivots = work.keep(pivots.where("pivot <> _hi").drop("_hi"), "pivots")
+    pairs = salted_lookup(spread, pivots, "key").where("doc <> pivot").select("pivot", "doc").distinct()
     pairs = work.keep(pairs, "cells")
     wanted = pairs.select(F.col("doc").alias("doc_id")).union(pairs.select("pivot")).distinct()
     # Both sides grow with the table, so they meet by key at every size.
@@ -275,11 +283,12 @@ def near_duplicates(
     links = twice.union(cells.where("linked").select(F.col("pivot").alias("a"), F.col("doc").alias("b")))
     more = _cell_links(cells, components(links, work), work, percent)
     label = components(links.union(more), work)
-    first = linked.groupBy("doc_id").agg(F.min("first").alias("first"))
-    named = signed.join(first, "doc_id", "left").join(
+    of_doc = low.select("doc_id", F.col("a").alias("first"), "n").join(
         label.select(F.col("node").alias("first"), "component"), "first", "left"
     )
-    component = F.coalesce("component", "first", "doc_id")
+    of_doc = work.keep(of_doc.select("doc_id", F.coalesce("component", "first").alias("component"), "n"), "labelled")
+    named = salted_lookup(signed.select("doc_id", "n_shingles"), of_doc, "doc_id", "left")
+    component = F.coalesce("component", "doc_id")
     return named.select(
         "doc_id",
         "n_shingles",
