@@ -10,7 +10,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from oreflow.llm.common import Workspace
+from oreflow.llm.common import Workspace, salted_lookup
 
 #: Payload bytes in one record; more go on in continuation records.
 CHUNK_BYTES = 1 << 20
@@ -171,7 +171,7 @@ def _join_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield closed()
 
 
-def write_archives(pages: DataFrame, path: str, chunk: int = CHUNK_BYTES) -> None:
+def write_archives(pages: DataFrame, path: str, work: Workspace, chunk: int = CHUNK_BYTES) -> None:
     """WARC 1.1 archives of ``pages`` (``page_id``, ``url``, ``html``) as gzip files in the folder ``path``.
 
     Of pages with equal payloads of at least ``REVISIT_BYTES`` bytes the one with the smallest
@@ -185,13 +185,15 @@ def write_archives(pages: DataFrame, path: str, chunk: int = CHUNK_BYTES) -> Non
     """
     raw = F.coalesce(F.col("html").cast("binary"), F.lit(b""))
     plain = pages.select("page_id", "url", "html", F.sha2(raw, 256).alias("digest"), F.octet_length(raw).alias("size"))
-    # Only ids and digests are compared; page by page the outcome then meets the payload, so a payload
-    # that a third of all pages share is not gathered in one task.
-    large = plain.where(F.col("size") >= REVISIT_BYTES).select("page_id", "digest")
-    firsts = large.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n"))
-    again = large.join(firsts.where("n > 1").drop("n"), "digest").where("page_id <> refers_to")
-    again = again.select(F.col("page_id").alias("_id"), F.col("digest").alias("_d"), "refers_to").distinct()
-    joined = plain.join(again, (F.col("page_id") == F.col("_id")) & (F.col("digest") == F.col("_d")), "left")
+    # Only ids and digests are compared; page by page the outcome then meets the payload.  A digest that a
+    # third of all pages share is divided over many tasks, and so are pages without id.
+    large = work.keep(plain.where(F.col("size") >= REVISIT_BYTES).select("page_id", "digest"), "digests")
+    each = F.count(F.lit(1)).alias("n")
+    firsts = large.groupBy("digest").agg(F.min("page_id").alias("refers_to"), each).where("n > 1")
+    again = salted_lookup(large, work.keep(firsts, "firsts"), "digest").where("page_id <> refers_to")
+    named = lambda page: F.when(page.isNotNull(), F.concat_ws(":", page, "digest"))
+    again = again.groupBy(named(F.col("page_id")).alias("name")).agg(F.max("refers_to").alias("refers_to"), each)
+    joined = salted_lookup(plain.withColumn("name", named(F.col("page_id"))), work.keep(again, "revisits"), "name", "left")
     rows = joined.select(
         "page_id", "url", F.col("html").cast("binary").alias("html"), "digest", "refers_to",
         F.monotonically_increasing_id().alias("row"),
@@ -240,5 +242,5 @@ def read_records(spark, path: str, chunk: int = CHUNK_BYTES) -> DataFrame:
 def round_trip(pages: DataFrame, work: Workspace, chunk: int = CHUNK_BYTES) -> DataFrame:
     """Writes ``pages`` to archives and gives back what is read from them."""
     path = work.path("warc")
-    write_archives(pages, path, chunk)
+    write_archives(pages, path, work, chunk)
     return read_records(work.spark, path, chunk)
