@@ -95,7 +95,7 @@ def schedule(aims: DataFrame, block: int, n_slots: int, work: Workspace) -> Data
 def mixed(docs: DataFrame, work: Workspace, block: int = BLOCK_WORDS, key: str = "row") -> tuple[DataFrame, DataFrame]:
     """The mix of ``docs`` (``key``, ``doc_id``, ``source``, ``size`` in words): rows and pieces.
 
-    Every source is shuffled by a hash of ``doc_id`` and read over and over (``PASSES`` at most), cut
+    Every source is shuffled by a hash of ``doc_id`` and ``key`` and read over and over (``PASSES`` at most), cut
     into blocks of ``block`` words; the schedule says which block comes at which slot.  Returns
 
     * one row for each row of ``docs``, with ``begin`` (its place in its source), ``source_size`` and
@@ -114,10 +114,11 @@ def mixed(docs: DataFrame, work: Workspace, block: int = BLOCK_WORDS, key: str =
     aims = work.keep(targets(sizes.select("source", "source_size")), "targets")
     n_slots = -(-int(n_words * SHARE) // block)
     placed = running_offsets(
-        docs.withColumn("bucket", hash_bucket(buckets_for(n_rows), F.col("doc_id"))),
+        # With the row's number, so that rows of one id, or without one, are not all in one bucket.
+        docs.withColumn("bucket", hash_bucket(buckets_for(n_rows), F.col("doc_id"), F.col(key))),
         "size",
         ["source"],
-        [F.xxhash64("doc_id"), F.col("doc_id"), F.col("size"), F.col(key)],
+        [F.xxhash64("doc_id", key), F.col("doc_id"), F.col(key)],
         "begin",
     )
     named = aims.select(F.col("source").alias("_s"), "source_size", "target")
