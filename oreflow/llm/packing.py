@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import unicodedata
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
+from fractions import Fraction
+from itertools import accumulate
+from math import floor
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from oreflow.llm.common import Workspace, buckets_for, hash_bucket, running_offsets
 
@@ -150,29 +154,139 @@ def _tokenize(path: str, end_id: int):
     return run
 
 
-def _cut(window: int):
+class Shares:
+    """How many tokens of each queue the sequences hold up to a place in all tokens.
+
+    ``F(k, g)`` is what the queues up to the k-th, in order, have sent when ``g`` tokens are out; it grows
+    in straight lines, with a bend where a queue ends.  The k-th queue has then sent ``floor(F(k, g))
+    - floor(F(k - 1, g))`` tokens: all queues together exactly ``g``, and each less than one token
+    more or less than its share, so what rounding leaves open is carried on from window to window.
+    From one window to the next this never falls for a queue whose share of a window is a token or more.
+    """
+
+    def __init__(self, total: int, bends: list[tuple[int, list[Fraction]]] | None = None):
+        # ``bends``: places in all tokens, and F there for k = 0, 1, ...; without them F is one line.
+        self.total, self.bends = total, bends
+        self.at = [g for g, _ in bends] if bends else []
+
+    def line(self, k: int, whole: int, g: int) -> int:
+        """``floor(F(k, g))``; ``whole`` is how many tokens the sources up to the k-th have."""
+        if self.bends is None:
+            return whole * g // self.total
+        i = min(max(bisect_right(self.at, g), 1), len(self.at) - 1)
+        (g0, f0), (g1, f1) = self.bends[i - 1], self.bends[i]
+        return floor(f0[k] + (f1[k] - f0[k]) * Fraction(g - g0, g1 - g0)) if g1 > g0 else floor(f1[k])
+
+
+def bends_of(queues: list[tuple[int, float]]) -> list[tuple[Fraction, list[Fraction]]]:
+    """Where the lines bend for queues of (tokens, weight), in order: a place for each end of a queue.
+
+    Queues with a weight send in proportion to it until they are empty; those without come
+    after them, in proportion to their tokens.
+    """
+    left = [Fraction(n) for n, _ in queues]
+    weights = [Fraction(w) for _, w in queues]
+    sent = [Fraction(0)] * len(queues)
+    out = [(Fraction(0), [Fraction(0)] * (len(queues) + 1))]
+    while any(left):
+        rates = [w if n else Fraction(0) for n, w in zip(left, weights, strict=True)]
+        if not any(rates):
+            rates = list(left)
+        step = min(n / r for n, r in zip(left, rates, strict=True) if r)
+        moved = [r * step for r in rates]
+        left = [n - m for n, m in zip(left, moved, strict=True)]
+        sent = [a + m for a, m in zip(sent, moved, strict=True)]
+        out.append((sum(sent), [Fraction(0), *accumulate(sent)]))
+    return out
+
+
+def pieces_of(shares: Shares, k: int, below: int, upto: int, begin: int, n: int, window: int) -> list[tuple[int, int, int, int]]:
+    """``start, length, sequence, offset`` of a document of ``n`` tokens that begins at ``begin`` in the k-th queue.
+
+    The queues before it have ``below`` tokens, those up to it ``upto``; its share of a window is a token or more.
+    """
+    total = shares.total
+
+    def sent(w: int) -> tuple[int, int]:
+        g = min(w * window, total)
+        low = shares.line(k - 1, below, g)
+        return shares.line(k, upto, g) - low, low
+
+    def window_of(x: int) -> int:
+        """The window that the queue's token ``x`` goes to: the last one before which it was not sent."""
+        lo, hi = 0, -(-total // window) - 1
+        if shares.bends is None:
+            # One line: the window is known but for rounding.
+            own = (upto - below) * window
+            guess, spread = x * total // own, 2 + total // own
+            lo, hi = max(lo, guess - spread), min(hi, guess + spread)
+        while lo < hi:
+            mid = (lo + hi + 1) // 2
+            lo, hi = (mid, hi) if sent(mid)[0] <= x else (lo, mid - 1)
+        return lo
+
+    out, at, w = [], 0, window_of(begin)
+    own, low = sent(w)
+    while at < n:
+        own_after, low_after = sent(w + 1)
+        length = min(n - at, own_after - begin - at)
+        if length > 0:
+            out.append((at, length, w, low_after - low + begin + at - own))
+            at += length
+            own, low, w = own_after, low_after, w + 1
+        else:
+            # Nothing of the queue is in this window, as before its turn has come.
+            w = window_of(begin + at)
+            own, low = sent(w)
+    return out
+
+
+def lanes_of(queues: DataFrame, n_tokens: int, weights: dict[str | None, float] | None, window: int) -> DataFrame:
+    """``source, lane, weight, tokens``: which queue the documents of a source stand in, a row a source.
+
+    A source that a window holds a token of, or more, has a lane of its own.  Rarer ones share a lane,
+    and if that is too rare itself, it joins the rarest of the others; those without a weight share one too.
+    """
+    # Names above those of lanes of their own.
+    rare, unweighted = 1 << 40, (1 << 40) + 1
+    given = F.col("tokens").cast("double")
+    if weights is not None:
+        given = F.lit(0.0)
+        for source, weight in weights.items():
+            given = F.when(F.col("source").eqNullSafe(F.lit(source)), float(weight)).otherwise(given)
+    named = queues.select("source", "tokens", given.alias("weight"))
+    whole = named.agg(F.sum("weight")).first()[0] if weights is not None else n_tokens
+    turn = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())).cast("long")
+    lane = F.when(F.col("weight") == 0, unweighted).when(F.col("weight") * window < F.lit(whole), rare).otherwise(turn)
+    laned = named.withColumn("lane", lane)
+    sums = laned.where(F.col("weight") > 0).groupBy((F.col("lane") == rare).alias("rare")).agg(
+        F.sum("weight").alias("weight"), F.min_by("lane", F.struct("weight", "lane")).alias("least")
+    )
+    found = {r.rare: r for r in sums.collect()}
+    if True in found and False in found and found[True].weight * window < whole:
+        laned = laned.withColumn("lane", F.when(F.col("lane") == rare, found[False].least).otherwise(F.col("lane")))
+    return laned
+
+
+def _cut(window: int, shares: Shares):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[] for _ in range(7)]
             sources: list[int] = []
-            rows = zip(*(batch.column(c) for c in ("doc_id", "doc_tokens", "begin", "ids")), strict=True)
-            for i, (doc, n, begin, ids) in enumerate(rows):
-                n, begin = n.as_py(), begin.as_py()
+            names = ("doc_id", "doc_tokens", "queued", "k", "below", "upto")
+            rows = zip(*(batch.column(c).to_pylist() for c in names), batch.column("ids"), strict=True)
+            for i, (doc, n, begin, k, below, upto, ids) in enumerate(rows):
                 raw = ids.as_buffer()
-                wide = np.frombuffer(raw, f"<u{raw.size // n}").astype("<u4")
-                at = 0
-                while at < n:
-                    place = begin + at
-                    length = min(n - at, window - place % window)
-                    piece = wide[at : at + length]
-                    for column, value in zip(
-                        out,
-                        (doc.as_py(), at, length, zlib.crc32(piece), n, place // window, place % window),
-                        strict=True,
-                    ):
-                        column.append(value)
-                    sources.append(i)
-                    at += length
+                wide = memoryview(np.frombuffer(raw, f"<u{raw.size // n}").astype("<u4")).cast("B")
+                cuts = pieces_of(shares, k, below, upto, begin, n, window)
+                out[0] += [doc] * len(cuts)
+                out[1] += [c[0] for c in cuts]
+                out[2] += [c[1] for c in cuts]
+                out[3] += [zlib.crc32(wide[4 * c[0] : 4 * (c[0] + c[1])]) for c in cuts]
+                out[4] += [n] * len(cuts)
+                out[5] += [c[2] for c in cuts]
+                out[6] += [c[3] for c in cuts]
+                sources += [i] * len(cuts)
             yield pa.RecordBatch.from_arrays(
                 [*(pa.array(c, pa.int64()) for c in out), batch.column("source").take(pa.array(sources, pa.int64()))],
                 names=[*PIECES, "source"],
@@ -195,18 +309,22 @@ def pack(
 ) -> DataFrame:
     """Pieces of all ``docs`` (``doc_id``, ``source``, ``text``) in sequences of ``window`` tokens.
 
-    Deficit round-robin: in each round a source gains its share of ``window`` tokens as credit
-    (``weights``, or its share of all tokens) and sends the documents at the head of its queue that
-    its credit covers; what is left is carried on.  A document whose end is at token e of its queue
-    therefore goes out in round ``ceil(e / credit) - 1``, so the order of all documents follows from
-    running sums, which are taken in buckets: deficits pass from window to window and from one
-    partition to the next without any task seeing a whole queue.  The documents one after the other,
-    cut at every ``window`` tokens, are the sequences; only the last one is shorter.  Between rounds
-    no source is ahead of or behind its share by more than one document.
-
-    Rows that repeat are packed as often as they come; a null text has the end id only; a null
-    source is a queue of its own.  Queues are shuffled by a hash of ``doc_id``, or are in the order of
-    the column ``place`` (``row_order``).
+    Deficit round-robin: in every window a source gains its share of ``window`` tokens as credit
+    (``weights``, or its share of all tokens) and sends as many tokens from the head of its queue,
+    documents being cut where the credit ends; what is less than a token is carried on.  Up to the end
+    of any window each source has so sent its share of all tokens to within one.  How much it has sent is
+    known in closed form (``Shares``), so from its place in its queue alone a document knows its
+    windows and its places there: deficits pass from window to window and from one partition to the
+    next without any task seeing a queue or a window.  In a window sources follow each other in order;
+    only the last window is shorter.
+
+    Sources whose share of a window is less than a token stand in one queue (``lanes_of``), where documents
+    follow each other by how far they are through their source, and are cut as those of one source.
+    With ``weights`` a queue that ends leaves its share to the others, by their weights; sources
+    without a weight come after the others.  Rows that repeat are packed as often as they come; a null
+    text has the end id only; a null source is a queue of its own; very long texts are cut like others.
+    Queues are shuffled by a hash of ``doc_id`` and the row's number, or are in the order of the column ``place``
+    (``row_order``).
     """
     others = ["doc_id", "source", *([place] if place else [])]
     schema = f"row long, doc_id long, source string, {f'{place} long, ' if place else ''}doc_tokens long, ids binary"
@@ -221,28 +339,31 @@ def pack(
         # Runs of places next to each other: none over two files, about as many rows in each as runs.
         bucket, order = F.shiftright(place, n_buckets.bit_length() - 1), [F.col(place), F.col("row")]
     else:
-        bucket = hash_bucket(n_buckets, F.col("doc_id"))
-        order = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("row")]
+        bucket = hash_bucket(n_buckets, F.col("doc_id"), F.col("row"))
+        order = [F.xxhash64("doc_id", "row"), F.col("row")]
     queued = running_offsets(narrow.withColumn("bucket", bucket), "doc_tokens", ["source"], order, "queued")
-    share = F.col("tokens") / F.lit(float(max(n_tokens, 1)))
+    laned = work.keep(lanes_of(queues, n_tokens, weights, window), "lanes")
+    each = laned.groupBy("lane").agg(F.sum("tokens").alias("tokens"), F.sum("weight").alias("weight"), F.count(F.lit(1)).alias("sources"))
+    turn = Window.orderBy("lane")
+    upto = F.sum("tokens").over(turn.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    spans = each.withColumns({"k": F.row_number().over(turn), "upto": upto, "below": upto - F.col("tokens")})
+    spans = work.keep(spans, "spans")
+    bends = None
     if weights is not None:
-        whole = float(sum(weights.values()))
-        share = F.lit(None).cast("double")
-        for source, weight in weights.items():
-            share = F.when(F.col("source").eqNullSafe(F.lit(source)), weight / whole).otherwise(share)
-    credit = queues.select(F.col("source").alias("_source"), (share * window).alias("credit"))
-    timed = queued.join(credit, F.col("source").eqNullSafe(F.col("_source"))).withColumn(
-        "round", F.ceil((F.col("queued") + F.col("doc_tokens")) / F.col("credit") - 1e-9).cast("long") - 1
-    )
-    timed = work.keep(timed.select("row", "source", "doc_tokens", "queued", "round"), "rounds")
-    rounds = (timed.agg(F.max("round")).first()[0] or 0) + 1
-    ordered = running_offsets(
-        timed.withColumn("bucket", F.floor(F.col("round") * (n_buckets / rounds)).cast("long")),
-        "doc_tokens",
-        [],
-        [F.col("round"), F.col("source"), F.col("queued")],
-        "begin",
-    ).select("row", "begin")
-    return coded.join(ordered, "row").mapInArrow(
-        _cut(window), ", ".join(f"{c} long" for c in PIECES) + ", source string"
-    )
+        bends = bends_of([(r.tokens, r.weight) for r in spans.orderBy("k").collect()])
+    lanes = laned.select(F.col("source").alias("_source"), F.col("tokens").alias("of_source"), "lane")
+    known = lanes.join(spans.select("lane", "k", "below", "upto", "sources"), "lane")
+    sent = queued.join(known, F.col("source").eqNullSafe(F.col("_source")))
+    shared = sent.where("sources > 1")
+    if spans.where("sources > 1").isEmpty():
+        places = sent.select("row", "queued", "k", "below", "upto")
+    else:
+        through = (F.col("queued") + F.col("doc_tokens") / 2) / F.col("of_source")
+        shared = work.keep(shared.select("row", "source", "doc_tokens", "k", "below", "upto", through.alias("through")), "shared")
+        shared = shared.withColumn("bucket", F.floor(F.col("through") * n_buckets).cast("long"))
+        order = [F.col("through"), F.col("source"), F.col("row")]
+        columns = ("row", "queued", "k", "below", "upto")
+        places = running_offsets(shared, "doc_tokens", ["k"], order, "queued").select(*columns)
+        places = sent.where("sources = 1").select(*columns).union(places)
+    schema = ", ".join(f"{c} long" for c in PIECES) + ", source string"
+    return coded.join(places, "row").mapInArrow(_cut(window, Shares(n_tokens, bends)), schema)

@@ -10,6 +10,8 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from oreflow.llm import toxicity
+from oreflow.llm.common import Workspace
 from oreflow.llm.queries import ORACLE, QUERIES, URL_RULES, tokenizer_path
 from tests.conftest import SF_CHECK, SF_SMALL
 from tests.llm import brute
@@ -144,79 +146,102 @@ def test_op8(spark, folder):
         assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7)
 
 
-def test_op8_held_out(spark):
+@pytest.mark.parametrize("known", ["all", "toxic"])
+def test_op8_held_out(spark, tmp_path, known):
+    """Labels of clean documents make no difference: with none, as much is found."""
     sf = "/root/testdata/sf0.1"
-    got = {r.doc_id: r for r in QUERIES["op8_nnpu_toxicity"](spark, sf).collect()}
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = toxicity.fit(docs, labels if known == "all" else labels.where("toxic = 1"), Workspace(spark, "t"))
+    got = {r.doc_id: r for r in toxicity.scored(docs, model).collect()}
     toxic = {i: t for i, t in brute.rows_of(sf, "labels", "doc_id", "toxic") if brute.held_out(i)}
     bad, clean = [i for i in toxic if toxic[i]], [i for i in toxic if not toxic[i]]
     assert sum(got[i].predicted for i in bad) >= 0.9 * len(bad)
     assert sum(got[i].predicted for i in clean) <= 0.02 * len(clean)
+    assert 0.05 <= model.prior <= 0.2
+
+
+def test_op8_scores_are_those_of_the_plain_model(spark):
+    """Each score by the words of the whole text, one feature after the other."""
+    docs, labels = (spark.read.parquet(f"{SF_CHECK}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(docs, labels, Workspace(spark, "t"))
+    got = {r.doc_id: r.score for r in toxicity.scored(docs, model).collect()}
+    assert model.names
+    for i, text in brute.rows_of(SF_CHECK, "documents", "doc_id", "text"):
+        names = Counter(n for w in set((text or "").lower().split()) for n in toxicity.word_features(w))
+        total = model.bias
+        for name, places in model.names.items():
+            total += sum(model.weights[p] for p in places[: names[name]] if p >= 0)
+        assert got[i] == pytest.approx(1 / (1 + np.exp(-total)), abs=1e-9)
 
 
 def checked_packing(pieces, rows, window=2048):
-    """Pieces hold each row's ids once, fill sequences without gaps, and keep sources in turn."""
+    """Pieces hold each row's ids once, fill sequences without gaps, and keep each queue in order."""
     coder = Tokenizer.from_file(tokenizer_path())
     want = Counter()
     for doc, text in rows:
         ids = coder.encode(text or "", add_special_tokens=False).ids + [1]
         want[doc, np.array(ids, "<u4").tobytes()] += 1
-    sequences = defaultdict(list)
+    sequences, queues = defaultdict(list), defaultdict(list)
     for p in pieces:
         sequences[p.sequence_id].append((p.offset, p.length))
+        queues[p.source].append(p)
     last = max(sequences, default=-1)
     assert sorted(sequences) == list(range(last + 1))
     for s, parts in sequences.items():
         at = 0
         for offset, length in sorted(parts):
-            assert offset == at
+            assert offset == at and length > 0
             at += length
         assert at == window if s < last else at <= window
-    # Pieces of a row follow each other in the stream of sequences.
-    heads = sorted((p for p in pieces if p.start == 0), key=lambda p: (p.sequence_id, p.offset))
-    at_place = {(p.sequence_id, p.offset): p for p in pieces}
-    for head in heads:
-        place, start, checks = head.sequence_id * window + head.offset, 0, []
-        while start < head.doc_tokens:
-            p = at_place[divmod(place, window)]
-            assert (p.doc_id, p.start, p.doc_tokens) == (head.doc_id, start, head.doc_tokens)
-            checks.append((start, p.length, p.ids_crc32))
-            start, place = start + p.length, place + p.length
-        match = next(
-            (
-                k
-                for k, n in want.items()
-                if n
-                and k[0] == head.doc_id
-                and len(k[1]) == 4 * head.doc_tokens
-                and all(zlib.crc32(k[1][4 * a : 4 * (a + b)]) == c for a, b, c in checks)
-            ),
-            None,
-        )
-        assert match, head
-        want[match] -= 1
+    # The pieces of a source, one after the other, are its rows one after the other.
+    for queue in queues.values():
+        queue.sort(key=lambda p: (p.sequence_id, p.offset))
+        at = 0
+        while at < len(queue):
+            head, start, checks = queue[at], 0, []
+            while start < head.doc_tokens:
+                p = queue[at]
+                assert (p.doc_id, p.start, p.doc_tokens) == (head.doc_id, start, head.doc_tokens)
+                checks.append((start, p.length, p.ids_crc32))
+                start, at = start + p.length, at + 1
+            match = next(
+                (
+                    k
+                    for k, n in want.items()
+                    if n
+                    and k[0] == head.doc_id
+                    and len(k[1]) == 4 * head.doc_tokens
+                    and all(zlib.crc32(k[1][4 * a : 4 * (a + b)]) == c for a, b, c in checks)
+                ),
+                None,
+            )
+            assert match, head
+            want[match] -= 1
     assert not +want
 
 
+def checked_mixture(pieces, window=2048):
+    """Up to the end of every window each source has its share of all tokens, to within one."""
+    total, held = Counter(), defaultdict(Counter)
+    for p in pieces:
+        total[p.source] += p.length
+        held[p.sequence_id][p.source] += p.length
+    whole, sent, done = sum(total.values()), Counter(), 0
+    for s in sorted(held):
+        sent += held[s]
+        done += sum(held[s].values())
+        assert all(abs(sent[x] - total[x] * done / whole) < 1 for x in total)
+    return len(total)
+
+
 def test_op9(spark, folder):
     pieces = QUERIES["op9_deficit_packing"](spark, folder).collect()
     checked_packing(pieces, brute.rows_of(folder, "documents", "doc_id", "text"))
 
 
 def test_op9_mixture(spark):
-    pieces = QUERIES["op9_deficit_packing"](spark, SF_CHECK).collect()
-    total, longest = Counter(), Counter()
-    for p in pieces:
-        total[p.source] += p.length
-        longest[p.source] = max(longest[p.source], p.doc_tokens)
-    whole = sum(total.values())
-    sent, done = Counter(), 0
-    for p in sorted(pieces, key=lambda p: (p.sequence_id, p.offset)):
-        sent[p.source] += p.length
-        done += p.length
-        for s in total:
-            # A document goes out once its source has the credit, so a source lags by one document
-            # and the documents of the others lead or lag likewise.
-            assert abs(sent[s] - total[s] / whole * done) <= longest[s] + total[s] / whole * sum(longest.values()) + 2048
+    assert checked_mixture(QUERIES["op9_deficit_packing"](spark, SF_CHECK).collect()) == 20
 
 
 def test_op10(spark, folder):
@@ -264,18 +289,21 @@ def test_pipeline(spark, folder):
     assert plain(i for i in [(d,) for d, _, k in verdicts if k]) == plain(at(judged, "doc_id"))
     single = near(spark, judged, folder).cache()
     assert single.columns == columns
-    groups, _ = brute.near_groups(at(judged, "doc_id", "text"))
-    heads = Counter({i: 1 for i in groups if groups[i] == i})
-    heads += Counter(i for (i,) in at(judged, "doc_id") if i is None)
-    assert Counter(i for (i,) in at(single, "doc_id")) == heads
+    # Each row is a document of its own here; of a group the smallest id stays, null last.
+    rows = sorted(at(judged, "doc_id", "text"), key=lambda r: (r[0] is None, r[0] or 0))
+    groups, _ = brute.near_groups([(i, t) for i, (_, t) in enumerate(rows)])
+    assert Counter(i for (i,) in at(single, "doc_id")) == Counter(rows[i][0] for i in groups if groups[i] == i)
     masked = scan(spark, single, folder).cache()
     assert masked.columns == columns
-    before = dict(at(single, "doc_id", "text"))
+    before = defaultdict(list)
+    for i, text in at(single, "doc_id", "text"):
+        before[i].append(text)
     for i, text in at(masked, "doc_id", "text"):
-        if text != before[i]:
+        if text not in before[i]:
             assert "[SECRET]" in text
-            rest = "".join(f"(?:{re.escape(x)}|$)" for x in [])
-            assert rest == "" and len(text.split()) == len(before[i].split())
+            # What is left of the text stands in it as before, around the secrets.
+            shape = re.compile(".+?".join(map(re.escape, text.split("[SECRET]"))), re.DOTALL)
+            assert any(shape.fullmatch(b or "") for b in before[i])
         assert not re.search(r"(?<!\w)AKIA[0-9A-Z]{16}(?!\w)", text or "")
     mixed = mix(spark, masked, folder).cache()
     assert mixed.columns == columns
