@@ -10,7 +10,11 @@ from oreflow.llm.queries import table, tokenizer_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that pass the base rules and the cutoffs fitted on the labelled ones among them."""
+    """Rows that pass the base rules and the cutoffs fitted on the labelled ones among them.
+
+    Each row is judged by its own text: null and empty texts have no words and go; rows that repeat are
+    kept or go alike; rows without ``doc_id`` are judged by cutoffs that others have shown to be safe.
+    """
     labels = table(spark, sf_dir, "labels")
     known = quality.one_label(labels).select("doc_id")
     stats = quality.measured(docs.select("doc_id", "text", "lang").join(known, "doc_id", "left_semi"))
@@ -20,24 +24,34 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near copies, that of the smallest ``doc_id``; rows without id stay."""
-    found = minhash.near_duplicates(docs, Workspace(spark, "near"))
-    heads = found.where("kept and doc_id is not null").select("doc_id").distinct()
-    one = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-    known = docs.join(heads, "doc_id").withColumn("_nth", one).where("_nth = 1").select(*docs.columns)
-    return known.unionByName(docs.where("doc_id is null"))
+    """One row of each group of near copies: that of the smallest ``doc_id``, null last.
+
+    Rows are told apart by a number of their own, so rows of one id with unlike texts are documents of
+    their own, and rows without id are compared like others: of every group one row stays.  Rows
+    without words are linked with nothing and stay.
+    """
+    work = Workspace(spark, "near")
+    rows = work.keep(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    found = minhash.near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"), work)
+    groups = found.select(F.col("doc_id").alias("_row"), "component_id").join(rows.select("_row", "doc_id"), "_row")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("first")
+    heads = groups.groupBy("component_id").agg(first).select("first._row")
+    return rows.join(heads, "_row", "left_semi").select(*docs.columns)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All rows; confirmed secrets in their texts are masked."""
-    found = secrets.scan(docs, Workspace(spark, "secrets"))
-    return _recounted(docs, secrets.redacted(docs, found))
+    """All rows; confirmed secrets in their texts are masked, each row's own ones only."""
+    work = Workspace(spark, "secrets")
+    rows = work.keep(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    found = secrets.scan(rows, work, keep=("_row",))
+    return _recounted(docs, secrets.redacted(rows, found, "_row").select(*docs.columns))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for each pass of the mix over a document; the last one of a source may be cut at a word.
 
-    Rows are in the order of the mix, by the slot that a row begins at; ``pack_sequences`` keeps it.
+    A null source is a source of its own; rows without words are in no pass; rows that repeat, and
+    those without ``doc_id``, are rows of their own.  Rows are in the order of the mix, by the slot that a row begins at; ``pack_sequences`` keeps it.
     """
     work = Workspace(spark, "mix")
     rows = work.keep(
