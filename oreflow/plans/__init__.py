@@ -6,6 +6,7 @@ from oreflow.plans.lifecycle import (
     ensure_published,
     ensure_table,
     is_streamed,
+    laid_out,
     publish,
     repartition_table,
 )
@@ -21,6 +22,7 @@ __all__ = [
     "ensure_published",
     "ensure_table",
     "is_streamed",
+    "laid_out",
     "publish",
     "repartition_table",
 ]

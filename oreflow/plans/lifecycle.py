@@ -21,10 +21,11 @@ KEEP_SECONDS = 3600.0
 def create_statements(spec: TableSpec) -> list[str]:
     """Namespace and table, each only where missing."""
     place = f" LOCATION '{spec.namespace_location}'" if spec.namespace_location else ""
-    columns = ", ".join(f"{name} {kind}" for name, kind in spec.columns.items())
+    stored = {**spec.columns, **dict.fromkeys(spec.day_columns, "date")}
+    columns = ", ".join(f"{name} {kind}" for name, kind in stored.items())
     table = f"CREATE TABLE IF NOT EXISTS {spec.name} ({columns}) USING {spec.format}"
     if spec.partition_by:
-        table += f" PARTITIONED BY ({', '.join(spec.partition_by)})"
+        table += f" PARTITIONED BY ({', '.join(spec.partition_columns)})"
     if spec.location:
         table += f" LOCATION '{spec.location}'"
     if spec.properties:
@@ -81,8 +82,10 @@ def ensure_table(spark: SparkSession, spec: TableSpec) -> None:
         spark.sql(f"ALTER TABLE {spec.name} SET LOCATION '{spec.location}'")
     else:
         spark.sql(table)
-    have = spark.table(spec.name).columns
-    for statement in change_statements(spec, have, partition_fields(spark, spec.name)):
+    have, fields = spark.table(spec.name).columns, partition_fields(spark, spec.name)
+    if not spec.is_iceberg:
+        fields = [spec.partition_field(name) for name in fields]
+    for statement in change_statements(spec, have, fields):
         spark.sql(statement)
     if spec.location and not spec.is_iceberg:
         # A stream can only follow a folder that is there.
@@ -116,6 +119,12 @@ def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
     )
 
 
+def laid_out(rows: DataFrame, spec: TableSpec) -> DataFrame:
+    """``rows`` with the date columns that the table keeps for ``days(...)`` partition fields."""
+    days = {name: F.to_date(source) for name, source in spec.day_columns.items()}
+    return rows.withColumns(days) if days else rows
+
+
 def append_table(df: DataFrame, spec: TableSpec) -> None:
     """Add rows in one batch, in even files per partition; the table must exist.
 
@@ -127,12 +136,17 @@ def append_table(df: DataFrame, spec: TableSpec) -> None:
     if spec.is_iceberg:
         rows.writeTo(spec.name).append()
         return
-    writer = rebalanced(rows, *spec.partition_by).write.format(spec.format).mode("append")
-    writer.partitionBy(*spec.partition_by).saveAsTable(spec.name)
+    rows = laid_out(rows, spec)
+    writer = rebalanced(rows, *spec.partition_columns).write.format(spec.format).mode("append")
+    writer.partitionBy(*spec.partition_columns).saveAsTable(spec.name)
 
 
 def repartition_table(spark: SparkSession, source: str, target: TableSpec) -> None:
-    """Copy a table into a new one laid out as ``target``; the source stays as it is."""
+    """Copy a table into a new one laid out as ``target``; the source stays as it is.
+
+    Adds, drops or replaces partition fields, ``days(...)`` among them, where the format cannot do
+    so in place.
+    """
     ensure_table(spark, target)
     append_table(spark.table(source), target)
 
@@ -154,7 +168,9 @@ def publish(
 
     Iceberg replaces in one commit.  A Parquet table cannot, so the rows go to a new table
     and the name readers use is a view that is then pointed at it.  Every attempt writes a
-    table of its own: a batch that runs again never touches what readers are looking at.
+    table of its own: a batch that runs again never touches what readers are looking at.  Its
+    partitions are listed in the catalog, so a reader that asks for some of them, through the view too, opens
+    no other folder; its statistics are taken before it is shown.
     A version stays for ``keep_seconds`` after it was replaced, for queries already running,
     however many come after it.  ``spread`` is that of ``gathered``, which arranges the write where
     there is no adaptive execution, as in a stream with state.
@@ -168,6 +184,7 @@ def publish(
     adaptive = spark.conf.get("spark.sql.adaptive.enabled") == "true"
     rows = rebalanced(rows, *spec.partition_by) if adaptive else gathered(rows, spec.partition_by, spec.key, spread)
     rows.write.format(spec.format).partitionBy(*spec.partition_by).saveAsTable(version)
+    spark.sql(f"ANALYZE TABLE {version} COMPUTE STATISTICS")
     _point(spark, spec, version)
     for name in _outdated(spark, spec, version, keep_seconds):
         _discard(spark, spec, name)

@@ -34,9 +34,20 @@ from oreflow.plans import (
 )
 from oreflow.scratch import scratch_folder
 from oreflow.session import session_conf
-from oreflow.sources import Topic, read_table, read_topic, write_topic
-from oreflow.streaming import run_bronze, run_gold, run_silver, run_tail
-from oreflow.streaming.jobs import AVAILABLE
+from oreflow.sources import Topic, read_between, read_table, read_topic, write_topic
+from oreflow.streaming import (
+    LossCounter,
+    listening,
+    repartition_state,
+    run_bronze,
+    run_gold,
+    run_silver,
+    run_tail,
+    run_until_idle,
+    supervised,
+    uncommitted,
+)
+from oreflow.streaming.jobs import AVAILABLE, BRONZE_JOB, SILVER_JOB
 
 # All files in one micro-batch, so that no row is behind a watermark.
 ONE_BATCH = {"maxFilesPerTrigger": str(2**31 - 1)}
@@ -175,6 +186,30 @@ def gold_bi_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def gold_pruned_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The positions of one ticker, through the view that readers use; one folder is opened for it."""
+    gold = _warehouse(spark, "pruned").gold
+    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {gold.namespace} LOCATION '{gold.namespace_location}'")
+    publish(positions(_silver(spark, sf_dir)), gold)
+    return _plain(read_table(spark, gold).where("ticker = 'TKR3'"))
+
+
+def days_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A year of trades from a table laid out by day, and from what that is after the day was dropped."""
+    silver = _warehouse(spark, "days").silver
+    days = replace(
+        silver, name=f"{silver.name}_days", location=f"{silver.location}_days", partition_by=("days(trade_timestamp)",)
+    )
+    ensure_table(spark, days)
+    append_table(_silver(spark, sf_dir), days)
+    repartition_table(spark, days.name, silver)
+    both = [
+        read_between(spark, table, "trade_timestamp", "1998-01-01", "1999-01-01").withColumn("layout", F.lit(layout))
+        for table, layout in ((days, "day"), (silver, "ticker"))
+    ]
+    return _plain(both[0].union(both[1]))
+
+
 # ---- topics and streams --------------------------------------------------------------
 
 
@@ -260,6 +295,125 @@ def stream_silver_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _silver_of(spark, _warehouse(spark, "late"), parts)
 
 
+def stream_silver_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows the runs of ``stream_silver_late`` took in and how many of them were dropped as late."""
+    with listening(spark, LossCounter()) as counter:
+        rows = stream_silver_late(spark, sf_dir)
+        counter.wait_idle(spark)
+    n_new = rows.count()
+    return spark.createDataFrame([(n_new, sum(counter.late.values()))], "n_new long, n_late long")
+
+
+#: Files of each part that one micro-batch takes in.
+PACE = 4
+_PART = """CASE WHEN timestamp < '1997-01-01' THEN 0 WHEN timestamp < '1999-01-01' THEN 1
+    WHEN timestamp < '2000-07-01' THEN 2 ELSE 3 END
+    + CASE WHEN CAST(key AS string) LIKE '%-7' THEN 1 WHEN CAST(key AS string) LIKE '%-6' THEN 2 ELSE 0 END"""
+
+
+def stream_silver_paced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four micro-batches in one run, by the number of files each may take; the watermark moves in between.
+
+    A part is the trades of some years but for lines 7 and 6, which come one and two parts later.  A batch
+    drops what is behind the watermark of the batch before it, which knows the parts up to two
+    before: lines 6 are late, lines 7 are not.  Parts have the first copy of each of their trades only.
+    """
+    warehouse = _warehouse(spark, "paced")
+    bronze = replace(warehouse.bronze, partition_by=())
+    ensure_table(spark, bronze)
+    messages = messages_from_lineitem(spark, sf_dir).withColumn("part", F.least(F.expr(_PART), F.lit(3)))
+    for part in range(4):
+        rows = to_bronze(_first_copies(messages.where(F.col("part") == part)))
+        files = rows.repartition(PACE, "key").select(*bronze.columns)
+        files.write.format(bronze.format).mode("append").saveAsTable(bronze.name)
+    with _state_partitions(spark):
+        query = run_silver(spark, warehouse, AVAILABLE, source_options={"maxFilesPerTrigger": str(PACE)})
+    query.awaitTermination()
+    return _plain(read_table(spark, warehouse.silver))
+
+
+def stream_silver_repartitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State made with 8 partitions goes on with 32: ids it knows do not come out again.
+
+    First come the old trades; after the state was laid out anew all copies of those, and the new ones.
+    """
+    warehouse = _warehouse(spark, "repartitioned")
+    messages = messages_from_lineitem(spark, sf_dir)
+    first = _first_copies(messages)
+    old, new = first.where("timestamp < '2000-01-01'"), first.where("timestamp >= '2000-01-01'")
+    again = messages.join(old.select("key"), "key", "left_semi").select(*messages.columns)
+    ensure_table(spark, warehouse.bronze)
+    topic = Topic(TOPIC_NAME, path=f"{warehouse.root}/topic", options=ONE_BATCH)
+    write_topic(old, topic)
+    run_bronze(spark, topic, warehouse, AVAILABLE).awaitTermination()
+    with session_conf(spark, {"spark.sql.shuffle.partitions": "8"}):
+        run_silver(spark, warehouse, AVAILABLE, source_options=ONE_BATCH, salts=4).awaitTermination()
+        following = repartition_state(spark, warehouse, 32, salts=4)
+    write_topic(new.unionByName(again), topic)
+    run_bronze(spark, topic, following, AVAILABLE).awaitTermination()
+    run_silver(spark, following, AVAILABLE, source_options=ONE_BATCH, salts=4).awaitTermination()
+    earlier, later = (read_table(spark, table) for table in following.silver_tables)
+    return _plain(earlier.union(later))
+
+
+def stream_silver_recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze and silver die when their sinks have a batch that is not yet marked as done; both start again."""
+    warehouse = _warehouse(spark, "recovered")
+    messages = messages_from_lineitem(spark, sf_dir)
+    topic = Topic(TOPIC_NAME, path=f"{warehouse.root}/topic", options=ONE_BATCH)
+    for part in (_first_copies(messages), messages):
+        write_topic(part, topic)
+        for _ in range(2):
+            run_bronze(spark, topic, warehouse, AVAILABLE).awaitTermination()
+            uncommitted(spark, warehouse.checkpoint(BRONZE_JOB))
+        with _state_partitions(spark):
+            for _ in range(2):
+                run_silver(spark, warehouse, AVAILABLE, source_options=ONE_BATCH).awaitTermination()
+                uncommitted(spark, warehouse.checkpoint(SILVER_JOB))
+    return _plain(read_table(spark, warehouse.silver))
+
+
+def stream_gold_recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first attempt at every batch fails when readers see its positions already; the job starts again."""
+    warehouse = _warehouse(spark, "goldfail")
+    ensure_table(spark, warehouse.silver)
+    silver = _silver(spark, sf_dir).cache()
+    seen: list[int] = []
+
+    def fail_once(batch: int) -> None:
+        seen.append(batch)
+        if seen.count(batch) == 1:
+            raise RuntimeError(f"first attempt at batch {batch}")
+
+    for part in ("trade_timestamp < '1998-01-01'", "trade_timestamp >= '1998-01-01' OR trade_timestamp IS NULL"):
+        append_table(silver.where(part), warehouse.silver)
+        with _state_partitions(spark):
+            # A run has a batch with the rows and may have one that only moves the watermark.
+            supervised(lambda: run_gold(spark, warehouse, AVAILABLE, published=fail_once), attempts=4)
+    silver.unpersist()
+    return _plain(read_table(spark, warehouse.gold))
+
+
+def stream_bronze_widened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream is stopped, its table gets a column, and it goes on: rows from before have NULL there."""
+    warehouse = _warehouse(spark, "widened")
+    topic = _topic(spark, sf_dir, warehouse.root)
+    wide = replace(warehouse.bronze, partition_by=())
+    narrow = replace(wide, columns={name: kind for name, kind in wide.columns.items() if name != "ticker"})
+    for spec in (narrow, wide):
+        run_bronze(spark, topic, warehouse, AVAILABLE, spec=spec).awaitTermination()
+        write_topic(messages_from_lineitem(spark, sf_dir), topic)
+    run_bronze(spark, topic, warehouse, AVAILABLE, spec=wide).awaitTermination()
+    return read_table(spark, wide).select("key", "value", "ticker")
+
+
+def stream_bronze_idle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream that would run for ever is stopped when it has found nothing new."""
+    warehouse = _warehouse(spark, "idle")
+    run_until_idle(spark, run_bronze(spark, _topic(spark, sf_dir, warehouse.root), warehouse))
+    return read_table(spark, warehouse.bronze).select("key", "value", "ticker")
+
+
 def stream_gold_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trades in two runs, the newer ones first: positions count the late ones all the same."""
     warehouse = _warehouse(spark, "goldlate")
@@ -310,6 +464,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_silver_late,
         stream_gold,
         stream_gold_late,
+        gold_pruned_read,
+        days_layout,
+        stream_silver_losses,
+        stream_silver_paced,
+        stream_silver_repartitioned,
+        stream_silver_recovered,
+        stream_gold_recovered,
+        stream_bronze_widened,
+        stream_bronze_idle,
     )
 }
 
@@ -403,6 +566,25 @@ passed AS (
   SELECT *, row_number() OVER (PARTITION BY trade_id ORDER BY early DESC) AS run FROM firsts
   WHERE arrival = 1 AND (early OR trade_timestamp IS NULL OR trade_timestamp > (SELECT watermark FROM mark)))
 SELECT {_TRADES} FROM passed WHERE run = 1"""
+_LOST = f"""WITH {_LATE.removeprefix("WITH ").partition("SELECT " + _TRADES)[0]}
+SELECT (SELECT count(*) FROM passed WHERE run = 1) AS n_new,
+       (SELECT count(*) FROM firsts WHERE arrival = 1 AND NOT early AND trade_timestamp <= (SELECT watermark FROM mark)) AS n_late"""
+_PACED = f"""WITH {_TYPED},
+dealt AS (
+  SELECT *, least(3, CASE WHEN trade_timestamp < '1997-01-01' THEN 0 WHEN trade_timestamp < '1999-01-01' THEN 1
+                          WHEN trade_timestamp < '2000-07-01' THEN 2 ELSE 3 END
+                     + CASE WHEN trade_id LIKE '%-7' THEN 1 WHEN trade_id LIKE '%-6' THEN 2 ELSE 0 END) AS part
+  FROM typed WHERE trade_id IS NOT NULL AND quantity > 0),
+firsts AS (
+  SELECT *, row_number() OVER (PARTITION BY trade_id, part ORDER BY "partition", "offset", portfolio_id, ticker,
+                               side, quantity, price, fees, trade_timestamp) AS arrival FROM dealt),
+fed AS (SELECT * FROM firsts WHERE arrival = 1),
+passed AS (
+  SELECT *, row_number() OVER (PARTITION BY trade_id ORDER BY part) AS run FROM fed
+  WHERE trade_timestamp IS NULL OR trade_timestamp > coalesce(
+    (SELECT max(e.trade_timestamp) - INTERVAL 2 HOUR FROM fed e WHERE e.part <= fed.part - 2), '1900-01-01'))
+SELECT {_TRADES} FROM passed WHERE run = 1"""
+_YEAR = "trade_timestamp >= '1998-01-01' AND trade_timestamp < '1999-01-01'"
 _POSITIONS = f"""WITH {_GOLD} SELECT portfolio_id, ticker,
     {_texts("net_quantity", "total_fees", "total_value")} FROM gold"""
 
@@ -440,4 +622,15 @@ ORACLE: dict[str, str] = {
     "stream_silver_late": _LATE,
     "stream_gold": _POSITIONS,
     "stream_gold_late": _POSITIONS,
+    "gold_pruned_read": f"{_POSITIONS} WHERE ticker = 'TKR3'",
+    "days_layout": f"""WITH {_SILVER}
+        SELECT {_TRADES}, layout FROM silver, (VALUES ('day'), ('ticker')) AS l(layout) WHERE {_YEAR}""",
+    "stream_silver_losses": _LOST,
+    "stream_silver_paced": _PACED,
+    "stream_silver_repartitioned": _ROWS,
+    "stream_silver_recovered": _ROWS,
+    "stream_gold_recovered": _POSITIONS,
+    "stream_bronze_widened": f"""WITH {_MESSAGES} SELECT key, value, CAST(NULL AS varchar) AS ticker FROM bronze
+        UNION ALL SELECT key, value, ticker FROM bronze UNION ALL SELECT key, value, ticker FROM bronze""",
+    "stream_bronze_idle": _INGEST,
 }

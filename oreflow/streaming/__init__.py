@@ -1,3 +1,16 @@
-from oreflow.streaming.jobs import run_bronze, run_for, run_gold, run_silver, run_tail
+from oreflow.streaming.jobs import repartition_state, run_bronze, run_for, run_gold, run_silver, run_tail
+from oreflow.streaming.watch import LossCounter, listening, run_until_idle, supervised, uncommitted
 
-__all__ = ["run_bronze", "run_for", "run_gold", "run_silver", "run_tail"]
+__all__ = [
+    "LossCounter",
+    "listening",
+    "repartition_state",
+    "run_bronze",
+    "run_for",
+    "run_gold",
+    "run_silver",
+    "run_tail",
+    "run_until_idle",
+    "supervised",
+    "uncommitted",
+]

@@ -7,7 +7,9 @@ soon as the one before is done.  ``AVAILABLE`` works off what is there and stops
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from dataclasses import replace as changed
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -22,11 +24,14 @@ from oreflow.plans import (
     ensure_published,
     ensure_table,
     is_streamed,
+    laid_out,
     publish,
 )
-from oreflow.scratch import path_exists
+from oreflow.schemas import SILVER_COLUMNS
+from oreflow.scratch import path_exists, remove_folder
 from oreflow.session import STATE_SETTINGS, session_conf
 from oreflow.sources import Topic, read_table, stream_table, stream_topic
+from oreflow.streaming.state import dedup_seeds, files_in, seed_folder, seeded
 
 AVAILABLE = {"availableNow": True}
 
@@ -53,12 +58,12 @@ def _writer(df: DataFrame, checkpoint: str, mode: str, trigger: Mapping | None)
 
 
 def _append(df: DataFrame, spec: TableSpec, checkpoint: str, trigger: Mapping | None) -> StreamingQuery:
-    writer = _writer(df, checkpoint, "append", trigger).format(spec.format)
+    writer = _writer(laid_out(df, spec), checkpoint, "append", trigger).format(spec.format)
     if not spec.is_iceberg:
         spark = df.sparkSession
         if not is_streamed(spark, spec) and not read_table(spark, spec).isEmpty():
             raise ValueError(f"{spec.name} was filled by a batch; a stream would hide those rows")
-        writer = writer.partitionBy(*spec.partition_by)
+        writer = writer.partitionBy(*spec.partition_columns)
     return writer.toTable(spec.name)
 
 
@@ -68,17 +73,19 @@ def run_bronze(
     warehouse: Warehouse,
     trigger: Mapping | None = None,
     rebalance: bool = True,
+    spec: TableSpec | None = None,
 ) -> StreamingQuery:
-    """Append the topic to the bronze table.
+    """Append the topic to the bronze table, or one of another shape (``spec``).
 
-    ``rebalance`` shuffles by ticker for few and even files, splitting a busy ticker; without
+    A column that ``spec`` has and the table lacks is added before the stream goes on; rows from before
+    have NULL there.  ``rebalance`` shuffles by ticker for few and even files, splitting a busy ticker; without
     it every task writes a file per ticker.  Iceberg does this by itself.
     """
-    spec = warehouse.bronze
+    spec = spec or warehouse.bronze
     ensure_table(spark, spec)
     rows = conform(to_bronze(stream_topic(spark, topic)), spec)
     if rebalance and not spec.is_iceberg:
-        rows = rebalanced(rows, *spec.partition_by)
+        rows = rebalanced(rows, *(name for name in spec.partition_by if name in spec.columns))
     return _append(rows, spec, warehouse.checkpoint(BRONZE_JOB), trigger)
 
 
@@ -91,9 +98,13 @@ def run_silver(
     spread: int | None = None,
     source_options: Mapping[str, str] | None = None,
     state_settings: Mapping[str, str] = STATE_SETTINGS,
+    seeding: bool = False,
 ) -> StreamingQuery:
     """Append new trades to the silver table, one row per trade id.
 
+    In a later generation of the warehouse the ids of the one before are known from its seeds;
+    ``seeding`` is the run that takes them in, see ``repartition_state``.
+
     ``bounded`` and ``salts`` are those of ``dedup_stream``, ``spread`` is that of ``gathered``.  The
     number of state partitions is ``spark.sql.shuffle.partitions`` at the first start and stays
     with the checkpoint; as many tasks write the files.  Iceberg arranges its writes by itself.
@@ -101,7 +112,13 @@ def run_silver(
     spec = warehouse.silver
     ensure_table(spark, spec)
     trades = usable(typed(parse(stream_table(spark, warehouse.bronze, source_options))))
-    rows = conform(dedup_stream(trades, bounded=bounded, salts=salts), spec)
+    if warehouse.generation > 1:
+        folder = seed_folder(warehouse.checkpoint(SILVER_JOB))
+        trades = seeded(trades, folder, SILVER_COLUMNS, skip=seeding)
+        new = dedup_stream(trades, bounded=bounded, salts=salts).where("NOT seed")
+    else:
+        new = dedup_stream(trades, bounded=bounded, salts=salts)
+    rows = conform(new, spec)
     if not spec.is_iceberg:
         rows = gathered(rows, spec.partition_by, spec.key, spread)
     _announce(spark, warehouse.checkpoint(SILVER_JOB))
@@ -109,6 +126,39 @@ def run_silver(
         return _append(rows, spec, warehouse.checkpoint(SILVER_JOB), trigger)
 
 
+def repartition_state(
+    spark: SparkSession,
+    warehouse: Warehouse,
+    partitions: int,
+    bounded: bool = False,
+    salts: int | None = None,
+    source_options: Mapping[str, str] | None = None,
+) -> Warehouse:
+    """The warehouse of the next generation, whose silver stream has its state in ``partitions`` partitions.
+
+    The number of state partitions is fixed in a checkpoint, so the next generation gets a new one:
+    the old stream is run to its end, the ids it remembers and its watermark are read from its
+    state, and a first run of the new stream takes them in and reads past the bronze rows that the old
+    one has read.  Neither silver rows nor bronze texts are read again.  No other job may add to
+    bronze meanwhile; that is checked, and the attempt is then to be repeated.  ``bounded`` and
+    ``salts`` are those of ``run_silver``, the same before and after.
+    """
+    following = changed(warehouse, generation=warehouse.generation + 1)
+    checkpoint = following.checkpoint(SILVER_JOB)
+    if path_exists(spark, f"{checkpoint}/offsets"):
+        raise ValueError(f"{checkpoint} is in use already")
+    before = files_in(spark, warehouse.bronze)
+    run_silver(spark, warehouse, AVAILABLE, bounded, salts, source_options=source_options).awaitTermination()
+    seeds = dedup_seeds(spark, warehouse.checkpoint(SILVER_JOB))
+    seeds.write.mode("overwrite").parquet(seed_folder(checkpoint))
+    with session_conf(spark, {"spark.sql.shuffle.partitions": str(partitions)}):
+        run_silver(spark, following, AVAILABLE, bounded, salts, seeding=True).awaitTermination()
+    if files_in(spark, warehouse.bronze) != before:
+        remove_folder(spark, checkpoint)
+        raise RuntimeError("bronze has grown meanwhile: stop the jobs that write it and repeat")
+    return following
+
+
 def run_gold(
     spark: SparkSession,
     warehouse: Warehouse,
@@ -117,18 +167,25 @@ def run_gold(
     keep_seconds: float = KEEP_SECONDS,
     source_options: Mapping[str, str] | None = None,
     state_settings: Mapping[str, str] = STATE_SETTINGS,
+    published: Callable[[int], None] | None = None,
 ) -> StreamingQuery:
     """Keep the gold table at the current positions: every batch replaces all of it.
 
-    ``spread`` is that of ``gathered``; a replaced version stays for ``keep_seconds``.
+    ``spread`` is that of ``gathered``; a replaced version stays for ``keep_seconds``.  ``published`` is
+    called with the number of a batch once readers see it and before it counts as done; a batch
+    that is run again after a failure calls it again.  Trades come from the silver tables of all
+    generations; the checkpoint of a later one is new, as it has more sources, and reads them from the start.
     """
     spec = warehouse.gold
     ensure_published(spark, spec)
 
-    def replace(batch: DataFrame, _batch_id: int) -> None:
+    def replace(batch: DataFrame, batch_id: int) -> None:
         publish(batch, spec, keep_seconds, spread)
+        if published:
+            published(batch_id)
 
-    current = positions(stream_table(spark, warehouse.silver, source_options))
+    parts = [stream_table(spark, table, source_options) for table in warehouse.silver_tables]
+    current = positions(reduce(DataFrame.union, parts))
     _announce(spark, warehouse.checkpoint(GOLD_JOB))
     with session_conf(spark, state_settings):
         writer = _writer(current, warehouse.checkpoint(GOLD_JOB), "complete", trigger)
