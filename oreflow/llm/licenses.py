@@ -103,7 +103,7 @@ def license_scan(
     the templates' grams and compared as text.  A match votes for its diagonal, text position less
     template position.  A phrase stands where a diagonal has all its votes.  For notices,
     neighbouring diagonals are merged into one passage, which counts if it has at least ``coverage``
-    of the template's grams within a span of at most twice its length.
+    of the template's grams, each counted once, within a span of at most twice its length.
 
     ``n_words``, ``n_base`` (places of phrases), ``first_word`` and ``last_word`` (first and last such
     place, else null), ``base_labels``, ``labels`` (sorted, comma-joined), ``score`` (the best
@@ -157,7 +157,8 @@ def license_scan(
         .groupBy(*key, "diagonal")
         .agg(
             *[F.first(c, ignorenulls=True).alias(c) for c in ("label", "phrase", "grams")],
-            F.count("at").alias("votes"),
+            # At most as many as the template has grams.
+            F.collect_set("at").alias("ats"),
             F.min("pos").alias("lo"),
             F.max("pos").alias("hi"),
         )
@@ -166,7 +167,7 @@ def license_scan(
     apart = F.col("diagonal") - F.lag("diagonal").over(order) > F.when(F.col("phrase"), 0).otherwise(SLACK)
     passages = diagonals.withColumn("part", F.sum(F.coalesce(apart, F.lit(True)).cast("int")).over(order))
     passages = passages.groupBy(*key, "label", "phrase", "grams", "part").agg(
-        F.sum("votes").alias("votes"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("diagonal").alias("at")
+        F.size(F.array_distinct(F.flatten(F.collect_list("ats")))).alias("votes"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("diagonal").alias("at")
     )
     part = F.when(F.col("votes") > 0, F.least(F.col("votes") / F.col("grams"), F.lit(1.0)))
     passages = passages.withColumn("part_matched", part)

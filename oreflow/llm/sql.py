@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from oreflow.llm.licenses import COVERAGE, GRAM, NOTICES, PHRASES, SLACK
+
 # A-Z and white space that ends a word.
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = "list_filter(regexp_split_to_array(coalesce({0}, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
@@ -90,3 +92,45 @@ kept AS (SELECT r, string_agg(word, ' ' ORDER BY i) AS text FROM words ANTI JOIN
 SELECT t.doc_id, coalesce(l.n_runs, 0) AS n_runs, b.start, b.length, b.period, 1000 * b.length // b.period AS exponent_milli,
        sha256(coalesce(l.listed, '')) AS runs_sha256, sha256(coalesce(k.text, '')) AS collapsed_sha256
 FROM texts t LEFT JOIN lists l ON t.r = l.r LEFT JOIN best b ON t.r = b.r AND b.place = 1 LEFT JOIN kept k ON t.r = k.r"""
+
+
+_TEMPLATES = ", ".join(
+    f"({i}, '{label}', {str(phrase).lower()}, {k}, '{text}')"
+    for i, (label, text, phrase, k) in enumerate(
+        [*((v, t, True, 2) for t, v in PHRASES.items()), *((v, t, False, GRAM) for v, t in NOTICES)]
+    )
+)
+_GRAMS = "list_transform(range(len({0}) - {1} + 1), lambda i: array_to_string({0}[i + 1:i + {1}], ' '))"
+
+LICENSES = f"""
+WITH texts AS (
+  SELECT doc_id, row_number() OVER () AS r, list_filter(regexp_split_to_array({_LOWER.format("coalesce(text, '')")},
+           '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+given(template, label, phrase, k, text) AS (VALUES {_TEMPLATES}),
+split AS (SELECT *, string_split(text, ' ') AS w FROM given),
+wanted AS (
+  SELECT template, label, phrase, k, len(w) - k + 1 AS grams, unnest(range(len(w) - k + 1)) AS at_,
+         unnest(CASE k WHEN 2 THEN {_GRAMS.format("w", 2)} ELSE {_GRAMS.format("w", GRAM)} END) AS gram FROM split),
+held AS (
+  SELECT r, 2 AS k, unnest(range(len(w) - 1)) AS pos, unnest({_GRAMS.format("w", 2)}) AS gram FROM texts WHERE len(w) >= 2
+  UNION ALL
+  SELECT r, {GRAM}, unnest(range(len(w) - {GRAM - 1})), unnest({_GRAMS.format("w", GRAM)}) FROM texts WHERE len(w) >= {GRAM}),
+votes AS (SELECT h.r, t.*, h.pos, h.pos - t.at_ AS diagonal FROM held h JOIN wanted t ON h.k = t.k AND h.gram = t.gram),
+apart AS (
+  SELECT *, coalesce(diagonal - lag(diagonal) OVER (PARTITION BY r, template ORDER BY diagonal)
+                     > CASE WHEN phrase THEN 0 ELSE {SLACK} END, true) AS new FROM votes),
+parts AS (SELECT *, sum(new::int) OVER (PARTITION BY r, template ORDER BY diagonal RANGE UNBOUNDED PRECEDING) AS part FROM apart),
+passages AS (
+  SELECT r, label, phrase, grams, count(DISTINCT at_) AS votes, min(pos) AS lo, max(pos) AS hi, min(diagonal) AS first
+  FROM parts GROUP BY r, template, label, phrase, grams, part),
+judged AS (
+  SELECT *, phrase AND votes = grams AS base, least(votes / grams, 1.0::double) AS matched,
+         NOT phrase AND votes / grams >= {COVERAGE} AND hi - lo <= 2 * (grams + {GRAM}) AS whole FROM passages),
+told AS (
+  SELECT r, count(*) FILTER (base) AS n_base, min(first) FILTER (base) AS first_word, max(first) FILTER (base) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
+         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base OR whole) AS labels, max(matched) AS score
+  FROM judged GROUP BY r)
+SELECT t.doc_id, len(t.w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0::double) AS score
+FROM texts t LEFT JOIN told d ON t.r = d.r"""
