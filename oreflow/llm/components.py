@@ -38,9 +38,10 @@ def components(links: DataFrame, work: Workspace) -> DataFrame:
 
     ``links`` has ``a`` and ``b``, longs without nulls.  Every batch is first reduced to a forest by
     union-find.  Then each node hooks onto the smallest node next to it and the links are
-    rewritten between the hooks, until none is left; at least half of the nodes go each time, and
-    the smallest node of a component never moves.  All steps are joins and sums by key, so no
-    component is ever in one task.
+    rewritten between the hooks, until none is left; the smallest node of a component never moves.
+    Where many links lead to few nodes, as among copies, that takes a few rounds; a long chain of rising
+    nodes is shortened by what lies in one batch each time, so a chain over very many batches takes
+    many rounds.  All steps are joins and sums by key, so no component is ever in one task.
     """
     forest = "a long, b long"
     edges = work.keep(
