@@ -11,7 +11,8 @@ from oreflow.llm.common import Workspace
 
 ARITY = 8
 #: A level of a path: what a node's digest is put between before it is digested again.
-PATH = "array<struct<left: string, right: string>>"
+#: Digests are kept as bytes, 32 each, and one after the other; what is digested is their hex text.
+PATH = "array<struct<left: binary, right: binary>>"
 
 
 def digest(*parts: Column) -> Column:
@@ -19,6 +20,11 @@ def digest(*parts: Column) -> Column:
     return F.sha2(F.concat(*[p.cast("binary") for p in parts]), 256)
 
 
+def shown(digests: Column) -> Column:
+    """Digests as lower-case hex."""
+    return F.lower(F.hex(digests))
+
+
 def leaf(*values: Column) -> Column:
     """Digest of a row: ``-`` for each null, else the value's length in UTF-8 bytes, ``:`` and the value."""
     texts = [v.cast("string") for v in values]
@@ -71,7 +77,7 @@ class Trees:
 
 
 def grown(leaves: DataFrame, work: Workspace, arity: int = ARITY) -> Trees:
-    """Trees over ``leaves`` (``tree``, ``place``, ``n``, ``digest``), all trees level by level together.
+    """Trees over ``leaves`` (``tree``, ``place``, ``n``, ``digest`` as bytes), all trees level by level together.
 
     On each level a node asks for the places of its run (``siblings``) and an equijoin on tree and
     place answers; places from ``n`` on do not exist.  The answers, in order of place, are what
@@ -89,7 +95,9 @@ def grown(leaves: DataFrame, work: Workspace, arity: int = ARITY) -> Trees:
         held = going.select(F.col("tree").alias("_tree"), F.col("place").alias("_place"), "digest")
         met = asks.where("other < n").join(held, F.col("tree").eqNullSafe(F.col("_tree")) & (F.col("other") == F.col("_place")))
         runs = met.groupBy("tree", "place", "n").agg(F.sort_array(F.collect_list(F.struct("other", "digest"))).alias("run"))
-        joined = lambda keep: F.array_join(F.transform(F.filter("run", keep), lambda x: x["digest"]), "")
+        joined = lambda keep: F.unhex(
+            F.array_join(F.transform(F.filter("run", keep), lambda x: F.hex(x["digest"])), "")
+        )
         level = runs.select(
             "tree",
             "place",
@@ -103,7 +111,7 @@ def grown(leaves: DataFrame, work: Workspace, arity: int = ARITY) -> Trees:
             "tree",
             F.floor(F.col("place") / arity).cast("long").alias("place"),
             F.ceil(F.col("n") / arity).cast("long").alias("n"),
-            digest(F.col("own"), F.col("right")).alias("digest"),
+            F.unhex(digest(shown(F.col("own")), shown(F.col("right")))).alias("digest"),
         )
     ends.append(nodes.where("n = 1"))
     tops = ends[0]
@@ -137,12 +145,12 @@ def paths(trees: Trees, above: DataFrame, work: Workspace, arity: int = ARITY) -
 
 def folded(start: Column, path: Column) -> Column:
     """The root that a leaf's digest leads to along its path."""
-    return F.aggregate(path, start, lambda at, step: digest(step["left"], at, step["right"]))
+    return F.aggregate(path, start, lambda at, step: digest(shown(step["left"]), at, shown(step["right"])))
 
 
 def proof(path: Column) -> Column:
     """Digest of all siblings' digests along a path, level by level, left to right."""
-    return digest(F.array_join(F.transform(path, lambda step: F.concat(step["left"], step["right"])), ""))
+    return digest(F.array_join(F.transform(path, lambda step: F.concat(shown(step["left"]), shown(step["right"]))), ""))
 
 
 def manifest(
@@ -168,9 +176,11 @@ def manifest(
     """
     extra = extra or {}
     named = rows.select(
-        F.col(tree).alias("tree"), F.col(order).alias("_order"), leaf.alias("digest"), *[c.alias(f"_x_{k}") for k, c in extra.items()]
+        F.col(tree).alias("tree"), F.col(order).alias("_order"), F.unhex(leaf).alias("digest"), *[c.alias(f"_x_{k}") for k, c in extra.items()]
     )
-    leaves = work.keep(numbered(work.keep(named, "leaves"), "tree", ["_order", "digest"], work), "numbered")
+    read = work.keep(named, "leaves")
+    leaves = work.keep(numbered(read, "tree", ["_order", "digest"], work), "numbered")
+    work.drop(read)
     trees = grown(leaves.select("tree", "place", "n", "digest"), work, arity)
     tops = work.keep(trees.tops, "tops")
     upper = numbered(tops.withColumn("_all", F.lit(0)), "_all", ["tree"], work)
@@ -187,9 +197,9 @@ def manifest(
     return met.select(
         F.col("_order").alias(order),
         F.col("tree").alias(tree),
-        F.col("digest").alias("leaf"),
-        "subroot",
-        F.lit(root).cast("string").alias("root"),
+        shown(F.col("digest")).alias("leaf"),
+        shown(F.col("subroot")).alias("subroot"),
+        F.lit(root and root.hex()).cast("string").alias("root"),
         "path",
         *[F.col(f"_x_{k}").alias(k) for k in extra],
     )

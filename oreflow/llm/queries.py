@@ -127,9 +127,9 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     of = lambda text: merkle.leaf(F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), text)
     chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
-    tampered = F.when(chosen, of(lower_ascii(F.col("text"))))
+    tampered = F.unhex(F.when(chosen, of(lower_ascii(F.col("text")))))
     proofs = merkle.manifest(docs, Workspace(spark, "op11"), of(F.col("text")), extra={"tampered": tampered})
-    folded = merkle.folded(F.coalesce("tampered", "leaf"), F.col("path"))
+    folded = merkle.folded(F.coalesce(merkle.shown(F.col("tampered")), F.col("leaf")), F.col("path"))
     told = proofs.select("doc_id", "leaf", "subroot", "root", merkle.proof(F.col("path")).alias("proof_sha256"), folded.alias("folded_root"))
     return told.withColumn("verified", F.col("folded_root") == F.col("root"))
 
@@ -242,6 +242,7 @@ reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.y FROM
 groups AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
 SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, g.component_id, d.doc_id = g.component_id AS kept
 FROM documents d JOIN groups g ON d.doc_id = g.a LEFT JOIN sizes s ON d.doc_id = s.doc_id""",
+    "op10_license_diagonals": sql.LICENSES,
     "op11_merkle_manifest": sql.MERKLE,
     "op12_periodic_runs": sql.PERIODIC,
 }
