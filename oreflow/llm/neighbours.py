@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from oreflow.llm.common import Workspace
 
-#: Bounds of what the driver fits on and every task holds: sampled vectors, and centroids.
-FIT_ROWS, MAX_LISTS = 20_000, 16_384
+#: Bounds of what the driver fits on and every task holds: sampled vectors (at least, and for each list),
+#: and centroids.
+FIT_ROWS, FIT_PER_LIST, MAX_LISTS = 20_000, 16, 16_384
 #: A vector goes to at most COPIES lists whose centroid is within 1 + COPY_RATIO of its nearest one.
 COPIES, COPY_RATIO = 4, 0.1
 #: A query reads all lists whose centroid is within 1 + PROBE_RATIO of its nearest one, and more where
@@ -231,15 +232,17 @@ def nearest(
     part.  Repeated rows count once.
 
     Equal vectors are one entry of the index with their ``k + 1`` smallest ids; the others can be
-    among nobody's ``k`` nearest.  The index is fitted on at most about ``FIT_ROWS`` of the entries and
-    then holds all: an entry goes to up to ``COPIES`` lists near its nearest centroid.  A query reads
+    among nobody's ``k`` nearest.  Vectors of 32-bit numbers travel as such and are widened where they are
+    multiplied.  The index is fitted on about ``FIT_ROWS`` of the entries, or ``FIT_PER_LIST`` for each
+    list if that is more, and then holds all: an entry goes to up to ``COPIES`` lists near its nearest centroid.  A query reads
     every list within ``probe_ratio`` of its nearest one, and the next ones while too few entries live
     in them.  Lists are cut into cells of ``CELL_ROWS``
     entries, and a cell that very many queries ask is copied, so neither side of a list is ever whole
     in one task; queries stream past the entries of a cell.
     """
     spark = vectors.sparkSession
-    typed = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("vector"))
+    kind = "float" if dict(vectors.dtypes)["embedding"] == "array<float>" else "double"
+    typed = vectors.select("vec_id", F.col("embedding").cast(f"array<{kind}>").alias("vector"))
     typed = typed.where(F.col("vec_id").isNotNull() & usable(F.col("vector"))).withColumn("asks", is_query)
     sizes = typed.groupBy(F.size("vector").alias("dim")).count().orderBy(F.desc("count"), "dim").limit(1).collect()
     empty = "query_id long, rank int, vec_id long, score double"
@@ -255,16 +258,16 @@ def nearest(
     shown = typed.select(*key, "vec_id", "vector")
     entries = ids.withColumn("vec_id", F.col("ids")[0]).join(shown, ["h1", "h2", "vec_id"])
     entries = work.keep(entries.dropDuplicates(["h1", "h2"]).select("ids", "vector"), "entries")
-    norms = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))
+    norms = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
     about = entries.agg(F.count(F.lit(1)).alias("n"), F.max(norms).alias("top")).first()
-    part = int(min(1.0, FIT_ROWS / about.n) * (1 << 20)) + 1
-    sample = entries.where(F.pmod(F.xxhash64("vector", F.lit(3)), F.lit(1 << 20)) < part)
-    fit = np.array([r[0] for r in sample.orderBy(F.col("ids")[0]).select("vector").collect()])
-    if not len(fit):
-        fit = np.array([entries.first()["vector"]])
-    index = fit_index(fit, min(MAX_LISTS, max(1, round(about.n**0.5))), about.top * (1 + 1e-9))
+    n_lists = min(MAX_LISTS, max(1, round(about.n**0.5)))
+    part = int(min(1.0, max(FIT_ROWS, FIT_PER_LIST * n_lists) / about.n) * (1 << 30)) + 1
+    sample = entries.where(F.pmod(F.xxhash64("vector", F.lit(3)), F.lit(1 << 30)) < part)
+    taken = sample.orderBy(F.col("ids")[0]).select("vector").toArrow().column("vector").combine_chunks()
+    fit = _matrix(taken) if len(taken) else np.array([entries.first()["vector"]])
+    index = fit_index(fit, n_lists, about.top * (1 + 1e-9))
     places = "list int, nth int"
-    posted = entries.mapInArrow(_post(index), f"ids array<long>, vector array<double>, {places}")
+    posted = entries.mapInArrow(_post(index), f"ids array<long>, vector array<{kind}>, {places}")
     posted = work.keep(posted, "lists")
     # How many entries live in each list, for at most MAX_LISTS lists.
     homes = np.zeros(len(index.centroids))
@@ -272,7 +275,7 @@ def nearest(
         homes[r["list"]] = r["n"]
     asking = typed.where("asks").select(F.col("vec_id").alias("query_id"), "vector").distinct()
     asked = asking.mapInArrow(
-        _ask(index, probe_ratio, homes, LEAST_READ * (k + 1)), f"query_id long, vector array<double>, {places}"
+        _ask(index, probe_ratio, homes, LEAST_READ * (k + 1)), f"query_id long, vector array<{kind}>, {places}"
     )
     asked = work.keep(asked, "asked")
     # A row for each list, at most MAX_LISTS: how many cells and copies of them it needs.
