@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 import zlib
+from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
 from fractions import Fraction
@@ -18,7 +20,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from oreflow.llm.common import Workspace, buckets_for, hash_bucket, running_offsets
 
 #: Documents that are tokenized at once, characters of them, and words that are remembered.
-GROUP, GROUP_CHARS, REMEMBERED = 256, 2_000_000, 600_000
+GROUP, GROUP_CHARS, REMEMBERED = 512, 3_000_000, 1_000_000
 LONG_WORD = 200
 
 
@@ -44,6 +46,7 @@ class WordTokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        self.code = "H" if self.kind == "<u2" else "I"
         self.known: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
         probes = ("tokenization", "größe", "été", "слово")
@@ -54,7 +57,10 @@ class WordTokens:
         )
 
     def _pack(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.kind).tobytes()
+        out = array(self.code, ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
 
     def _learn(self, words: list[str]) -> None:
         """Encodes many words: lower-case letters by the model alone, all others in one text.
@@ -62,20 +68,24 @@ class WordTokens:
         In a text each word gets its ids by the place they come from.  Words of letters only are one
         unit for a byte-level tokenizer, so there the steps before its model can be left out.
         """
+        known, others = self.known, words
         if self.direct:
-            model = self.tokenizer.model
-            for w in [w for w in words if w.isalpha() and w == w.lower()]:
-                self.known[w] = self._pack([t.id for t in model.tokenize(_as_bytes(w))])
-            words = [w for w in words if w not in self.known]
-        for lo in range(0, len(words), 4096):
-            part = words[lo : lo + 4096]
+            others, tokenize, pack = [], self.tokenizer.model.tokenize, self._pack
+            for w in words:
+                if w.isalpha() and w == w.lower():
+                    known[w] = pack([t.id for t in tokenize(w if w.isascii() else _as_bytes(w))])
+                else:
+                    others.append(w)
+        for lo in range(0, len(others), 4096):
+            part = others[lo : lo + 4096]
             ends = np.cumsum([len(w) + 1 for w in part])
             code = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
             ids = np.array(code.ids, self.kind)
-            owner = np.searchsorted(ends, np.array([a for a, _ in code.offsets], np.int64), side="right")
+            owner = np.searchsorted(ends, np.array(code.offsets, np.int64).reshape(-1, 2)[:, 0], side="right")
             cuts = np.searchsorted(owner, np.arange(len(part) + 1))
+            packed, (cuts, width) = ids.tobytes(), (cuts.tolist(), ids.itemsize)
             for i, w in enumerate(part):
-                self.known[w] = ids[cuts[i] : cuts[i + 1]].tobytes()
+                known[w] = packed[width * cuts[i] : width * cuts[i + 1]]
 
     @staticmethod
     def _words(text: str) -> list[str]:
@@ -97,29 +107,33 @@ class WordTokens:
         if len(self.known) > REMEMBERED // 2:
             # Words that come again are taken over from the older half; the others go.
             self.known, self.older = {"": b""}, self.known
-        new = set().union(*lists) - self.known.keys()
-        again = new & self.older.keys()
-        self.known.update((w, self.older[w]) for w in again)
-        new -= again
-        cores: dict[str, None] = {}
+        known, older = self.known, self.older
+        new = set().union(*lists).difference(known)
+        odd, ends, cores = [], [], []
         for w in new:
-            if not self._plain(w):
-                continue
-            if w[-1] in ",." and w[:-1] and w[-2].isalnum():
-                cores[w[:-1]] = cores[w[-1]] = None
+            if w in older:
+                known[w] = older[w]
+            elif not self._plain(w):
+                odd.append(w)
+            elif w[-1] in ",." and len(w) > 1 and w[-2].isalnum():
+                ends.append(w)
+                cores += (w[:-1], w[-1])
             else:
-                cores[w] = None
-        for w in cores.keys() & self.older.keys():
-            self.known[w] = self.older[w]
-        self._learn([w for w in cores if w not in self.known])
-        alone = {}
-        for w in new:
-            if not self._plain(w):
-                alone[w] = self._pack(self.tokenizer.encode(w, add_special_tokens=False).ids)
-            elif w not in self.known:
-                self.known[w] = self.known[w[:-1]] + self.known[w[-1]]
-        known = self.known | alone if alone else self.known
-        return [b"".join([known[w] for w in words]) for words in lists]
+                cores.append(w)
+        wanted = set(cores).difference(known)
+        again = [w for w in wanted if w in older]
+        for w in again:
+            known[w] = older[w]
+        self._learn(list(wanted.difference(again)))
+        for w in ends:
+            known[w] = known[w[:-1]] + known[w[-1]]
+        # Long and unusual words are encoded alone and not remembered.
+        for w in odd:
+            known[w] = self._pack(self.tokenizer.encode(w, add_special_tokens=False).ids)
+        out = [b"".join(map(known.__getitem__, words)) for words in lists]
+        for w in odd:
+            del known[w]
+        return out
 
 
 def _tokenize(path: str, end_id: int):
@@ -227,9 +241,17 @@ def pieces_of(shares: Shares, k: int, below: int, upto: int, begin: int, n: int,
 
     out, at, w = [], 0, window_of(begin)
     own, low = sent(w)
+    straight = shares.bends is None
     while at < n:
-        own_after, low_after = sent(w + 1)
-        length = min(n - at, own_after - begin - at)
+        if straight:
+            g = min((w + 1) * window, total)
+            low_after = below * g // total
+            own_after = upto * g // total - low_after
+        else:
+            own_after, low_after = sent(w + 1)
+        length = own_after - begin - at
+        if length > n - at:
+            length = n - at
         if length > 0:
             out.append((at, length, w, low_after - low + begin + at - own))
             at += length
@@ -275,17 +297,19 @@ def _cut(window: int, shares: Shares):
             sources: list[int] = []
             names = ("doc_id", "doc_tokens", "queued", "k", "below", "upto")
             rows = zip(*(batch.column(c).to_pylist() for c in names), batch.column("ids"), strict=True)
+            crc = zlib.crc32
             for i, (doc, n, begin, k, below, upto, ids) in enumerate(rows):
                 raw = ids.as_buffer()
                 wide = memoryview(np.frombuffer(raw, f"<u{raw.size // n}").astype("<u4")).cast("B")
                 cuts = pieces_of(shares, k, below, upto, begin, n, window)
+                starts, lengths, sequences, offsets = zip(*cuts, strict=True)
                 out[0] += [doc] * len(cuts)
-                out[1] += [c[0] for c in cuts]
-                out[2] += [c[1] for c in cuts]
-                out[3] += [zlib.crc32(wide[4 * c[0] : 4 * (c[0] + c[1])]) for c in cuts]
+                out[1] += starts
+                out[2] += lengths
+                out[3] += [crc(wide[4 * a : 4 * (a + b)]) for a, b, _, _ in cuts]
                 out[4] += [n] * len(cuts)
-                out[5] += [c[2] for c in cuts]
-                out[6] += [c[3] for c in cuts]
+                out[5] += sequences
+                out[6] += offsets
                 sources += [i] * len(cuts)
             yield pa.RecordBatch.from_arrays(
                 [*(pa.array(c, pa.int64()) for c in out), batch.column("source").take(pa.array(sources, pa.int64()))],
