@@ -13,10 +13,19 @@ from oreflow import session
 from oreflow.operators import message_text
 from oreflow.plans import KEEP_SECONDS, Warehouse, drop_table
 from oreflow.sources import Topic, read_topic, round_trip
-from oreflow.streaming import run_bronze, run_for, run_gold, run_silver, run_tail
+from oreflow.streaming import (
+    repartition_state,
+    run_bronze,
+    run_for,
+    run_gold,
+    run_silver,
+    run_tail,
+    run_until_idle,
+    supervised,
+)
 from oreflow.streaming.jobs import AVAILABLE
 
-JOBS = ("bronze", "silver", "gold", "tail", "check", "drop-gold")
+JOBS = ("bronze", "silver", "gold", "tail", "check", "drop-gold", "repartition")
 
 
 def _pair(text: str) -> tuple[str, str]:
@@ -48,6 +57,11 @@ def parser() -> argparse.ArgumentParser:
     cli.add_argument("--once", action="store_true", help="work off what is there, then stop")
     cli.add_argument("--interval", help="time between two batches, such as '30 seconds'")
     cli.add_argument("--seconds", type=float, help="stop after this time")
+    cli.add_argument("--until-idle", action="store_true", help="stop when a trigger finds nothing new")
+    cli.add_argument("--attempts", type=int, default=1, help="start a failed job again from its checkpoint, so often in all")
+    cli.add_argument(
+        "--generation", type=int, default=1, help="silver, gold: how often the state was laid out anew, plus one"
+    )
     cli.add_argument("--packages", action="store_true", help="fetch the connectors the job needs")
     cli.add_argument("--master")
     cli.add_argument("--conf", type=_pair, action="append", default=[], metavar="KEY=VALUE")
@@ -105,7 +119,9 @@ def main(argv: Sequence[str] | None = None) -> int:
     if args.job not in ("tail", "check") and not args.format:
         raise SystemExit(f"{args.job} needs --format: iceberg, or parquet for moderate numbers of files")
     catalog = args.catalog if args.format == "iceberg" else None
-    warehouse = Warehouse(args.root, format=args.format or "parquet", catalog=catalog, checkpoints=args.checkpoints)
+    warehouse = Warehouse(
+        args.root, args.format or "parquet", catalog, checkpoints=args.checkpoints, generation=args.generation
+    )
     spark = session.build_session(f"oreflow-{args.job}", settings_of(args), master=args.master)
     try:
         if args.job == "check":
@@ -113,8 +129,19 @@ def main(argv: Sequence[str] | None = None) -> int:
         if args.job == "drop-gold":
             drop_table(spark, warehouse.gold)
             return 0
+        if args.job == "repartition":
+            if not args.state_partitions:
+                raise SystemExit("repartition needs --state-partitions")
+            made = repartition_state(spark, warehouse, args.state_partitions, args.bounded, args.salts)
+            print(f"go on with --generation {made.generation}")
+            return 0
+        if args.attempts > 1 and not (args.seconds or args.until_idle):
+            supervised(lambda: start(spark, args, warehouse), args.attempts)
+            return 0
         query = start(spark, args, warehouse)
-        if args.seconds:
+        if args.until_idle:
+            run_until_idle(spark, query, seconds=args.seconds)
+        elif args.seconds:
             run_for(query, args.seconds)
         else:
             query.awaitTermination()

@@ -80,6 +80,14 @@ def _arrived(messages: DataFrame) -> DataFrame:
     return dedup_batch(usable(typed(parse(bronze, keep=ARRIVAL))), arrival=ARRIVAL)
 
 
+def _stored_messages(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    """The messages of the fixture, built once and spread by content, for queries that read them several times."""
+    path = f"{folder}/messages"
+    built = messages_from_lineitem(spark, sf_dir)
+    built.repartition("key", "offset").write.parquet(path)
+    return spark.read.schema(built.schema).parquet(path)
+
+
 def _first_copies(messages: DataFrame) -> DataFrame:
     """The messages that ``_arrived`` is made of."""
     first = _arrived(messages).select(F.col("trade_id").cast("binary").alias("key"), *ARRIVAL)
@@ -266,8 +274,9 @@ def _silver_of(spark: SparkSession, warehouse: Warehouse, parts: list[DataFrame]
 
 def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first copies of all trades, then all messages: no copy comes out a second time."""
-    messages = messages_from_lineitem(spark, sf_dir)
-    return _silver_of(spark, _warehouse(spark, "silver"), [_first_copies(messages), messages])
+    warehouse = _warehouse(spark, "silver")
+    messages = _stored_messages(spark, sf_dir, warehouse.root)
+    return _silver_of(spark, warehouse, [_first_copies(messages), messages])
 
 
 def stream_silver_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -275,11 +284,12 @@ def stream_silver_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     A copy in front of it whose id is forgotten would come out again, which one being up to the run.
     """
-    messages = messages_from_lineitem(spark, sf_dir)
+    warehouse = _warehouse(spark, "bounded")
+    messages = _stored_messages(spark, sf_dir, warehouse.root)
     first = _first_copies(messages)
     end = _arrived(messages).agg((F.max("trade_timestamp") - F.expr("INTERVAL 2 HOURS")).alias("end"))
     late = messages.join(F.broadcast(end), F.col("timestamp") <= F.col("end")).drop("end")
-    return _silver_of(spark, _warehouse(spark, "bounded"), [first, late], bounded=True)
+    return _silver_of(spark, warehouse, [first, late], bounded=True)
 
 
 def stream_silver_late(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -289,10 +299,11 @@ def stream_silver_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     run those of a line 7 are late if they are old, and the newer ones are not.  Each run has the
     first copy of each of its trades only, so that it is known which one stays.
     """
-    messages = messages_from_lineitem(spark, sf_dir)
+    warehouse = _warehouse(spark, "late")
+    messages = _stored_messages(spark, sf_dir, warehouse.root)
     early = F.expr("coalesce(timestamp < '2000-01-01' AND CAST(key AS string) NOT LIKE '%-7', false)")
     parts = [_first_copies(messages.where(early)), _first_copies(messages.where(~early))]
-    return _silver_of(spark, _warehouse(spark, "late"), parts)
+    return _silver_of(spark, warehouse, parts)
 
 
 def stream_silver_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -321,7 +332,7 @@ def stream_silver_paced(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse = _warehouse(spark, "paced")
     bronze = replace(warehouse.bronze, partition_by=())
     ensure_table(spark, bronze)
-    messages = messages_from_lineitem(spark, sf_dir).withColumn("part", F.least(F.expr(_PART), F.lit(3)))
+    messages = _stored_messages(spark, sf_dir, warehouse.root).withColumn("part", F.least(F.expr(_PART), F.lit(3)))
     for part in range(4):
         rows = to_bronze(_first_copies(messages.where(F.col("part") == part)))
         files = rows.repartition(PACE, "key").select(*bronze.columns)
@@ -338,7 +349,7 @@ def stream_silver_repartitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     First come the old trades; after the state was laid out anew all copies of those, and the new ones.
     """
     warehouse = _warehouse(spark, "repartitioned")
-    messages = messages_from_lineitem(spark, sf_dir)
+    messages = _stored_messages(spark, sf_dir, warehouse.root)
     first = _first_copies(messages)
     old, new = first.where("timestamp < '2000-01-01'"), first.where("timestamp >= '2000-01-01'")
     again = messages.join(old.select("key"), "key", "left_semi").select(*messages.columns)
@@ -359,7 +370,7 @@ def stream_silver_repartitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_silver_recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze and silver die when their sinks have a batch that is not yet marked as done; both start again."""
     warehouse = _warehouse(spark, "recovered")
-    messages = messages_from_lineitem(spark, sf_dir)
+    messages = _stored_messages(spark, sf_dir, warehouse.root)
     topic = Topic(TOPIC_NAME, path=f"{warehouse.root}/topic", options=ONE_BATCH)
     for part in (_first_copies(messages), messages):
         write_topic(part, topic)

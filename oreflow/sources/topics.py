@@ -13,6 +13,10 @@ from oreflow.schemas import TOPIC_SCHEMA
 from oreflow.scratch import path_exists
 
 
+#: Name of the observation that counts the files a stream over a Parquet log has read.
+FILES_READ = "files_read"
+
+
 @dataclass(frozen=True)
 class Topic:
     """A topic by name, at Kafka ``servers`` or as Parquet files in ``path``.
@@ -80,6 +84,8 @@ def stream_topic(
     if not topic.path:
         return spark.readStream.format("kafka").options(**options, startingOffsets=starting).load()
     stream = spark.readStream.schema(TOPIC_SCHEMA).options(**options).parquet(topic.path)
+    # A file that is gone when its batch is read is passed over; its first row is then not seen.
+    stream = stream.observe(FILES_READ, F.count_if(F.col("_metadata.row_index") == 0).alias("files"))
     if starting == "earliest":
         return stream
     mark = f"{checkpoint.rstrip('/')}/oreflow-end" if checkpoint else None
@@ -96,6 +102,17 @@ def stream_topic(
     return stream.where((written > end[0]["written"]) | later)
 
 
+def admitted_files(spark: SparkSession, checkpoint: str, after: int, upto: int) -> int:
+    """How many files a stream over a Parquet log took up with its batches ``after`` < number <= ``upto``.
+
+    As its checkpoint lists them, with the number of the source's batch.
+    """
+    entries = spark.read.text(f"{checkpoint}/sources/0").where(F.col("value").startswith("{"))
+    of = lambda name: F.get_json_object("value", f"$.{name}")
+    named = entries.select(of("path").alias("path"), of("batchId").cast("long").alias("batch")).distinct()
+    return named.where((F.col("batch") > after) & (F.col("batch") <= upto)).count()
+
+
 # The newest modification time in a folder, with each file that has it.
 _END = "written long, file string"
 

@@ -52,6 +52,13 @@ def _announce(spark: SparkSession, checkpoint: str) -> None:
         )
 
 
+def _known(spark: SparkSession, spec: TableSpec) -> TableSpec:
+    """``spec``, its table taken up again where the catalog does not know it, as after a restart without a metastore."""
+    if not spark.catalog.tableExists(spec.name):
+        ensure_table(spark, spec)
+    return spec
+
+
 def _writer(df: DataFrame, checkpoint: str, mode: str, trigger: Mapping | None) -> DataStreamWriter:
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     return writer.trigger(**trigger) if trigger else writer
@@ -111,7 +118,7 @@ def run_silver(
     """
     spec = warehouse.silver
     ensure_table(spark, spec)
-    trades = usable(typed(parse(stream_table(spark, warehouse.bronze, source_options))))
+    trades = usable(typed(parse(stream_table(spark, _known(spark, warehouse.bronze), source_options))))
     if warehouse.generation > 1:
         folder = seed_folder(warehouse.checkpoint(SILVER_JOB))
         trades = seeded(trades, folder, SILVER_COLUMNS, skip=seeding)
@@ -184,7 +191,7 @@ def run_gold(
         if published:
             published(batch_id)
 
-    parts = [stream_table(spark, table, source_options) for table in warehouse.silver_tables]
+    parts = [stream_table(spark, _known(spark, table), source_options) for table in warehouse.silver_tables]
     current = positions(reduce(DataFrame.union, parts))
     _announce(spark, warehouse.checkpoint(GOLD_JOB))
     with session_conf(spark, state_settings):

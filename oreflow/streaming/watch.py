@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import re
 import threading
 from collections import Counter
 from collections.abc import Callable, Iterator
@@ -12,6 +13,8 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from oreflow.sources.topics import FILES_READ, admitted_files
+
 log = logging.getLogger("oreflow")
 
 
@@ -74,12 +77,24 @@ def run_until_idle(spark: SparkSession, query: StreamingQuery, triggers: int = 1
     return True
 
 
+def _source_batch(offset: str | None) -> int:
+    """The number of a file source's batch in an offset; -1 before the first."""
+    found = re.search(r"logOffset\D*(\d+)", offset or "")
+    return int(found.group(1)) if found else -1
+
+
 class LossCounter(_Listener):
-    """Counts, by query name or id, the rows that operators with state dropped as late."""
+    """Counts, by query name or id, the rows that operators with state dropped as late, and lost files.
+
+    A stream over a Parquet log passes over files that are gone when it comes to read them; they are
+    those that its checkpoint lists and that gave no row (``lost_files``).
+    """
 
     def __init__(self) -> None:
         self.late: Counter[str] = Counter()
         self.rows: Counter[str] = Counter()
+        self.files: Counter[str] = Counter()
+        self.offsets: dict[str, tuple[int, int]] = {}
         self.started: set[str] = set()
         self.ended: set[str] = set()
         self._told = threading.Condition()
@@ -89,6 +104,18 @@ class LossCounter(_Listener):
         name = progress.name or str(progress.id)
         self.rows[name] += progress.numInputRows
         self.late[name] += sum(op.numRowsDroppedByWatermark for op in progress.stateOperators)
+        seen = progress.observedMetrics.get(FILES_READ)
+        if seen is not None:
+            self.files[name] += seen.files
+            first, last = (_source_batch(x) for x in (progress.sources[0].startOffset, progress.sources[0].endOffset))
+            self.offsets[name] = (min(self.offsets.get(name, (first,))[0], first), last)
+
+    def lost_files(self, spark: SparkSession, query: StreamingQuery, checkpoint: str) -> int:
+        """Files that the query took up while this listened and did not find."""
+        name = query.name or str(query.id)
+        if name not in self.offsets:
+            return 0
+        return admitted_files(spark, checkpoint, *self.offsets[name]) - self.files[name]
 
     def onQueryTerminated(self, event) -> None:
         with self._told:

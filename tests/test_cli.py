@@ -69,3 +69,26 @@ def test_bronze_in_a_process_of_its_own(spark, tmp_path):
     done = subprocess.run(command, cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert done.returncode == 0, done.stderr
     assert list((tmp_path / "lake/bronze/trades/ticker=A").rglob("*.parquet"))
+
+
+def test_state_is_laid_out_anew_from_the_command_line(spark, tmp_path):
+    """Bronze until idle, silver once, its state in more partitions, and silver again in the new generation."""
+    topic = Topic("t", path=str(tmp_path / "topic"))
+    value = '{"trade_id":"%s","portfolio_id":"p","ticker":"a","side":"buy","quantity":1,"price":1,"fees":0,"trade_timestamp":"2024-01-01"}'
+    write_topic(spark.createDataFrame([(x, value % x) for x in "ab"], "key string, value string"), topic)
+    base = ["--path", topic.path, "--root", str(tmp_path / "lake"), "--format", "parquet", "--master", "local[2]"]
+    base += ["--conf", "spark.ui.enabled=false", "--conf", f"spark.sql.warehouse.dir={tmp_path / 'wh'}"]
+
+    def run(*args):
+        command = [sys.executable, "-m", "oreflow", args[0], *base, *args[1:]]
+        return subprocess.run(command, capture_output=True, text=True, cwd=REPO, env={**os.environ, "PYTHONPATH": str(REPO)})
+
+    assert run("bronze", "--until-idle").returncode == 0
+    assert run("silver", "--once", "--attempts", "2", "--state-partitions", "2").returncode == 0
+    made = run("repartition", "--state-partitions", "3")
+    assert made.returncode == 0 and "--generation 2" in made.stdout, made.stderr[-2000:]
+    write_topic(spark.createDataFrame([(x, value % x) for x in "bc"], "key string, value string"), topic)
+    assert run("bronze", "--once").returncode == 0
+    assert run("silver", "--once", "--generation", "2").returncode == 0
+    ids = [r.trade_id for t in ("trades", "trades_g2") for r in spark.read.parquet(f"{tmp_path}/lake/silver/{t}").collect()]
+    assert sorted(ids) == ["a", "b", "c"]

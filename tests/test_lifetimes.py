@@ -5,6 +5,7 @@ import time
 from collections import Counter
 from dataclasses import replace
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -179,6 +180,32 @@ def test_late_rows_are_counted(spark, warehouse):
     assert sum(counter.late.values()) == 2 and ids(spark, warehouse) == Counter(["a", "d"])
 
 
+def test_lost_files_are_counted(spark, warehouse):
+    """Two files are gone when the batch that took them up is run again after a failure."""
+    topic = Topic("t", path=f"{warehouse.root}/topic")
+    for i in range(5):
+        write_topic(spark.createDataFrame([message(f"t{i}")], "key string, value string").coalesce(1), topic)
+    gone = sorted(Path(topic.path).glob("part-*"))[:2]
+    whole = [f.read_bytes() for f in gone]
+    for f in gone:
+        f.write_bytes(b"not a file of rows")
+        f.with_name(f".{f.name}.crc").unlink(missing_ok=True)
+    with pytest.raises(StreamingQueryException):
+        run_bronze(spark, topic, warehouse, AVAILABLE).awaitTermination()
+    for f in gone:
+        f.unlink()
+    assert len(whole) == 2
+    with listening(spark, LossCounter()) as counter:
+        query = run_bronze(spark, topic, warehouse, AVAILABLE)
+        query.awaitTermination()
+        write_topic(spark.createDataFrame([message("later")], "key string, value string").coalesce(1), topic)
+        again = run_bronze(spark, topic, warehouse, AVAILABLE)
+        again.awaitTermination()
+        counter.wait_idle(spark)
+    assert read_table(spark, warehouse.bronze).count() == 4
+    assert counter.lost_files(spark, again, warehouse.checkpoint(BRONZE_JOB)) == 2
+
+
 # ---- layouts -------------------------------------------------------------------------
 
 
