@@ -152,16 +152,21 @@ def hash_bucket(n_buckets: int, *cols: Column) -> Column:
     return F.shiftright(F.xxhash64(*cols), 64 - bits) if bits else F.lit(0).cast("long")
 
 
+def is_scan(df: DataFrame) -> bool:
+    """Whether ``df`` is a table of files just read, perhaps with columns or rows left out."""
+    plan = df._jdf.queryExecution().analyzed()
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().head()
+    return plan.getClass().getSimpleName() == "LogicalRelation"
+
+
 def row_order(df: DataFrame) -> Column:
     """A long that grows along the rows of ``df``, the number of the row's file or partition above 33 bits.
 
     Files are read in any order, the largest ones first; in a table just read rows are therefore
     numbered by the numbers in the names of Spark's files and by their places in them.
     """
-    plan = df._jdf.queryExecution().analyzed()
-    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
-        plan = plan.children().head()
-    if plan.getClass().getSimpleName() != "LogicalRelation":
+    if not is_scan(df):
         return F.monotonically_increasing_id()
     number = lambda form: F.coalesce(
         F.expr(f"try_cast(regexp_extract(_metadata.file_name, '{form}', 1) as long)"), F.lit(0)
