@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+import re
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from oreflow.llm import minhash, mixing, packing, quality, secrets
-from oreflow.llm.common import SPACE_CLASS, Workspace, row_order
+from oreflow.llm.common import SPACE_CLASS, Workspace, is_scan, row_order
 from oreflow.llm.queries import table, tokenizer_path
 
 
@@ -23,6 +25,19 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return judged.where(quality.passes(cuts, F.col("doc.lang"))).select("doc.*")
 
 
+def _numbered(docs: DataFrame, work: Workspace) -> DataFrame:
+    """``docs`` with a number ``_row`` of each row that stays the same however often they are read.
+
+    In a table that Spark wrote in one go it comes from the file's number and the row's place there; any
+    other rows are written first.
+    """
+    names = [name.rpartition("/")[2] for name in docs.inputFiles()] if is_scan(docs) else []
+    parts = [re.match(r"part-(\d+)-.*-c(\d+)\.", name) for name in names]
+    if names and all(parts) and len({m.groups() for m in parts}) == len(names):
+        return docs.withColumn("_row", row_order(docs))
+    return work.keep(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near copies: that of the smallest ``doc_id``, null last.
 
@@ -31,7 +46,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     without words are linked with nothing and stay.
     """
     work = Workspace(spark, "near")
-    rows = work.keep(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    rows = _numbered(docs, work)
     found = minhash.near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"), work)
     groups = found.select(F.col("doc_id").alias("_row"), "component_id").join(rows.select("_row", "doc_id"), "_row")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("first")
@@ -42,7 +57,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows; confirmed secrets in their texts are masked, each row's own ones only."""
     work = Workspace(spark, "secrets")
-    rows = work.keep(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    rows = _numbered(docs, work)
     found = secrets.scan(rows, work, keep=("_row",))
     return _recounted(docs, secrets.redacted(rows, found, "_row").select(*docs.columns))
 
