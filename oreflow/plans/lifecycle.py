@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from oreflow.operators.layout import gathered, rebalanced
 from oreflow.plans.specs import TableSpec
+from oreflow.session import FILE_SETTINGS, session_conf
 
 
 # How long a replaced version of a table stays readable.
@@ -138,7 +139,8 @@ def append_table(df: DataFrame, spec: TableSpec) -> None:
         return
     rows = laid_out(rows, spec)
     writer = rebalanced(rows, *spec.partition_columns).write.format(spec.format).mode("append")
-    writer.partitionBy(*spec.partition_columns).saveAsTable(spec.name)
+    with session_conf(df.sparkSession, FILE_SETTINGS):
+        writer.partitionBy(*spec.partition_columns).saveAsTable(spec.name)
 
 
 def repartition_table(spark: SparkSession, source: str, target: TableSpec) -> None:
@@ -183,7 +185,8 @@ def publish(
     version = f"{spec.name}__v{time.time_ns() // 1_000_000:013d}_{uuid.uuid4().hex[:8]}"
     adaptive = spark.conf.get("spark.sql.adaptive.enabled") == "true"
     rows = rebalanced(rows, *spec.partition_by) if adaptive else gathered(rows, spec.partition_by, spec.key, spread)
-    rows.write.format(spec.format).partitionBy(*spec.partition_by).saveAsTable(version)
+    with session_conf(spark, FILE_SETTINGS):
+        rows.write.format(spec.format).partitionBy(*spec.partition_by).saveAsTable(version)
     spark.sql(f"ANALYZE TABLE {version} COMPUTE STATISTICS")
     _point(spark, spec, version)
     for name in _outdated(spark, spec, version, keep_seconds):

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field, replace
 
 from oreflow.schemas import BRONZE_COLUMNS, GOLD_COLUMNS, SILVER_COLUMNS
+from oreflow.session import FILE_SETTINGS
 
 
 _DAYS = re.compile(r"days\((\w+)\)")
@@ -44,6 +45,11 @@ class TableSpec:
     def is_iceberg(self) -> bool:
         return self.format == "iceberg"
 
+    @property
+    def file_options(self) -> dict[str, str]:
+        """Options of a stream that writes the table's files, as ``FILE_SETTINGS`` are those of a batch."""
+        return {"compression": FILE_SETTINGS["spark.sql.parquet.compression.codec"]} if self.format == "parquet" else {}
+
     @property
     def day_columns(self) -> dict[str, str]:
         """Date columns kept for ``days(...)`` partition fields, with the timestamps they are the days of."""

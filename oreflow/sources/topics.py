@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from oreflow.schemas import TOPIC_SCHEMA
 from oreflow.scratch import path_exists
+from oreflow.session import FILE_SETTINGS, session_conf
 
 
 #: Name of the observation that counts the files a stream over a Parquet log has read.
@@ -157,7 +158,8 @@ def write_topic(df: DataFrame, topic: Topic) -> None:
         (F.col(f.name) if f.name in df.columns else missing[f.name]).cast(f.dataType).alias(f.name)
         for f in TOPIC_SCHEMA
     ]
-    df.select(*columns).write.mode("append").parquet(topic.path)
+    with session_conf(df.sparkSession, FILE_SETTINGS):
+        df.select(*columns).write.mode("append").parquet(topic.path)
 
 
 #: How far the clocks of the topic and of this process may be apart.

@@ -71,7 +71,8 @@ def _append(df: DataFrame, spec: TableSpec, checkpoint: str, trigger: Mapping |
         if not is_streamed(spark, spec) and not read_table(spark, spec).isEmpty():
             raise ValueError(f"{spec.name} was filled by a batch; a stream would hide those rows")
         writer = writer.partitionBy(*spec.partition_columns)
-    return writer.toTable(spec.name)
+    # The sink of a stream goes by its options, not by the settings of the session that it starts from.
+    return writer.options(**spec.file_options).toTable(spec.name)
 
 
 def run_bronze(
