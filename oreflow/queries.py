@@ -10,7 +10,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from oreflow.fixtures import OFFSET, TOPIC_NAME, messages_from_lineitem
 from oreflow.functions import signed_quantity
@@ -33,7 +33,7 @@ from oreflow.plans import (
     repartition_table,
 )
 from oreflow.scratch import scratch_folder
-from oreflow.session import session_conf
+from oreflow.session import FILE_SETTINGS, session_conf
 from oreflow.sources import Topic, read_between, read_table, read_topic, write_topic
 from oreflow.streaming import (
     LossCounter,
@@ -80,18 +80,18 @@ def _arrived(messages: DataFrame) -> DataFrame:
     return dedup_batch(usable(typed(parse(bronze, keep=ARRIVAL))), arrival=ARRIVAL)
 
 
-def _stored_messages(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
-    """The messages of the fixture, built once and spread by content, for queries that read them several times."""
-    path = f"{folder}/messages"
-    built = messages_from_lineitem(spark, sf_dir)
-    built.repartition("key", "offset").write.parquet(path)
-    return spark.read.schema(built.schema).parquet(path)
-
-
 def _first_copies(messages: DataFrame) -> DataFrame:
-    """The messages that ``_arrived`` is made of."""
-    first = _arrived(messages).select(F.col("trade_id").cast("binary").alias("key"), *ARRIVAL)
-    return messages.join(first, ["key", *ARRIVAL], "left_semi")
+    """The messages that ``_arrived`` is made of.
+
+    They go through the ranking whole, usable ones only: messages are read once, and those that are no
+    first copy are not shuffled for a join.  Equals in the order of arrival all stay.
+    """
+    carried = (*ARRIVAL, "message")
+    whole = messages.withColumn("message", F.struct(*messages.columns))
+    trades = usable(typed(parse(to_bronze(whole, keep=carried), keep=carried)))
+    place = F.rank().over(Window.partitionBy("trade_id").orderBy(*ARRIVAL))
+    first = trades.withColumn("place", place).where("place = 1 AND message.key = CAST(trade_id AS binary)")
+    return first.select("message.*")
 
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -259,12 +259,14 @@ def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, warehouse.bronze).select("key", "value", "ticker")
 
 
-def _silver_of(spark: SparkSession, warehouse: Warehouse, parts: list[DataFrame], **options) -> DataFrame:
-    """The silver table after topics with these messages, one after the other."""
+def _silver_of(
+    spark: SparkSession, warehouse: Warehouse, parts: list[DataFrame | Callable[[Topic], DataFrame]], **options
+) -> DataFrame:
+    """The silver table after topics with these messages, one after the other; some are made from the topic so far."""
     ensure_table(spark, warehouse.bronze)
     topic = Topic(TOPIC_NAME, path=f"{warehouse.root}/topic", options=ONE_BATCH)
     for part in parts:
-        write_topic(part, topic)
+        write_topic(part(topic) if callable(part) else part, topic)
         run_bronze(spark, topic, warehouse, AVAILABLE).awaitTermination()
         with _state_partitions(spark):
             query = run_silver(spark, warehouse, AVAILABLE, source_options=ONE_BATCH, **options)
@@ -275,7 +277,7 @@ def _silver_of(spark: SparkSession, warehouse: Warehouse, parts: list[DataFrame]
 def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first copies of all trades, then all messages: no copy comes out a second time."""
     warehouse = _warehouse(spark, "silver")
-    messages = _stored_messages(spark, sf_dir, warehouse.root)
+    messages = messages_from_lineitem(spark, sf_dir)
     return _silver_of(spark, warehouse, [_first_copies(messages), messages])
 
 
@@ -285,11 +287,14 @@ def stream_silver_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     A copy in front of it whose id is forgotten would come out again, which one being up to the run.
     """
     warehouse = _warehouse(spark, "bounded")
-    messages = _stored_messages(spark, sf_dir, warehouse.root)
-    first = _first_copies(messages)
-    end = _arrived(messages).agg((F.max("trade_timestamp") - F.expr("INTERVAL 2 HOURS")).alias("end"))
-    late = messages.join(F.broadcast(end), F.col("timestamp") <= F.col("end")).drop("end")
-    return _silver_of(spark, warehouse, [first, late], bounded=True)
+    messages = messages_from_lineitem(spark, sf_dir)
+
+    def late(topic: Topic) -> DataFrame:
+        fed = usable(typed(parse(to_bronze(read_topic(spark, topic)))))
+        end = fed.agg((F.max("trade_timestamp") - F.expr("INTERVAL 2 HOURS")).alias("end"))
+        return messages.join(F.broadcast(end), F.col("timestamp") <= F.col("end")).drop("end")
+
+    return _silver_of(spark, warehouse, [_first_copies(messages), late], bounded=True)
 
 
 def stream_silver_late(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -300,7 +305,7 @@ def stream_silver_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     first copy of each of its trades only, so that it is known which one stays.
     """
     warehouse = _warehouse(spark, "late")
-    messages = _stored_messages(spark, sf_dir, warehouse.root)
+    messages = messages_from_lineitem(spark, sf_dir)
     early = F.expr("coalesce(timestamp < '2000-01-01' AND CAST(key AS string) NOT LIKE '%-7', false)")
     parts = [_first_copies(messages.where(early)), _first_copies(messages.where(~early))]
     return _silver_of(spark, warehouse, parts)
@@ -332,11 +337,12 @@ def stream_silver_paced(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse = _warehouse(spark, "paced")
     bronze = replace(warehouse.bronze, partition_by=())
     ensure_table(spark, bronze)
-    messages = _stored_messages(spark, sf_dir, warehouse.root).withColumn("part", F.least(F.expr(_PART), F.lit(3)))
+    messages = messages_from_lineitem(spark, sf_dir).withColumn("part", F.least(F.expr(_PART), F.lit(3)))
     for part in range(4):
         rows = to_bronze(_first_copies(messages.where(F.col("part") == part)))
         files = rows.repartition(PACE, "key").select(*bronze.columns)
-        files.write.format(bronze.format).mode("append").saveAsTable(bronze.name)
+        with session_conf(spark, FILE_SETTINGS):
+            files.write.format(bronze.format).mode("append").saveAsTable(bronze.name)
     with _state_partitions(spark):
         query = run_silver(spark, warehouse, AVAILABLE, source_options={"maxFilesPerTrigger": str(PACE)})
     query.awaitTermination()
@@ -349,8 +355,10 @@ def stream_silver_repartitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     First come the old trades; after the state was laid out anew all copies of those, and the new ones.
     """
     warehouse = _warehouse(spark, "repartitioned")
-    messages = _stored_messages(spark, sf_dir, warehouse.root)
-    first = _first_copies(messages)
+    messages = messages_from_lineitem(spark, sf_dir)
+    path = f"{warehouse.root}/first"
+    write_topic(_first_copies(messages), Topic(TOPIC_NAME, path=path))
+    first = read_topic(spark, Topic(TOPIC_NAME, path=path))
     old, new = first.where("timestamp < '2000-01-01'"), first.where("timestamp >= '2000-01-01'")
     again = messages.join(old.select("key"), "key", "left_semi").select(*messages.columns)
     ensure_table(spark, warehouse.bronze)
@@ -370,7 +378,7 @@ def stream_silver_repartitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_silver_recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze and silver die when their sinks have a batch that is not yet marked as done; both start again."""
     warehouse = _warehouse(spark, "recovered")
-    messages = _stored_messages(spark, sf_dir, warehouse.root)
+    messages = messages_from_lineitem(spark, sf_dir)
     topic = Topic(TOPIC_NAME, path=f"{warehouse.root}/topic", options=ONE_BATCH)
     for part in (_first_copies(messages), messages):
         write_topic(part, topic)
