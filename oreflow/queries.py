@@ -84,14 +84,15 @@ def _first_copies(messages: DataFrame) -> DataFrame:
     """The messages that ``_arrived`` is made of.
 
     They go through the ranking whole, usable ones only: messages are read once, and those that are no
-    first copy are not shuffled for a join.  Equals in the order of arrival all stay.
+    first copy are not shuffled for a join.  Equals in the order of arrival all stay; a trade whose first
+    copy has no known place is left out.
     """
     carried = (*ARRIVAL, "message")
     whole = messages.withColumn("message", F.struct(*messages.columns))
     trades = usable(typed(parse(to_bronze(whole, keep=carried), keep=carried)))
     place = F.rank().over(Window.partitionBy("trade_id").orderBy(*ARRIVAL))
     first = trades.withColumn("place", place).where("place = 1 AND message.key = CAST(trade_id AS binary)")
-    return first.select("message.*")
+    return first.dropna(subset=list(ARRIVAL)).select("message.*")
 
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -58,9 +58,9 @@ def test_messages_are_made_in_code_that_the_jvm_compiles(spark, tmp_path):
 
 
 def test_first_copies_are_found_without_a_join(spark, tmp_path):
-    """Of the copies of a trade the usable one with the smallest offset, and a row that is there twice, twice."""
+    """Of the copies of a trade the usable one with the smallest offset, all that are equal, none without a place."""
     copies = [(5, part, 3, 1, quantity, 10.5, 0.0, 0.02, "A") for part, quantity in ((7, 5.0), (4, 1.0), (5, 6.0), (5, 6.0))]
-    messages = lines(spark, str(tmp_path), [*copies, (10, 2, 3, 1, 9.0, 1.0, 0.0, 0.0, "R"), (7, 2, 3, 1, 9.0, 1.0, 0.0, 0.0, "R")])
+    messages = lines(spark, str(tmp_path), [*copies, (10, 2, 3, 1, 9.0, 1.0, 0.0, 0.0, "R"), (7, 2, 3, 1, 9.0, 1.0, 0.0, 0.0, "R"), (15, None, 3, 1, 9.0, 1.0, 0.0, 0.0, "R"), (15, 2, 3, 1, 9.0, 1.0, 0.0, 0.0, "R")])
     first = _first_copies(messages)
     assert first.columns == messages.columns
     assert "Join" not in plan(first, "simple")
