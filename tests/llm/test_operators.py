@@ -6,8 +6,10 @@ import random
 import re
 import time
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -212,6 +214,35 @@ def test_words_are_encoded_as_whole_texts_are():
         assert np.frombuffer(packed, coder.kind).tolist() == coder.tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_words_with_marks_are_encoded_as_whole_texts_are():
+    rng = random.Random(12)
+    coder = packing.WordTokens(tokenizer_path())
+    assert coder.marks == packing.MARKS
+    alphabet = ["a", "Q", "é", "e\u0301", "\u0338", "Σ", "İ", "1", "½", "²", "ª", "漢", "'s", "'", "’", "-", "|", "|>", "<|", ">", " ",
+                "\t", "\n", "\x00", "<|endoftext|>", "<|startoftext|>", "word", "z" * 201, *packing.MARKS]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(0, 30))) for _ in range(3000)]
+    texts += [w + m + n for w in ("word", "x2", "½", "e\u0301", "<|endoftext|>", "a's", "'") for m in packing.MARKS for n in ("", *packing.MARKS)]
+    for lo in range(0, len(texts), 1000):
+        part = texts[lo : lo + 1000]
+        for text, packed in zip(part, coder.encode(part), strict=True):
+            assert np.frombuffer(packed, coder.kind).tolist() == coder.tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_words_are_learnt_once_a_job_and_without_marks(monkeypatch):
+    learnt, learn = [], packing.WordTokens._learn
+    monkeypatch.setattr(packing.WordTokens, "_learn", lambda self, words: learnt.extend(words) or learn(self, words))
+    monkeypatch.setattr(packing, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    texts = ["Über word!! word$$$, word", "über, WORD&&& 12. 12", None, ""]
+    batch = pa.record_batch({"doc_id": pa.array(range(4), pa.int64()), "text": pa.array(texts)})
+    whole = packing.WordTokens(tokenizer_path()).tokenizer
+    want = [[*whole.encode(t or "", add_special_tokens=False).ids, 1] for t in texts]
+    for _ in range(2):
+        (out,) = packing._tokenize(tokenizer_path(), 1, "a job")(iter([batch]))
+        assert [np.frombuffer(x, "<u2").tolist() for x in out.column("ids").to_pylist()] == want
+        assert out.column("doc_tokens").to_pylist() == [len(x) for x in want]
+    assert sorted(learnt) == sorted(["über", "word", "12", "!!", "$$$,", "&&&", ",", "."])
+
+
 def test_packing_by_given_weights(spark):
     rows = [(i, "ab"[i % 2], "word " * 30) for i in range(400)]
     docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
