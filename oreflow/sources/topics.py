@@ -103,15 +103,15 @@ def stream_topic(
     return stream.where((written > end[0]["written"]) | later)
 
 
-def admitted_files(spark: SparkSession, checkpoint: str, after: int, upto: int) -> int:
-    """How many files a stream over a Parquet log took up with its batches ``after`` < number <= ``upto``.
+def admitted(spark: SparkSession, checkpoint: str, after: int, upto: int) -> DataFrame:
+    """``path`` of the files that a stream over a Parquet log took up with its batches ``after`` < number <= ``upto``.
 
     As its checkpoint lists them, with the number of the source's batch.
     """
     entries = spark.read.text(f"{checkpoint}/sources/0").where(F.col("value").startswith("{"))
     of = lambda name: F.get_json_object("value", f"$.{name}")
     named = entries.select(of("path").alias("path"), of("batchId").cast("long").alias("batch")).distinct()
-    return named.where((F.col("batch") > after) & (F.col("batch") <= upto)).count()
+    return named.where((F.col("batch") > after) & (F.col("batch") <= upto)).select("path")
 
 
 # The newest modification time in a folder, with each file that has it.

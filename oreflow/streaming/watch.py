@@ -1,4 +1,4 @@
-"""Watching streams: stop when idle, count what is lost, and go on after a failure."""
+"""Watching streams: stop when idle, count what is lost, go on after a failure, and let go of what is read."""
 
 from __future__ import annotations
 
@@ -10,10 +10,10 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from oreflow.sources.topics import FILES_READ, admitted_files
+from oreflow.sources.topics import FILES_READ, Topic, admitted
 
 log = logging.getLogger("oreflow")
 
@@ -115,7 +115,7 @@ class LossCounter(_Listener):
         name = query.name or str(query.id)
         if name not in self.offsets:
             return 0
-        return admitted_files(spark, checkpoint, *self.offsets[name]) - self.files[name]
+        return admitted(spark, checkpoint, *self.offsets[name]).count() - self.files[name]
 
     def onQueryTerminated(self, event) -> None:
         with self._told:
@@ -152,18 +152,48 @@ def supervised(start: Callable[[], StreamingQuery], attempts: int = 3) -> Stream
     raise ValueError("attempts must be at least 1")
 
 
+def _newest_commit(spark: SparkSession, checkpoint: str) -> int | None:
+    """The newest batch that a checkpoint holds as done; None where there is none."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return None
+    names = [status.getPath().getName() for status in fs.listStatus(folder)]
+    return max((int(name) for name in names if name.isdigit()), default=None)
+
+
 def uncommitted(spark: SparkSession, checkpoint: str) -> int | None:
     """Takes back the commit of the newest batch; its number, or None where there is none.
 
     The checkpoint is then as if the process had died when the sink had its rows and before the
     batch was marked as done: the next start runs that batch again.  For recovery drills.
     """
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(folder):
-        return None
-    names = [status.getPath().getName() for status in fs.listStatus(folder)]
-    batch = max((int(name) for name in names if name.isdigit()), default=None)
+    batch = _newest_commit(spark, checkpoint)
     if batch is not None:
-        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(folder, str(batch)), False)
+        place = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits/{batch}")
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, False)
     return batch
+
+
+def drop_read(spark: SparkSession, topic: Topic, checkpoint: str) -> int:
+    """Deletes the files of a Parquet log that the stream with this checkpoint is done with; how many they were.
+
+    For a log without another reader, as Kafka lets go of records before an offset.  Files that the stream has
+    not taken up stay, and so do those of a batch that it would run again after a failure.
+    """
+    if not topic.path:
+        raise ValueError("the records of a Kafka topic go by its own retention")
+    batch = _newest_commit(spark, checkpoint)
+    if batch is None:
+        return 0
+    offset = "\n".join(row.value for row in spark.read.text(f"{checkpoint}/offsets/{batch}").collect())
+    # The two write the scheme differently (``file:/`` and ``file:///``); all files are in one file system.
+    at = F.try_parse_url("path", F.lit("PATH")).alias("at")
+    there = spark.read.format("binaryFile").load(topic.path).select(F.col("_metadata.file_path").alias("path"))
+    read = admitted(spark, checkpoint, -1, _source_batch(offset)).select(at)
+    done = there.select("path", at).join(read, "at", "left_semi").collect()
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for row in done:
+        place = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(row.path))
+        place.getFileSystem(conf).delete(place, False)
+    return len(done)

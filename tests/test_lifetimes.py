@@ -14,10 +14,12 @@ from pyspark.sql import functions as F
 from oreflow.plans import append_table, ensure_table, repartition_table
 from oreflow.plans.lifecycle import change_statements, create_statements, partition_fields
 from oreflow.queries import gold_pruned_read
+from oreflow.schemas import TOPIC_SCHEMA
 from oreflow.session import session_conf
 from oreflow.sources import Topic, read_between, read_table, write_topic
 from oreflow.streaming import (
     LossCounter,
+    drop_read,
     listening,
     repartition_state,
     run_bronze,
@@ -206,6 +208,38 @@ def test_lost_files_are_counted(spark, warehouse):
     assert counter.lost_files(spark, again, warehouse.checkpoint(BRONZE_JOB)) == 2
 
 
+def test_what_a_stream_is_done_with_can_go(spark, warehouse):
+    """Files of a batch that would run again stay, and so do those that no batch has taken up."""
+    topic = Topic("t", path=f"{warehouse.root}/a topic %41")
+    checkpoint = warehouse.checkpoint(BRONZE_JOB)
+
+    def send(key):
+        write_topic(spark.createDataFrame([message(key)], "key string, value string").coalesce(1), topic)
+
+    def left():
+        return sorted(r.key.decode() for r in spark.read.schema(TOPIC_SCHEMA).parquet(topic.path).collect())
+
+    def run():
+        run_bronze(spark, topic, warehouse, AVAILABLE).awaitTermination()
+
+    send("t0")
+    assert drop_read(spark, topic, checkpoint) == 0 and left() == ["t0"]
+    run()
+    send("t1")
+    assert drop_read(spark, topic, checkpoint) == 1 and left() == ["t1"]
+    run()
+    send("t2")
+    uncommitted(spark, checkpoint)
+    assert drop_read(spark, topic, checkpoint) == 0 and left() == ["t1", "t2"]
+    run()
+    assert drop_read(spark, topic, checkpoint) == 2 and left() == []
+    assert drop_read(spark, topic, checkpoint) == 0
+    run()
+    assert Counter(r.key for r in read_table(spark, warehouse.bronze).collect()) == {"t0": 1, "t1": 1, "t2": 1}
+    with pytest.raises(ValueError, match="Kafka"):
+        drop_read(spark, Topic("t", servers="host:9092"), checkpoint)
+
+
 # ---- layouts -------------------------------------------------------------------------
 
 

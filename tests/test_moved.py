@@ -6,6 +6,7 @@ from pathlib import Path
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
+from oreflow import queries
 from oreflow.fixtures import messages_from_lineitem
 from oreflow.operators import to_bronze
 from oreflow.plans import append_table, ensure_table
@@ -70,6 +71,21 @@ def test_first_copies_are_found_without_a_join(spark, tmp_path):
     assert rows == sorted(map(str, joined.collect())) and len(rows) == 3
 
 
+def test_a_topic_holds_one_copy_while_its_table_gets_three(spark, tmp_path, monkeypatch):
+    lines(spark, str(tmp_path), [(n, 12, 3, 1, 5.0, 10.5, 0.0, 0.02, "A") for n in range(4)])
+    held, paths = [], []
+
+    def counting(spark, topic, *args, **more):
+        paths.append(Path(topic.path))
+        held.append(sum(pq.ParquetFile(f).metadata.num_rows for f in paths[-1].glob("*.parquet")))
+        return run_bronze(spark, topic, *args, **more)
+
+    monkeypatch.setattr(queries, "run_bronze", counting)
+    rows = queries.stream_bronze_widened(spark, str(tmp_path)).collect()
+    assert held == [4, 4, 4] and not list(paths[-1].glob("*.parquet"))
+    assert sorted((r.key, r.ticker or "") for r in rows) == sorted([(f"{n}-1", t) for n in range(4) for t in ("", "TKR2", "TKR2")])
+
+
 def test_topics_and_tables_are_stored_with_zstd(spark, warehouse, tmp_path):
     topic = Topic("t", path=str(tmp_path / "topic"))
     write_topic(lines(spark, str(tmp_path), [(5, 12, 3, 1, 5.0, 10.5, 0.0, 0.02, "A")]), topic)
